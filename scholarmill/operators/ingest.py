@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def in_category_and_dates(papers: DataFrame, categories: Sequence[str], first: date,
@@ -44,13 +45,16 @@ def new_rows(incoming: DataFrame, stored: DataFrame, key: str, seq: str) -> Data
     return first_per_key(not_stored(incoming, stored, key), key, seq)
 
 
+def open_store(spark: SparkSession, store_path: str, schema: T.StructType) -> None:
+    """Makes an empty Parquet store unless there is one."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(store_path)
+
+
 def insert_if_absent(incoming: DataFrame, store_path: str, key: str, seq: str) -> None:
-    """Appends the new rows to a Parquet store.  Run by one writer; a repeat appends nothing."""
-    spark = incoming.sparkSession
+    """Appends the new rows to an opened Parquet store.  Run by one writer; a repeat appends nothing."""
     columns = [c for c in incoming.columns if c != seq]
     schema = incoming.select(*columns).schema
-    spark.createDataFrame([], schema).write.mode("append").parquet(store_path)
-    stored = spark.read.schema(schema).parquet(store_path)
+    stored = incoming.sparkSession.read.schema(schema).parquet(store_path)
     new_rows(incoming, stored, key, seq).select(*columns).write.mode("append").parquet(store_path)
 
 

@@ -1 +1,167 @@
+"""Queries that fit models on the given texts and labels.
 
+The trained table and the lasso scoring model are kept per session and folder, as a job that trains
+once and scores often would.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from scholarmill.functions.labels import feature_group
+from scholarmill.models import regress as R
+from scholarmill.models.assemble import FittedFeatures, fit_features, training_table
+from scholarmill.models.bundle import ScoringModel, bundle
+from scholarmill.operators import evaluate as E
+from scholarmill.operators import explain as W
+from scholarmill.operators.cohort import cohort
+from scholarmill.operators.split import with_split
+from scholarmill.plans.features import CATEGORIES, KEYWORDS, STOP_WORDS
+from scholarmill.plans.registry import query
+from scholarmill.plans.shape import rounded
+from scholarmill.session import fresh_path, write_once
+from scholarmill.sources.stand_ins import citations_text, papers_text
+from scholarmill.sources.tables import read_upload, write_csv
+
+_KEPT: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark, folder, what, make):
+    key = (spark.sparkContext.applicationId, folder, what)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def training_papers(spark, folder) -> DataFrame:
+    joined = papers_text(spark, folder).join(citations_text(spark, folder), "paper_id")
+    return cohort(joined, date(2022, 12, 31))
+
+
+def trained(spark, folder) -> tuple[FittedFeatures, DataFrame]:
+    def make():
+        papers = training_papers(spark, folder)
+        features = fit_features(with_split(papers).where("split = 'train'"), CATEGORIES, KEYWORDS, STOP_WORDS)
+        return features, training_table(papers, features, keep=("paper_id", "category"))
+    return _once(spark, folder, "table", make)
+
+
+def lasso(spark, folder) -> R.Fitted:
+    return _once(spark, folder, "lasso", lambda: R.fit_lasso(trained(spark, folder)[1]))
+
+
+def scoring_model(spark, folder) -> ScoringModel:
+    def make():
+        features, table = trained(spark, folder)
+        return bundle(lasso(spark, folder), features, training_papers(spark, folder), table)
+    return _once(spark, folder, "scoring", make)
+
+
+def _metrics_of(fit):
+    def run(spark, folder) -> DataFrame:
+        table = trained(spark, folder)[1]
+        return rounded(R.split_metrics(fit(spark, folder, table), table))
+    return run
+
+
+for _name, _fit in (("model_lasso", lambda s, f, t: lasso(s, f)), ("model_ridge", lambda s, f, t: R.fit_ridge(t)),
+                    ("model_elasticnet", lambda s, f, t: R.fit_net(t)),
+                    ("model_rf", lambda s, f, t: R.fit_forest(t)), ("model_gbt", lambda s, f, t: R.fit_boosted(t))):
+    query(_name)(_metrics_of(_fit))
+
+
+@query("linear_model_comparison")
+def linear_model_comparison(spark, folder) -> DataFrame:
+    """The linear models on one set of fold moments, next to each other."""
+    table = trained(spark, folder)[1]
+    parts = R.scaled_moments(R.train_rows(table))
+    models = [lasso(spark, folder), R.fit_ridge(table, parts), R.fit_net(table, parts)]
+    return rounded(E.model_comparison(R.scored_by(models, table)))
+
+
+@query("coefficients")
+def coefficients(spark, folder) -> DataFrame:
+    features, table = trained(spark, folder)
+    return rounded(R.coefficient_table(lasso(spark, folder), features.names, table))
+
+
+@query("feature_importance")
+def feature_importance(spark, folder) -> DataFrame:
+    return rounded(W.feature_importance(coefficients(spark, folder)))
+
+
+@query("lasso_card")
+def lasso_card(spark, folder) -> DataFrame:
+    return W.model_card(coefficients(spark, folder))
+
+
+@query("lasso_top_words")
+def lasso_top_words(spark, folder) -> DataFrame:
+    return rounded(W.top_words(papers_text(spark, folder), coefficients(spark, folder)))
+
+
+@query("ablation")
+def ablation(spark, folder) -> DataFrame:
+    features, table = trained(spark, folder)
+    return rounded(R.ablation(table, features.names))
+
+
+def lasso_out_of_fold(spark, folder) -> DataFrame:
+    return _once(spark, folder, "oof", lambda: write_once(R.out_of_fold(trained(spark, folder)[1]), "out-of-fold"))
+
+
+@query("lasso_out_of_fold")
+def out_of_fold(spark, folder) -> DataFrame:
+    return rounded(lasso_out_of_fold(spark, folder).select("paper_id", "fold", "y", "pred"))
+
+
+@query("lasso_calibration")
+def lasso_calibration(spark, folder) -> DataFrame:
+    return rounded(E.calibration(lasso_out_of_fold(spark, folder)))
+
+
+@query("lasso_metrics_by_category")
+def lasso_metrics_by_category(spark, folder) -> DataFrame:
+    return rounded(E.metrics_by_category(lasso(spark, folder).score(trained(spark, folder)[1])))
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, folder) -> DataFrame:
+    """Predictions of the saved and reloaded model for all papers."""
+    path = fresh_path(spark, "model")
+    scoring_model(spark, folder).save(path, spark)
+    loaded = ScoringModel.load(path, spark)
+    return rounded(loaded.with_bounds(loaded.predict(papers_text(spark, folder), ["paper_id"])))
+
+
+@query("csv_predictions", "SELECT md5(split_part(text, chr(10), 1)) AS title_md5, true AS scored FROM documents")
+def csv_predictions(spark, folder) -> DataFrame:
+    """A CSV upload of all papers, scored, and written as CSV; read back to show what it holds."""
+    upload, out = fresh_path(spark, "upload"), fresh_path(spark, "predictions")
+    write_csv(papers_text(spark, folder).select("title", "abstract"), upload)
+    model = scoring_model(spark, folder)
+    results = model.with_bounds(model.predict_upload(read_upload(spark, upload), ["title"])).drop("pred")
+    write_csv(results, out)
+    back = spark.read.schema(results.schema).options(header=True, escape='"', multiLine=True).csv(out)
+    return back.select(F.md5(F.coalesce("title", F.lit(""))).alias("title_md5"),
+                       (F.col("predicted_citations").isNotNull() & (F.col("ci_lower") < F.col("ci_upper"))).alias("scored"))
+
+
+@query("model_card", """WITH names AS (SELECT DISTINCT 'cat_' || lang AS feature FROM documents
+    UNION ALL SELECT DISTINCT 'tfidf_' || source FROM documents),
+  coefficients AS (SELECT feature, CASE WHEN substr(md5(feature), 1, 1) < '8' THEN 0.0
+    ELSE CAST(concat('0x', substr(md5(feature), 3, 4)) AS BIGINT)::DOUBLE / 1000 - 32 END AS coef FROM names)
+  SELECT CASE WHEN starts_with(feature, 'tfidf_') THEN 'tfidf' WHEN starts_with(feature, 'cat_') THEN 'cat' ELSE 'other' END
+    AS feature_group, count(*) AS n_features, count(*) FILTER (WHERE abs(coef) > 1e-6) AS n_nonzero FROM coefficients GROUP BY 1""")
+def model_card(spark, folder) -> DataFrame:
+    """On weights drawn from the names of the given categories and sources."""
+    papers = papers_text(spark, folder)
+    names = (papers.select(F.concat(F.lit("cat_"), "category").alias("feature")).distinct()
+             .unionByName(papers.select(F.concat(F.lit("tfidf_"), "source").alias("feature")).distinct()))
+    digest = F.md5("feature")
+    weight = F.when(F.substring(digest, 1, 1) < "8", 0.0).otherwise(
+        F.conv(F.substring(digest, 3, 4), 16, 10).cast("double") / 1000 - 32)
+    return W.model_card(names.withColumn("coef", weight).withColumn("feature_group", feature_group(F.col("feature"))))

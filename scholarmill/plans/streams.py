@@ -1 +1,58 @@
+"""Queries that run the streaming jobs over the given tables until no file is left."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from scholarmill.plans.models import scoring_model
+from scholarmill.plans.registry import query
+from scholarmill.plans.shape import rounded
+from scholarmill.session import fresh_path
+from scholarmill.sources.stand_ins import DATED_SQL, papers_dated
+from scholarmill.sources.tables import read_table, stream_table
+from scholarmill.streaming.horizon import latest_counts, running_counts, start_counts
+from scholarmill.streaming.ingest import start_ingest
+from scholarmill.streaming.score import start_scoring
+
+# the given lines carry no id of their own; these columns tell them apart
+EVENT_KEY = ("l_orderkey", "l_linenumber", "paper_id", "l_suppkey", "l_extendedprice", "cited_at")
+
+
+def _stream(spark, folder, name) -> DataFrame:
+    return stream_table(spark, folder, name, read_table(spark, folder, name).schema)
+
+
+@query("stream_ingest", "SELECT DISTINCT md5(text) AS text_key, length(text) AS n_chars FROM documents")
+def stream_ingest(spark, folder) -> DataFrame:
+    """Streams the documents into a store keyed by content, twice: the second run adds nothing."""
+    rows = _stream(spark, folder, "documents").select(
+        F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
+    store = fresh_path(spark, "store")
+    for run in ("first", "again"):
+        start_ingest(rows, store, fresh_path(spark, f"ingest-{run}"), "text_key", "seq").awaitTermination()
+    return spark.read.parquet(store)
+
+
+@query("stream_horizon", f"{DATED_SQL} SELECT paper_id, category, submitted, citations_12mo, citations_24mo FROM horizon")
+def stream_horizon(spark, folder) -> DataFrame:
+    papers = papers_dated(spark, folder).select("paper_id", "category", "submitted")
+    events = _stream(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("paper_id"), "l_suppkey", "l_extendedprice",
+        F.col("l_shipdate").cast("timestamp").alias("cited_at"))
+    path = fresh_path(spark, "counts")
+    counts = running_counts(events, papers, EVENT_KEY, "3650 days")
+    start_counts(counts, path, fresh_path(spark, "counts-checkpoint")).awaitTermination()
+    return latest_counts(papers, path)
+
+
+@query("stream_score")
+def stream_score(spark, folder) -> DataFrame:
+    """Scores the documents as an upload stream of title and abstract."""
+    papers = _stream(spark, folder, "documents").select(
+        F.col("doc_id").alias("paper_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.col("text").alias("abstract"))
+    path = fresh_path(spark, "scores")
+    start_scoring(scoring_model(spark, folder), papers, ["paper_id"], path,
+                  fresh_path(spark, "scores-checkpoint")).awaitTermination()
+    return rounded(spark.read.parquet(path))
