@@ -40,7 +40,7 @@ FEATURES_SQL = f"""{TEXT_SQL} SELECT paper_id, {big(WORDS_SQL.format('abstract')
 
 
 def text_table(spark, folder) -> DataFrame:
-    return X.feature_table(papers_text(spark, folder), CATEGORIES, KEYWORDS)
+    return X.feature_table(papers_text(spark, folder, spread_out=True), CATEGORIES, KEYWORDS)
 
 
 def _features(columns: list[str]):
@@ -165,7 +165,7 @@ TERMS_SQL = f"""{TEXT_SQL}, words AS (SELECT paper_id, list_filter(
 
 
 def fitted_vocabulary(spark, folder) -> T.Vocabulary:
-    return T.fit_vocabulary(papers_text(spark, folder), STOP_WORDS)
+    return T.fit_vocabulary(papers_text(spark, folder, spread_out=True), STOP_WORDS)
 
 
 @query("tfidf_vocabulary", f"{TERMS_SQL} SELECT term, tf, df FROM vocabulary")
@@ -178,7 +178,7 @@ def tfidf_vocabulary(spark, folder) -> DataFrame:
     p.tf * (ln((1 + (SELECT count(*) FROM papers_text)) / (1 + v.df)) + 1) AS w FROM per_paper p JOIN vocabulary v USING (term))
   SELECT paper_id, term, {r6('w / sqrt(sum(w * w) OVER (PARTITION BY paper_id))')} AS weight FROM raw""")
 def tfidf_weights(spark, folder) -> DataFrame:
-    return rounded(T.tfidf_weights(papers_text(spark, folder), fitted_vocabulary(spark, folder)))
+    return rounded(T.tfidf_weights(papers_text(spark, folder, spread_out=True), fitted_vocabulary(spark, folder)))
 
 
 @query("tfidf_cell_stats", f"""{TERMS_SQL}, raw AS (SELECT p.paper_id, p.term,
@@ -189,7 +189,7 @@ def tfidf_weights(spark, folder) -> DataFrame:
     {r6('stddev_pop(x)')} AS std, {r6('min(x)')} AS min_value, {r6('max(x)')} AS max_value FROM cells""")
 def tfidf_cell_stats(spark, folder) -> DataFrame:
     """Statistics of the sparse block over all its cells, zeros included, without making them."""
-    papers = papers_text(spark, folder)
+    papers = papers_text(spark, folder, spread_out=True)
     fitted = fitted_vocabulary(spark, folder)
     moments = X.sparse_moments(T.tfidf_weights(papers, fitted), T.vocabulary_table(papers, fitted),
                                papers.agg(F.count("*")).scalar())

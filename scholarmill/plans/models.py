@@ -37,7 +37,7 @@ def _once(spark, folder, what, make):
 
 
 def training_papers(spark, folder) -> DataFrame:
-    joined = papers_text(spark, folder).join(citations_text(spark, folder), "paper_id")
+    joined = papers_text(spark, folder, spread_out=True).join(citations_text(spark, folder), "paper_id")
     return cohort(joined, date(2022, 12, 31))
 
 

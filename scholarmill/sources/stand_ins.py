@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarmill.operators.horizon import citation_horizon
-from scholarmill.sources.tables import read_table
+from scholarmill.sources.tables import read_table, spread
 
 PAPERS_TEXT_SQL = """papers_text AS (
   SELECT doc_id AS paper_id, split_part(text, chr(10), 1) AS title, text AS abstract,
@@ -43,9 +43,11 @@ TEXT_SQL = f"WITH {PAPERS_TEXT_SQL}, {CITATIONS_TEXT_SQL}"
 DATED_SQL = f"WITH {EVENTS_SQL}, {PAPERS_DATED_SQL}, {HORIZON_SQL}"
 
 
-def papers_text(spark: SparkSession, folder: str) -> DataFrame:
+def papers_text(spark: SparkSession, folder: str, spread_out: bool = False) -> DataFrame:
+    """``spread_out`` is for work on whole texts, see ``spread``."""
     first_line = F.split_part("text", F.lit("\n"), F.lit(1))
-    return read_table(spark, folder, "documents").select(
+    documents = read_table(spark, folder, "documents")
+    return (spread(documents) if spread_out else documents).select(
         F.col("doc_id").alias("paper_id"), first_line.alias("title"), F.col("text").alias("abstract"),
         first_line.alias("authors"), F.col("lang").alias("category"), "source",
         F.date_add(F.lit("2019-01-01").cast("date"), (F.col("doc_id") % 1461).cast("int")).alias("submitted"))
