@@ -37,6 +37,11 @@ class FittedFeatures:
         """Feature names in vector order."""
         return [*self.base, *(f"tfidf_{t}" for t in self.vocabulary.terms)]
 
+    @property
+    def columns(self) -> dict[str, str]:
+        """Column name per base feature: a category such as ``cs.LG`` would read as a nested field."""
+        return {c: f"base_{i}" for i, c in enumerate(self.base)}
+
     @property
     def unknown_when_uploaded(self) -> list[str]:
         """Features that title and abstract alone do not give."""
@@ -49,17 +54,18 @@ class FittedFeatures:
         With ``medians``, features of missing metadata take the training median first.
         """
         table = feature_table(papers.withColumn("tfidf_text", combined_text()), self.categories,
-                              self.keywords, keep=[*keep, "tfidf_text", "category"])
+                              self.keywords, keep=[*dict.fromkeys([*keep, "tfidf_text", "category"])])
         if medians:
             known = {c: F.col("category").isNotNull() if c.startswith("cat_") else F.col(f"`{c}`").isNotNull()
                      for c in self.unknown_when_uploaded}
             table = table.withColumns({c: F.when(ok, F.col(f"`{c}`").cast("double")).otherwise(F.lit(medians[c]))
                                        for c, ok in known.items()})
-        return impute_zero(table.drop("category") if "category" not in keep else table, self.base)
+        filled = impute_zero(table, self.base)
+        return filled.select(*keep, "tfidf_text", *(F.col(f"`{c}`").alias(n) for c, n in self.columns.items()))
 
     def stages(self, output: str = "raw") -> list:
         return [*self.vocabulary.stages("tfidf"),
-                VectorAssembler(inputCols=[*self.base, "tfidf"], outputCol=output)]
+                VectorAssembler(inputCols=[*self.columns.values(), "tfidf"], outputCol=output)]
 
 
 def fit_features(papers: DataFrame, categories: Sequence[str], keywords: Sequence[str] = KEYWORDS,

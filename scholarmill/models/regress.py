@@ -24,6 +24,7 @@ NET_SHARES = (0.5,)
 OUT_OF_FOLD_ALPHA = 0.086
 FOREST = {"numTrees": 200, "maxDepth": 8, "featureSubsetStrategy": "sqrt", "seed": 42}
 BOOSTED = {"maxIter": 200, "maxDepth": 4, "stepSize": 0.1, "seed": 42}
+BOOSTED_ANALYSIS = 100
 
 
 @dataclass(frozen=True)

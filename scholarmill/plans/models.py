@@ -69,7 +69,7 @@ def _metrics_of(fit):
 
 for _name, _fit in (("model_lasso", lambda s, f, t: lasso(s, f)), ("model_ridge", lambda s, f, t: R.fit_ridge(t)),
                     ("model_elasticnet", lambda s, f, t: R.fit_net(t)),
-                    ("model_rf", lambda s, f, t: R.fit_forest(t)), ("model_gbt", lambda s, f, t: R.fit_boosted(t))):
+                    ("model_rf", lambda s, f, t: R.fit_forest(t)), ("model_gbt", lambda s, f, t: R.fit_boosted(t, maxIter=R.BOOSTED_ANALYSIS))):
     query(_name)(_metrics_of(_fit))
 
 
