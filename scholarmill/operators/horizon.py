@@ -35,11 +35,10 @@ def citation_horizon(papers: DataFrame, events: DataFrame,
 
     Events are counted per paper and day before they meet the papers: a paper that draws a third
     of all events then brings one row per day to the join, not one per event.  Papers without any
-    event keep zero counts.  All columns of ``papers`` are grouping keys, so pass it without wide
-    texts and join those on later.
+    event keep zero counts.  Wide columns of ``papers`` stay out of the first join and the sums.
     """
     daily = events.groupBy("paper_id", "cited_on").agg(F.count("*").alias("n_events"))
     counts = horizon_counts(F.col("submitted"), F.col("cited_on"), F.col("n_events"), months)
-    return (papers.join(daily, "paper_id", "left")
-            .groupBy(*papers.columns)
-            .agg(*(c.alias(n) for n, c in counts.items())))
+    cited = (daily.join(papers.select("paper_id", "submitted"), "paper_id").groupBy("paper_id")
+             .agg(*(c.alias(n) for n, c in counts.items())))
+    return papers.join(cited, "paper_id", "left").fillna(0, list(counts))

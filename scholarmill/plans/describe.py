@@ -11,7 +11,8 @@ from scholarmill.operators.horizon import citation_horizon
 from scholarmill.plans.features import CATEGORIES, KEYWORDS
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import big, r6, rounded
-from scholarmill.sources.stand_ins import DATED_SQL, TEXT_SQL, cite_events, citations_text, dated_counts, papers_dated, papers_text
+from scholarmill.sources.stand_ins import (DATED_SQL, TEXT_SQL, citations_text, cite_events, dated_counts,
+                                           papers_dated, papers_text, stored_counts)
 
 
 @query("citation_horizon", f"{DATED_SQL} SELECT paper_id, category, submitted, citations_12mo, citations_24mo FROM horizon")
@@ -25,7 +26,7 @@ def horizon(spark, folder) -> DataFrame:
   {big("CASE WHEN citations_24mo > (SELECT quantile_cont(citations_24mo::DOUBLE, 0.75) FROM horizon) THEN 1 ELSE 0 END")}
     AS top_quartile FROM horizon""")
 def targets(spark, folder) -> DataFrame:
-    return rounded(X.targets(dated_counts(spark, folder)))
+    return rounded(X.targets(stored_counts(spark, folder)))
 
 
 @query("log_targets", f"""{DATED_SQL} SELECT paper_id, {r6('ln(1 + citations_24mo)')} AS as_log,
@@ -44,7 +45,7 @@ _C = "citations_24mo::DOUBLE"
     {r6(f'quantile_cont({_C}, 0.99)')} AS p99, count(*) FILTER (WHERE citations_24mo > p75) AS positives,
     {r6('100.0 * count(*) FILTER (WHERE citations_24mo > p75) / count(*)')} AS share_pct FROM horizon, cut""")
 def target_summary(spark, folder) -> DataFrame:
-    return rounded(X.target_summary(dated_counts(spark, folder)))
+    return rounded(X.target_summary(stored_counts(spark, folder)))
 
 
 @query("y_stats", f"""{DATED_SQL}, v AS (SELECT ln(1 + citations_24mo) AS y FROM horizon),
@@ -54,7 +55,7 @@ def target_summary(spark, folder) -> DataFrame:
     {r6('quantile_cont(y, 0.9)')} AS p90, {r6('quantile_cont(y, 0.99)')} AS p99,
     {r6('avg(power((y - mu) / sd, 3))')} AS skewness, {r6('avg(power((y - mu) / sd, 4)) - 3')} AS kurtosis FROM v, m""")
 def y_stats(spark, folder) -> DataFrame:
-    return rounded(X.y_stats(dated_counts(spark, folder)))
+    return rounded(X.y_stats(stored_counts(spark, folder)))
 
 
 @query("citation_velocity", f"""{DATED_SQL}, held AS (SELECT paper_id, citations_24mo::DOUBLE AS c24,
@@ -66,7 +67,7 @@ def y_stats(spark, folder) -> DataFrame:
     {r6('avg(c24 - c12) / (avg(c12) + 1)')} AS velocity_ratio FROM held, cut""")
 def citation_velocity(spark, folder) -> DataFrame:
     """Every tenth paper lacks its 12-month count, so the estimate is used next to real counts."""
-    papers = dated_counts(spark, folder).withColumn(
+    papers = stored_counts(spark, folder).withColumn(
         "citations_12mo", F.when(F.col("paper_id") % 10 != 0, F.col("citations_12mo")))
     return rounded(T.citation_velocity(papers))
 
@@ -116,10 +117,10 @@ def _histogram_sql(v: str) -> str:
 
 @query("histogram_by_category", _histogram_sql("citations_24mo"))
 def histogram_by_category(spark, folder) -> DataFrame:
-    return rounded(T.histogram_by_category(dated_counts(spark, folder), "citations_24mo"))
+    return rounded(T.histogram_by_category(stored_counts(spark, folder), "citations_24mo"))
 
 
 @query("histogram_log_by_category", _histogram_sql("round(ln(1 + citations_24mo), 6)"))
 def histogram_log_by_category(spark, folder) -> DataFrame:
-    logs = dated_counts(spark, folder).withColumn("log_count", F.round(F.log1p("citations_24mo"), 6))
+    logs = stored_counts(spark, folder).withColumn("log_count", F.round(F.log1p("citations_24mo"), 6))
     return rounded(T.histogram_by_category(logs, "log_count"))

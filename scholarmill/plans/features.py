@@ -9,9 +9,11 @@ from scholarmill.functions.keys import hash_bucket
 from scholarmill.functions.labels import decode_one_hot, pretty_feature
 from scholarmill.operators import features as X
 from scholarmill.operators import tfidf as T
+from scholarmill.operators.quantiles import count_percentiles, measured_percentiles
 from scholarmill.operators.split import with_split
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import big, r6, rounded
+from scholarmill.session import write_once
 from scholarmill.sources.stand_ins import DATED_SQL, TEXT_SQL, citations_text, papers_dated, papers_text
 
 CATEGORIES = ["en", "fr", "de", "es"]
@@ -130,7 +132,7 @@ def x_stats_by_group(spark, folder) -> DataFrame:
     r6(f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0)") + f" AS {c}" for c in NUMERIC)
     + " FROM f")
 def standardize(spark, folder) -> DataFrame:
-    return rounded(X.standardize(rounded(text_table(spark, folder)), NUMERIC))
+    return rounded(X.standardize(write_once(rounded(text_table(spark, folder)), "features"), NUMERIC))
 
 
 @query("median_fill", f"""WITH f AS ({FEATURES_SQL}), m AS (SELECT quantile_cont(flesch_reading_ease, 0.5) AS ease,
@@ -139,9 +141,8 @@ def standardize(spark, folder) -> DataFrame:
     {r6('CASE WHEN paper_id % 5 = 0 THEN words ELSE abstract_length END')} AS abstract_length FROM f, m""")
 def median_fill(spark, folder) -> DataFrame:
     """Every third readability and every fifth length is unknown and takes the median of all papers."""
-    from scholarmill.operators.quantiles import count_percentiles, measured_percentiles
-
-    table = rounded(text_table(spark, folder).select("paper_id", "flesch_reading_ease", "abstract_length"))
+    table = write_once(rounded(text_table(spark, folder).select(
+        "paper_id", "flesch_reading_ease", "abstract_length")), "features")
     medians = (measured_percentiles(table, "flesch_reading_ease", [0.5])
                .select(F.col("points")[0].alias("flesch_reading_ease"))
                .withColumn("abstract_length", count_percentiles(table, "abstract_length", [0.5])

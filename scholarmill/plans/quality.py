@@ -13,8 +13,8 @@ from scholarmill.operators import quality as Q
 from scholarmill.operators.features import impute_zero
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import big, r6, rounded
-from scholarmill.sources.stand_ins import (DATED_SQL, TEXT_SQL, citations_text, dated_counts,
-                                           papers_dated, papers_text)
+from scholarmill.sources.stand_ins import (DATED_SQL, TEXT_SQL, citations_text, papers_dated,
+                                           papers_text, stored_counts)
 from scholarmill.sources.tables import read_table
 
 CUTOFF = date(2021, 12, 31)
@@ -225,7 +225,7 @@ def _distribution_sql(c: str) -> str:
 
 @query("citation_distribution", f"{DATED_SQL} {' UNION ALL '.join(_distribution_sql(c) for c in COUNTS)}")
 def citation_distribution(spark, folder) -> DataFrame:
-    return rounded(Q.citation_distribution(dated_counts(spark, folder), COUNTS))
+    return rounded(Q.citation_distribution(stored_counts(spark, folder), COUNTS))
 
 
 @query("papers_per_category", f"{TEXT_SQL} SELECT category, count(*) AS n_papers FROM papers_text GROUP BY category ORDER BY category")

@@ -23,11 +23,14 @@ from scholarmill.sources.tables import read_table
 
 
 def model_rows(spark, folder) -> DataFrame:
-    """log1p of the 24-month count against log1p of the 12-month count."""
+    """log1p of the 24-month count against log1p of the 12-month count.
+
+    Written once: the fit, the score and every cut point read this narrow table, not the events.
+    """
     rows = dated_counts(spark, folder).select(
         "paper_id", "category", "author_count", "citations_24mo", F.log1p("citations_12mo").alias("x"),
         F.log1p("citations_24mo").alias("y"))
-    return with_fold(with_split(rows))
+    return write_once(with_fold(with_split(rows)), "model-rows")
 
 
 def line_scored(spark, folder) -> DataFrame:
@@ -268,12 +271,13 @@ RANK_SQL = f"""{SCORED_SQL}, s AS (SELECT paper_id, pred, exp(pred) - 1 AS predi
   FROM s JOIN d ON s.predicted_citations = d.v""")
 def percentile_of_scores(spark, folder) -> DataFrame:
     """Rounded scores, so that many of them tie with observed counts."""
-    scores = line_scored(spark, folder).select("paper_id", F.round(F.expm1("pred"), 0).alias("predicted_citations"))
-    return rounded(percentile_of_score(scores, "predicted_citations", dated_counts(spark, folder), "citations_24mo"))
+    scored = line_scored(spark, folder)
+    scores = scored.select("paper_id", F.round(F.expm1("pred"), 0).alias("predicted_citations"))
+    return rounded(percentile_of_score(scores, "predicted_citations", scored, "citations_24mo"))
 
 
 def observed_results(spark, folder) -> DataFrame:
-    scored = write_once(line_scored(spark, folder), "scored")
+    scored = line_scored(spark, folder)
     return S.score_observed(scored, scored, scored)
 
 
@@ -292,18 +296,17 @@ def batch_summary(spark, folder) -> DataFrame:
 
 
 def literal_coefficients(spark, folder) -> DataFrame:
-    """A weight for each word of at least four letters in the parts' names and the nations' names."""
-    words = (read_table(spark, folder, "documents")
-             .select(F.explode(F.regexp_extract_all(F.lower(F.col("source")), F.lit("[a-z]+[0-9]+"), F.lit(0))).alias("w"))
-             .distinct())
-    picked = words.select(F.concat(F.lit("tfidf_"), F.substring(F.md5("w"), 1, 2)).alias("feature"),
-                          (F.conv(F.substring(F.md5("w"), 3, 4), 16, 10).cast("double") / 1000 - 32).alias("coef"))
-    return picked.groupBy("feature").agg(F.max("coef").alias("coef"))
-
-
-COEF_SQL = """coefficients AS (SELECT 'tfidf_' || substr(md5(w), 1, 2) AS feature,
-    max(CAST(concat('0x', substr(md5(w), 3, 4)) AS BIGINT)::DOUBLE / 1000 - 32) AS coef
-  FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(source), '[a-z]+[0-9]+')) AS w FROM documents) GROUP BY 1)"""
+    """A weight, drawn from its hash, for each four-letter word of the benchmark texts."""
+    words = (read_table(spark, folder, "benchmark")
+             .select(F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("w"))
+             .where(F.rlike("w", F.lit("^[a-z]{4}$"))).distinct())
+    return words.select(F.concat(F.lit("tfidf_"), "w").alias("feature"),
+                        (F.conv(F.substring(F.md5("w"), 3, 4), 16, 10).cast("double") / 1000 - 32).alias("coef"))
+
+
+COEF_SQL = """coefficients AS (SELECT 'tfidf_' || w AS feature,
+    CAST(concat('0x', substr(md5(w), 3, 4)) AS BIGINT)::DOUBLE / 1000 - 32 AS coef
+  FROM (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE regexp_matches(w, '^[a-z]{4}$'))"""
 WORDS_SQL = f"""WITH {COEF_SQL}, hits AS (SELECT doc_id AS paper_id, replace(feature, 'tfidf_', '') AS term, coef
   FROM documents JOIN coefficients ON coef <> 0
     AND contains(lower(split_part(text, chr(10), 1) || ' ' || text), replace(feature, 'tfidf_', '')))"""
@@ -311,12 +314,12 @@ WORDS_SQL = f"""WITH {COEF_SQL}, hits AS (SELECT doc_id AS paper_id, replace(fea
 
 @query("word_contributions", f"{WORDS_SQL} SELECT paper_id, term, {r6('coef')} AS coef FROM hits")
 def word_contributions(spark, folder) -> DataFrame:
-    """Two-character terms drawn from the source names: they occur inside words, as the match allows."""
-    return rounded(W.word_contributions(papers_text(spark, folder), literal_coefficients(spark, folder)))
+    """The terms also match inside longer words, as they should."""
+    return rounded(W.word_contributions(papers_text(spark, folder, spread_out=True), literal_coefficients(spark, folder)))
 
 
 @query("top_words_per_paper", f"""{WORDS_SQL} SELECT paper_id, rank, term, {r6('coef')} AS coef,
   CASE WHEN coef > 0 THEN 'increases' ELSE 'decreases' END AS direction
-  FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY abs(coef) DESC, term) AS rank FROM hits) WHERE rank <= 3""")
+  FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY abs(coef) DESC, term) AS rank FROM hits) WHERE rank <= 10""")
 def top_words_per_paper(spark, folder) -> DataFrame:
-    return rounded(W.top_words(papers_text(spark, folder), literal_coefficients(spark, folder), 3))
+    return rounded(W.top_words(papers_text(spark, folder, spread_out=True), literal_coefficients(spark, folder), 10))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarmill.operators.horizon import citation_horizon
+from scholarmill.session import write_once
 from scholarmill.sources.tables import read_table, spread
 
 PAPERS_TEXT_SQL = """papers_text AS (
@@ -77,3 +78,8 @@ def papers_dated(spark: SparkSession, folder: str) -> DataFrame:
 def dated_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Papers with their citation counts at 12 and 24 months."""
     return citation_horizon(papers_dated(spark, folder), cite_events(spark, folder))
+
+
+def stored_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, written once, for work that reads the counts more than once."""
+    return write_once(dated_counts(spark, folder).drop("title"), "counts")
