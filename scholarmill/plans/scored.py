@@ -15,11 +15,12 @@ from scholarmill.operators import score as S
 from scholarmill.operators.quantiles import percentile_of_score
 from scholarmill.operators.split import with_fold, with_split
 from scholarmill.operators.univariate import score_line, score_mean, score_out_of_fold
+from scholarmill.operators.tfidf import vocabulary_table
+from scholarmill.plans.features import TERMS_SQL, fitted_vocabulary
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import big, r6, rounded
 from scholarmill.session import write_once
 from scholarmill.sources.stand_ins import DATED_SQL, dated_counts, papers_text
-from scholarmill.sources.tables import read_table
 
 
 def model_rows(spark, folder) -> DataFrame:
@@ -296,29 +297,25 @@ def batch_summary(spark, folder) -> DataFrame:
 
 
 def literal_coefficients(spark, folder) -> DataFrame:
-    """A weight, drawn from its hash, for each four-letter word of the benchmark texts."""
-    words = (read_table(spark, folder, "benchmark")
-             .select(F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("w"))
-             .where(F.rlike("w", F.lit("^[a-z]{4}$"))).distinct())
-    return words.select(F.concat(F.lit("tfidf_"), "w").alias("feature"),
-                        (F.conv(F.substring(F.md5("w"), 3, 4), 16, 10).cast("double") / 1000 - 32).alias("coef"))
+    """A weight, drawn from its hash, for each term of the fitted vocabulary."""
+    terms = vocabulary_table(papers_text(spark, folder), fitted_vocabulary(spark, folder))
+    return terms.select(F.concat(F.lit("tfidf_"), "term").alias("feature"),
+                        (F.conv(F.substring(F.md5("term"), 3, 4), 16, 10).cast("double") / 1000 - 32).alias("coef"))
 
 
-COEF_SQL = """coefficients AS (SELECT 'tfidf_' || w AS feature,
-    CAST(concat('0x', substr(md5(w), 3, 4)) AS BIGINT)::DOUBLE / 1000 - 32 AS coef
-  FROM (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE regexp_matches(w, '^[a-z]{4}$'))"""
-WORDS_SQL = f"""WITH {COEF_SQL}, hits AS (SELECT doc_id AS paper_id, replace(feature, 'tfidf_', '') AS term, coef
-  FROM documents JOIN coefficients ON coef <> 0
-    AND contains(lower(split_part(text, chr(10), 1) || ' ' || text), replace(feature, 'tfidf_', '')))"""
+HITS_SQL = f"""{TERMS_SQL}, coefficients AS (SELECT term,
+    CAST(concat('0x', substr(md5(term), 3, 4)) AS BIGINT)::DOUBLE / 1000 - 32 AS coef FROM vocabulary),
+  hits AS (SELECT paper_id, term, coef FROM papers_text JOIN coefficients ON coef <> 0
+    AND contains(lower(title || ' ' || abstract), term))"""
 
 
-@query("word_contributions", f"{WORDS_SQL} SELECT paper_id, term, {r6('coef')} AS coef FROM hits")
+@query("word_contributions", f"{HITS_SQL} SELECT paper_id, term, {r6('coef')} AS coef FROM hits")
 def word_contributions(spark, folder) -> DataFrame:
     """The terms also match inside longer words, as they should."""
     return rounded(W.word_contributions(papers_text(spark, folder, spread_out=True), literal_coefficients(spark, folder)))
 
 
-@query("top_words_per_paper", f"""{WORDS_SQL} SELECT paper_id, rank, term, {r6('coef')} AS coef,
+@query("top_words_per_paper", f"""{HITS_SQL} SELECT paper_id, rank, term, {r6('coef')} AS coef,
   CASE WHEN coef > 0 THEN 'increases' ELSE 'decreases' END AS direction
   FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY abs(coef) DESC, term) AS rank FROM hits) WHERE rank <= 10""")
 def top_words_per_paper(spark, folder) -> DataFrame:
