@@ -38,6 +38,11 @@ def citation_horizon(papers: DataFrame, events: DataFrame,
     event keep zero counts.  Wide columns of ``papers`` stay out of the first join and the sums.
     """
     daily = events.groupBy("paper_id", "cited_on").agg(F.count("*").alias("n_events"))
+    return horizon_of_daily(papers, daily, months)
+
+
+def horizon_of_daily(papers: DataFrame, daily: DataFrame, months: tuple[int, ...] = MONTHS) -> DataFrame:
+    """The same from events counted per paper and day (``n_events``)."""
     counts = horizon_counts(F.col("submitted"), F.col("cited_on"), F.col("n_events"), months)
     cited = (daily.join(papers.select("paper_id", "submitted"), "paper_id").groupBy("paper_id")
              .agg(*(c.alias(n) for n, c in counts.items())))

@@ -41,8 +41,11 @@ def not_stored(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
 
 
 def new_rows(incoming: DataFrame, stored: DataFrame, key: str, seq: str) -> DataFrame:
-    """Insert-if-absent: one row per new key, the first one; stored rows never change."""
-    return first_per_key(not_stored(incoming, stored, key), key, seq)
+    """Insert-if-absent: one row per new key, the first one; stored rows never change.
+
+    Copies collapse before the join, so a key with many copies meets the store as one row.
+    """
+    return not_stored(first_per_key(incoming, key, seq), stored, key)
 
 
 def open_store(spark: SparkSession, store_path: str, schema: T.StructType) -> None:

@@ -11,7 +11,7 @@ from scholarmill.plans.shape import rounded
 from scholarmill.session import fresh_path
 from scholarmill.sources.stand_ins import DATED_SQL, papers_dated
 from scholarmill.sources.tables import read_table, stream_table
-from scholarmill.streaming.horizon import latest_counts, running_counts, start_counts
+from scholarmill.streaming.horizon import daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
 from scholarmill.streaming.score import start_scoring
 
@@ -41,9 +41,9 @@ def stream_horizon(spark, folder) -> DataFrame:
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("paper_id"), "l_suppkey", "l_extendedprice",
         F.col("l_shipdate").cast("timestamp").alias("cited_at"))
     path = fresh_path(spark, "counts")
-    counts = running_counts(events, papers, EVENT_KEY, "3650 days")
+    counts = daily_counts(events, EVENT_KEY, "3650 days")
     start_counts(counts, path, fresh_path(spark, "counts-checkpoint")).awaitTermination()
-    return latest_counts(papers, path)
+    return running_horizon(papers, path)
 
 
 @query("stream_score")

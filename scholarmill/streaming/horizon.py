@@ -8,25 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from scholarmill.operators.horizon import MONTHS, horizon_counts
+from scholarmill.operators.horizon import MONTHS, horizon_of_daily
 
+STORED = "paper_id bigint, started timestamp, cited_on date, n_events bigint, batch int"
 
-def running_counts(events: DataFrame, papers: DataFrame, event_key: Sequence[str], delay: str,
-                   months: tuple[int, ...] = MONTHS) -> DataFrame:
-    """Counts per paper so far.  ``events`` has ``paper_id``, ``cited_at`` (timestamp) and its key.
 
-    The watermark bounds the state that drops repeated events; an event later than ``delay`` is
-    dropped with it, so choose the lateness to accept and reconcile with the batch count.  The
-    counters themselves stay, two per paper, since a horizon is relative to each paper's own date.
+def daily_counts(events: DataFrame, event_key: Sequence[str], delay: str) -> DataFrame:
+    """Events per paper and day so far.  ``events`` has ``paper_id``, ``cited_at`` (timestamp) and its key.
+
+    A horizon is relative to each paper's own date, which no event-time window fits; days do.  So the
+    stream counts days and needs no papers: a paper with many events spreads over its days, and
+    the watermark evicts both the repeats it guards against and the days that are over.  An event
+    later than ``delay`` is dropped, so choose the lateness to accept and reconcile with the batch
+    count.
     """
     fresh = events.withWatermark("cited_at", delay).dropDuplicatesWithinWatermark(list(event_key))
-    counts = horizon_counts(F.col("submitted"), F.to_date("cited_at"), F.lit(1).cast("long"), months)
-    return (fresh.join(papers.select("paper_id", "submitted"), "paper_id")
-            .groupBy("paper_id").agg(*(c.alias(n) for n, c in counts.items())))
+    return (fresh.groupBy("paper_id", F.window("cited_at", "1 day").alias("w"),
+                          F.to_date("cited_at").alias("cited_on"))
+            .agg(F.count("*").alias("n_events"))
+            .select("paper_id", F.col("w.start").alias("started"), "cited_on", "n_events"))
 
 
 def start_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Writes the changed counters of each micro-batch under its own number.
+    """Writes the changed counts of each micro-batch under its own number.
 
     A replay overwrites its own folder only.
     """
@@ -37,11 +41,10 @@ def start_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def latest_counts(papers: DataFrame, path: str, months: tuple[int, ...] = MONTHS) -> DataFrame:
-    """The last stored counters per paper; zero for a paper no event cited."""
-    names = [f"citations_{m}mo" for m in months]
-    schema = ", ".join(["paper_id bigint", *(f"{n} bigint" for n in names), "batch int"])
-    stored = papers.sparkSession.read.schema(schema).parquet(path)
-    last = (stored.groupBy("paper_id").agg(F.max_by(F.struct(*names), "batch").alias("c"))
-            .select("paper_id", "c.*"))
-    return papers.join(last, "paper_id", "left").fillna(0, names)
+def running_horizon(papers: DataFrame, path: str, months: tuple[int, ...] = MONTHS) -> DataFrame:
+    """Horizon counts from the latest stored count of each paper and day."""
+    stored = papers.sparkSession.read.schema(STORED).parquet(path)
+    daily = (stored.groupBy("paper_id", "started", "cited_on")
+             .agg(F.max_by("n_events", "batch").alias("n_events"))
+             .groupBy("paper_id", "cited_on").agg(F.sum("n_events").alias("n_events")))
+    return horizon_of_daily(papers, daily, months)

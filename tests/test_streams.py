@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from scholarmill.operators.horizon import citation_horizon
 from scholarmill.session import fresh_path
-from scholarmill.streaming.horizon import latest_counts, running_counts, start_counts
+from scholarmill.streaming.horizon import daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
 
 
@@ -32,7 +32,7 @@ def test_running_counts_equal_the_batch_counts(spark):
         F.expr("timestamp '2019-12-01 12:00:00' + make_interval(0, 0, 0, cast(id * 5 as int))").alias("cited_at"))
     stream = landed(events.unionByName(events.where("id % 7 = 0")), fresh_path(spark, "events"), 4)
     path = fresh_path(spark, "counts")
-    start_counts(running_counts(stream, papers, ["id"], "4000 days"), path, fresh_path(spark, "ck")).awaitTermination()
+    start_counts(daily_counts(stream, ["id"], "4000 days"), path, fresh_path(spark, "ck")).awaitTermination()
     batch = citation_horizon(papers, events.select("paper_id", F.to_date("cited_at").alias("cited_on")))
-    got, want = (sorted(map(tuple, df.collect())) for df in (latest_counts(papers, path), batch))
+    got, want = (sorted(map(tuple, df.collect())) for df in (running_horizon(papers, path), batch))
     assert got == want and got[4][2:] == (0, 0)
