@@ -46,7 +46,7 @@ class ScoringModel:
                                         "ci_upper": F.expm1(F.col("pred") + half)})
 
     def save(self, path: str, spark: SparkSession) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        self.pipeline.write().overwrite().save(f"{path}/stages")
         v = asdict(self.features.vocabulary)
         row = (list(self.features.categories), list(self.features.keywords), list(v["terms"]), list(v["tf"]),
                list(v["df"]), v["n_documents"], list(v["stop_words"]), self.medians, self.sigma, self.y_mean, self.y_std)
@@ -58,7 +58,7 @@ class ScoringModel:
         vocabulary = Vocabulary(tuple(r["terms"]), tuple(r["tf"]), tuple(r["df"]), r["n_documents"],
                                 tuple(r["stop_words"]))
         features = FittedFeatures(tuple(r["categories"]), tuple(r["keywords"]), vocabulary)
-        return ScoringModel(features, PipelineModel.load(f"{path}/pipeline"), dict(r["medians"]), r["sigma"],
+        return ScoringModel(features, PipelineModel.load(f"{path}/stages"), dict(r["medians"]), r["sigma"],
                             r["y_mean"], r["y_std"])
 
 
