@@ -160,3 +160,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def held_out(id_col: str = "doc_id"):
     """The third of the ids that no fit may see; a null id is not held out."""
     return F.coalesce(F.crc32(column(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that the model does not reject; all columns stay, and no text is shuffled."""
+    sent = prepare(docs.sparkSession).sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def known(held):
+        return held.map(lambda text: text is not None and not sent.value.predict(text)[2]).astype(bool)
+
+    return docs.filter(known(column(text_col)))

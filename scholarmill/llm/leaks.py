@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +59,19 @@ class Search:
                     self.shift[part] = far
             self.bucket.setdefault(p[m - b:m], []).append(p)
 
-    def find(self, line: bytes) -> list[tuple[int, bytes]]:
+    def grouped(benchmark: DataFrame, k: int, group_bytes: int) -> list[Broadcast]:
+    """The patterns as broadcasts of about ``group_bytes`` at most each, one at least."""
+    spark = prepare(benchmark.sparkSession)
+    known = write_once(patterns(benchmark, k=k), "patterns")
+    total = known.agg(F.sum(F.length("pattern") + F.aggregate("items", F.lit(0), lambda n, x: n + F.length(x)))).first()[0]
+    groups = -(-(total or 0) // group_bytes) or 1
+    part = F.pmod(F.xxhash64("pattern"), F.lit(groups))
+    # the sum above bounds what one group collects and sends
+    return [spark.sparkContext.broadcast({bytes(r.pattern): list(r["items"]) for r in known.filter(part == g).toLocalIterator()})
+            for g in range(groups)]
+
+
+def find(self, line: bytes) -> list[tuple[int, bytes]]:
         """``(start, pattern)`` of every occurrence."""
         found = []
         b, back, jump, shift, last = self.block, self.least - self.block, self.jump, self.shift.get, len(line) - self.block
@@ -132,10 +145,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     strings. Null and empty texts have no words; items without an id or without words are left out; an empty benchmark
     hits nothing; repeated rows stay.
     """
-    spark = prepare(docs.sparkSession)
-    known = write_once(patterns(benchmark, k=k), "patterns")
-    total = known.agg(F.sum(F.length("pattern") + F.aggregate("items", F.lit(0), lambda n, x: n + F.length(x)))).first()[0]
-    groups = -(-(total or 0) // group_bytes) or 1
+    sent_groups = grouped(benchmark, k, group_bytes)
     rows = texts(docs, id_col, text_col).withColumns({
         "n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<first:bigint,last:bigint>>"),
         "items": F.array().cast("array<string>")})
@@ -143,11 +153,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     kinds = {"doc_id": (key, fields(rows, "doc_id")), "text": (pa.string(), "string"), "n_words": (pa.int64(), "bigint"),
              "spans": (span, "array<struct<first:bigint,last:bigint>>"), "items": (pa.list_(pa.string()), "array<string>")}
-    for group in range(groups):
-        part = known.filter(F.pmod(F.xxhash64("pattern"), F.lit(groups)) == group)
-        # the sum above bounds what one group collects and sends
-        sent = spark.sparkContext.broadcast({bytes(r.pattern): list(r["items"]) for r in part.toLocalIterator()})
-        names = [n for n in kinds if n != "text" or group < groups - 1]
+    for group, sent in enumerate(sent_groups):
+        names = [n for n in kinds if n != "text" or group < len(sent_groups) - 1]
         schema = pa.schema([(n, kinds[n][0]) for n in names])
 
         def run(batches, sent=sent, names=names, schema=schema):
@@ -177,8 +184,16 @@ def digests(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          k: int = WINDOW_WORDS) -> DataFrame:
-    """Rows of ``docs`` without any hit word; all columns stay. Rows share the fate of their id; a null id stays."""
-    hit = find(docs, benchmark, id_col, text_col, k).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, column(id_col) == F.col("_hit"), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", k: int = WINDOW_WORDS,
+          group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """Rows of ``docs`` without any hit word; all columns stay, and no text is shuffled."""
+    for sent in grouped(benchmark, k, group_bytes):
+
+        @F.pandas_udf("boolean", F.PandasUDFType.SCALAR_ITER)
+        def free(batches, sent=sent):
+            own = searches(sent.value)
+            for held in batches:
+                yield held.map(lambda text: text is None or not search_words(words_of(text), own)[0]).astype(bool)
+
+        docs = docs.filter(free(column(text_col)))
+    return docs

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import bpe, counts, lang, leaks, secrets
+from scholarmill.llm import bpe, counts, lang, leaks, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,3 +92,8 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = lang.predict(docs, lang.fit(docs.filter(~lang.held_out())))
     return found.select("doc_id", lang.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@named("op10_simhash_golay")
+def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(simhash.classes(table(spark, sf_dir, "documents")))
