@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import bpe, counts, lang, leaks, secrets, simhash
+from scholarmill.llm import (bpe, counts, egojoin, lang, leaks, licences, repeats, secrets, simhash,
+                              tokenfiles)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,11 +47,50 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *ranks), *ranks))
 
 
+@named("op2_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfiles.write(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=1)
+    return tokenfiles.digests(tokenfiles.read(manifest))
+
+
+@named("op3_vector_join", """
+WITH RECURSIVE vectors AS (
+    SELECT DISTINCT vec_id, label, embedding, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings),
+usable AS (
+    SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+      AND len(list_filter(v, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98),
+reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+       coalesce(vec_id = least(vec_id, coalesce(m, vec_id)), false) AS kept
+FROM vectors
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, min(b) AS m FROM reach GROUP BY a) USING (vec_id)
+""")
+def vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+@named("op4_repeated_strings")
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.remove(table(spark, sf_dir, "documents")))
+
+
 @named("op5_secret_scan")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"), pattern()))
 
 
+@named("op6_licence_scan")
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digests(licences.scan(table(spark, sf_dir, "documents")))
+
+
 @named("op7_decontamination", """
 WITH docs AS (
     SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -24,8 +24,10 @@ _SHIPPED: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bounds Arrow batches and sends this package to executors that do not have it on their path."""
+    """Bounds Arrow batches, lets shuffle files go early, and sends this package to executors that do not have it on their path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # operators write their steps as tables; a step's shuffle files are of no use after it
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     application = spark.sparkContext.applicationId
     if application not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
