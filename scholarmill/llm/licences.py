@@ -6,8 +6,8 @@ themselves are compared in the join, so a collision never counts. A pair of plac
 diagonal has all votes of its template. Looser notices gather the votes of neighbouring diagonals, at most ``GAP``
 words apart, and need ``LEAST_SHARE`` of the template's runs, the first and the last among them.
 
-The template table is built from the lists below or passed by the caller; whether it is small enough to be broadcast is
-left to the planner. Hits alone are shuffled, with one row per document that carries its number of words.
+The templates are lists of the caller's, so their size is known: up to ``SENT_CHARS`` characters they are broadcast, and
+hits alone are shuffled, with one row per document that carries its number of words. Beyond, the runs are shuffled.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from scholarmill.llm.rows import texts
 #: Words of a run, largest distance of neighbouring diagonals, share of a template's runs that makes a label.
 K, GAP, LEAST_SHARE = 3, 2, 0.8
 
+#: Characters of templates that are broadcast.
+SENT_CHARS = 1_000_000
+
 #: Fixed phrases whose words must stand consecutively, by label.
 PHRASES = (
     ("mit", "under the mit license"),
@@ -68,7 +71,7 @@ def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFram
         "template", "label", "exact", "n_runs", "at", "hash", F.slice("words", F.col("at") + 1, K).alias("run"))
 
 
-def votes(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def votes(docs: DataFrame, known: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
     """``(row, doc_id, template, label, exact, n_runs, diagonal, votes, low, high, n_words)`` per diagonal, and a row per document."""
     rows = texts(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words"))
     marker = known.sparkSession.createDataFrame([(OWN, None, False, 0, -1, 0, None)], known.schema)
@@ -76,7 +79,7 @@ def votes(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> Data
     placed = rows.select("row", "doc_id", "words", F.posexplode(F.concat(F.array(F.lit(0).cast("long")), runs(F.col("words")))).alias("place", "hash"))
     own = F.col("template") == OWN
     same = F.when(F.col("place") == 0, own).otherwise(~own & (F.slice("words", F.col("place"), K) == F.col("run")))
-    found = placed.join(known.union(marker), "hash").filter(same)
+    found = placed.join(known.union(marker).hint(how), "hash").filter(same)
     found = found.select("row", "doc_id", "template", "label", "exact", "n_runs", "at", (F.col("place") - 1 - F.col("at")).alias("diagonal"),
                          F.when(own, F.size("words")).alias("n_words"))
     # everything below works on one document's rows
@@ -93,7 +96,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     text has no words; repeated rows stay.
     """
     known = templates(docs.sparkSession, phrases, notices)
-    cast = votes(docs, known, id_col, text_col)
+    small = sum(len(text) for _, text in (*phrases, *notices)) <= SENT_CHARS
+    cast = votes(docs, known, "broadcast" if small else "merge", id_col, text_col)
     near = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > GAP, F.lit(True))
     grouped = cast.withColumn("group", F.sum(apart.cast("int")).over(near.rowsBetween(Window.unboundedPreceding, 0)))
