@@ -18,7 +18,7 @@ def _term_weights(coefficients: DataFrame) -> Column:
     """
     terms = (coefficients.where(F.startswith("feature", F.lit("tfidf_")) & (F.col("coef") != 0))
              .select(F.struct((-F.abs("coef")).alias("size"),
-                              F.substring("feature", len("tfidf_") + 1, 1 << 20).alias("term"),
+                              F.expr("substring(feature, 7)").alias("term"),
                               "coef").alias("t")))
     return terms.agg(F.array_sort(F.collect_list("t"))).scalar()
 

@@ -12,6 +12,7 @@ from scholarmill.functions.text import (KEYWORDS, author_count, bracket_refs, do
                                         keyword_flags, reading_ease, word_count)
 from scholarmill.operators.quantiles import count_percentiles
 
+# Names of the feature columns.
 TEXT_FEATURES = ("abstract_length", "title_length", "flesch_reading_ease", "equation_count",
                  "citation_count")
 DATED_FEATURES = ("author_count", "submission_month", "submission_year")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAYS_PER_MONTH = 30
@@ -47,3 +47,16 @@ def horizon_of_daily(papers: DataFrame, daily: DataFrame, months: tuple[int, ...
     cited = (daily.join(papers.select("paper_id", "submitted"), "paper_id").groupBy("paper_id")
              .agg(*(c.alias(n) for n, c in counts.items())))
     return papers.join(cited, "paper_id", "left").fillna(0, list(counts))
+
+
+def first_event_horizon(papers: DataFrame, events: DataFrame, months: tuple[int, ...] = MONTHS) -> DataFrame:
+    """The same where the day of a paper's first event is its submission day, in ``submitted``.
+
+    The first day comes from the counts per paper and day, so events are scanned once; a paper brings a row per day to
+    the task that finds it.  Papers without events are left out.
+    """
+    daily = events.groupBy("paper_id", "cited_on").agg(F.count("*").alias("n_events"))
+    dated = daily.withColumn("submitted", F.min("cited_on").over(Window.partitionBy("paper_id")))
+    counts = horizon_counts(F.col("submitted"), F.col("cited_on"), F.col("n_events"), months)
+    cited = dated.groupBy("paper_id").agg(F.min("submitted").alias("submitted"), *(c.alias(n) for n, c in counts.items()))
+    return papers.join(cited, "paper_id")

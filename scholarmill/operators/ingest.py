@@ -24,15 +24,17 @@ def union_sources(sources: Sequence[DataFrame]) -> DataFrame:
 
 
 def first_per_key(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """The row with the least ``seq`` per key.
+    """The row with the least ``seq`` per key; a null ``seq`` comes last, ties go to the least hash of the whole row.
 
-    An aggregate rather than a window: copies collapse before the shuffle, so a key that holds a
-    third of all rows does not meet in one task.
+    Only the winner's ``seq`` and hash are aggregated, partially and by hashing; the wide row is fetched by a join, whose
+    larger side the planner may split, so a key that holds a third of all rows does not meet in one task.
     """
-    kept = [c for c in rows.columns if c != key]
-    return (rows.groupBy(key)
-            .agg(F.min_by(F.struct(*kept), F.col(seq)).alias("kept"))
-            .select(key, "kept.*").select(*rows.columns))
+    marked = rows.withColumn("_hash", F.xxhash64(*rows.columns))
+    first = rows.groupBy(F.col(key).alias("_key")).agg(F.min(seq).alias("_seq"))
+    near = marked.join(first, F.col(key).eqNullSafe(F.col("_key")) & F.col(seq).eqNullSafe(F.col("_seq"))).select(*marked.columns)
+    least = near.groupBy(F.col(key).alias("_key")).agg(F.min("_hash").alias("_least"))
+    return (near.join(least, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_least")))
+            .select(*rows.columns).distinct())
 
 
 def not_stored(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:

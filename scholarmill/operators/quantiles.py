@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from scholarmill.session import write_once
 
-SKETCH_ACCURACY = 20_000
+#: Ranks the sketch tells apart, and the ranks a bracket spans on either side; a miss widens it by the factor.
+SKETCH_ACCURACY, MARGIN, WIDER = 20_000, 4.0, 16.0
 
 
 def count_percentiles(df: DataFrame, value: str, points: Sequence[float],
@@ -36,12 +37,24 @@ def measured_percentiles(df: DataFrame, value: str, points: Sequence[float],
     """Percentiles of a measured value: bracket each rank with a sketch, then select exactly.
 
     The sketch's rank error is bounded, so each wanted rank lies between two sketched values that
-    enclose a few ten-thousandths of the rows.  One pass counts the rows below each bracket and
-    keeps the distinct values inside it; a running count over those finds the two neighbours of the
-    rank.  Should a bracket ever miss its rank the query fails; it never returns a near value.
+    enclose a few ten-thousandths of the rows, whatever their number.  One pass counts the rows
+    below each bracket and keeps the distinct values inside it; a running count over those finds
+    the two neighbours of the rank.  Should a bracket miss its rank, all are widened and the pass is
+    repeated, in the end from the least to the greatest value, which cannot miss.
     """
-    points = [float(p) for p in points]
-    margin = 4.0 / SKETCH_ACCURACY
+    margin = MARGIN / SKETCH_ACCURACY
+    while True:
+        chosen = write_once(_bracketed(df, value, [float(p) for p in points], by, margin), "percentiles")
+        if chosen.where("missed").isEmpty():
+            break
+        margin *= WIDER
+    value_at = F.col("left") + F.col("frac") * (F.col("right") - F.col("left"))
+    return (chosen.select(*by, "n", "i", value_at.alias("v")).groupBy(*by, "n")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("points")))
+
+
+def _bracketed(df: DataFrame, value: str, points: Sequence[float], by: Sequence[str], margin: float) -> DataFrame:
+    """Per group and point the two values beside its rank, and whether the bracket missed them."""
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("v"))
     wanted = [max(0.0, p - margin) for p in points] + [min(1.0, p + margin) for p in points]
     sketch = rows.groupBy(*by).agg(
@@ -49,12 +62,11 @@ def measured_percentiles(df: DataFrame, value: str, points: Sequence[float],
         F.percentile_approx("v", wanted, SKETCH_ACCURACY).alias("s"))
 
     def ranked(i: int) -> Column:
-        small = F.col("n") <= SKETCH_ACCURACY
         at = F.lit(points[i]) * (F.col("n") - 1)
         return F.struct(
             F.lit(i).alias("i"), F.floor(at).alias("rank"), (at - F.floor(at)).alias("frac"),
-            F.when(small, F.col("lo")).otherwise(F.col("s")[i]).alias("from"),
-            F.when(small, F.col("hi")).otherwise(F.col("s")[i + len(points)]).alias("to"))
+            (F.col("lo") if points[i] <= margin else F.col("s")[i]).alias("from"),
+            (F.col("hi") if points[i] >= 1.0 - margin else F.col("s")[i + len(points)]).alias("to"))
 
     brackets = F.array(*(ranked(i) for i in range(len(points))))
     if by:
@@ -73,13 +85,8 @@ def measured_percentiles(df: DataFrame, value: str, points: Sequence[float],
         F.count_if(F.col("v").isNull() & (F.col("upto") > F.col("b.rank"))).alias("missed"),
         F.min(F.when(F.col("upto") > F.col("b.rank"), F.col("v"))).alias("left"),
         F.min(F.when(F.col("upto") > after, F.col("v"))).alias("right"))
-    sound = (F.col("missed") == 0) & F.col("left").isNotNull() & F.col("right").isNotNull()
-    value_at = F.when(sound, F.col("left") + F.col("b.frac") * (F.col("right") - F.col("left"))) \
-        .otherwise(F.raise_error(F.lit("a percentile bracket missed its rank")).cast("double"))
-    return (chosen.select(*by, "n", F.col("b.i").alias("i"), value_at.alias("v"))
-            .groupBy(*by, "n")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))),
-                             lambda s: s["v"]).alias("points")))
+    missed = (F.col("missed") > 0) | F.col("left").isNull() | F.col("right").isNull()
+    return chosen.select(*by, "n", F.col("b.i").alias("i"), F.col("b.frac").alias("frac"), "left", "right", missed.alias("missed"))
 
 
 _BLOCK = 64
@@ -89,44 +96,42 @@ _BLOCKS_PER_SUPER = 4096
 def percentile_of_score(scores: DataFrame, score: str, observed: DataFrame, count: str) -> DataFrame:
     """Adds ``percentile``: the mean of the strict and the weak rank of each score, in percent.
 
-    The observed values are counts, so a score's rank is found in the block of 64 consecutive
-    counts it falls into.  Each block carries the number of observations before it and joins the
-    scores by equality; the blocks between the smallest and the largest count are few next to the
-    rows, and a block that many scores share can be split on the score side.  The blocks are
-    written once, so the planner knows their size and the observed rows are read once.
+    The observed values are counts, so a score's rank is found in the block of 64 consecutive counts it
+    falls into, which carries the number of observations before it and joins by equality.  Blocks are
+    laid out only where counts are, in occupied stretches of ``_BLOCKS_PER_SUPER`` blocks, however large
+    the greatest count is; a score between two stretches takes what lies before it from the list of
+    stretches.  The blocks are written once, so the planner knows their size and the observed rows are
+    read once.
     """
     freq = (observed.where(F.col(count).isNotNull())
             .groupBy(F.col(count).cast("long").alias("v")).agg(F.count("*").alias("freq")))
     blocks = write_once(freq.groupBy(F.floor(F.col("v") / _BLOCK).alias("block"))
-              .agg(F.sum("freq").alias("held"),
-                   F.array_sort(F.collect_list(F.struct("v", "freq"))).alias("values")), "count-blocks")
-    span = blocks.agg(F.min("block").alias("first"), F.max("block").alias("last"),
-                      F.sum("held").alias("n"))
-    every = span.select("n", F.explode(F.sequence("first", "last")).alias("block"))
-    grid = (every.join(blocks, "block", "left").fillna(0, ["held"])
-            .withColumn("super", F.floor(F.col("block") / _BLOCKS_PER_SUPER)))
-    # prefix sums in two steps: over the few super blocks, then inside each of them
-    supers = (grid.groupBy("super").agg(F.sum("held").alias("in_super"))
-              .withColumn("before_super", F.sum("in_super").over(
-                  Window.orderBy("super").rowsBetween(Window.unboundedPreceding, -1)))
-              .select("super", F.coalesce("before_super", F.lit(0)).alias("before_super")))
+                        .agg(F.sum("freq").alias("held"),
+                             F.array_sort(F.collect_list(F.struct("v", "freq"))).alias("values")), "count-blocks")
+    # prefix sums in two steps: over the occupied stretches, then inside each of them
+    supers = (blocks.groupBy(F.floor(F.col("block") / _BLOCKS_PER_SUPER).alias("super")).agg(F.sum("held").alias("in_super"))
+              .withColumn("before_super", F.coalesce(F.sum("in_super").over(
+                  Window.orderBy("super").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    start = F.col("super") * _BLOCKS_PER_SUPER
+    grid = (supers.select("super", "before_super", F.explode(F.sequence(start, start + (_BLOCKS_PER_SUPER - 1))).alias("block"))
+            .join(blocks, "block", "left").fillna(0, ["held"]))
     within = Window.partitionBy("super").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    table = (grid.withColumn("inside", F.coalesce(F.sum("held").over(within), F.lit(0)))
-             .join(supers, "super")
-             .select("block", "n", "values", (F.col("before_super") + F.col("inside")).alias("before")))
+    inside = F.coalesce(F.sum("held").over(within), F.lit(0))
+    table = grid.select("block", "values", (F.col("before_super") + inside).alias("before"))
 
-    edge = span.select(F.struct("first", "last")).scalar()
-    keyed = (scores.withColumn("_edge", edge)
-             .withColumn("_block", F.least(F.col("_edge.last"), F.greatest(
-                 F.col("_edge.first"), F.floor(F.col(score) / _BLOCK)))))
+    stretches = supers.agg(F.struct(F.sum("in_super").alias("n"), F.collect_list(
+        F.struct("super", (F.col("before_super") + F.col("in_super")).alias("upto"))).alias("ends"))).scalar()
+    keyed = scores.withColumn("_all", stretches).withColumn("_block", F.floor(F.col(score) / _BLOCK))
+    earlier = F.filter("_all.ends", lambda e: e["super"] < F.floor(F.col("_block") / _BLOCKS_PER_SUPER))
+    between = F.coalesce(F.array_max(F.transform(earlier, lambda e: e["upto"])), F.lit(0))
 
     def up_to(keep) -> Column:
-        return F.col("before") + F.aggregate(
+        return F.coalesce("before", between) + F.aggregate(
             F.coalesce("values", F.array().cast("array<struct<v:bigint,freq:bigint>>")),
             F.lit(0).cast("long"), lambda acc, x: acc + F.when(keep(x["v"]), x["freq"]).otherwise(0))
 
     below, weak = up_to(lambda v: v < F.col(score)), up_to(lambda v: v <= F.col(score))
-    rank = (below + weak + F.when(below < weak, 1).otherwise(0)) * F.lit(50.0) / F.col("n")
+    rank = (below + weak + F.when(below < weak, 1).otherwise(0)) * F.lit(50.0) / F.col("_all.n")
     return (keyed.join(table, keyed["_block"] == table["block"], "left")
             .withColumn("percentile", F.when(F.col(score).isNotNull(), rank))
-            .drop("_edge", "_block", "block", "n", "values", "before"))
+            .drop("_all", "_block", "block", "values", "before"))

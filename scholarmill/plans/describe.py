@@ -7,18 +7,16 @@ from pyspark.sql import functions as F
 
 from scholarmill.operators import features as X
 from scholarmill.operators import trends as T
-from scholarmill.operators.horizon import citation_horizon
 from scholarmill.plans.features import CATEGORIES, KEYWORDS
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import big, r6, rounded
-from scholarmill.sources.stand_ins import (DATED_SQL, TEXT_SQL, citations_text, cite_events, dated_counts,
-                                           papers_dated, papers_text, stored_counts)
+from scholarmill.sources.stand_ins import (DATED_SQL, TEXT_SQL, citations_text, dated_counts, papers_text,
+                                           stored_counts)
 
 
 @query("citation_horizon", f"{DATED_SQL} SELECT paper_id, category, submitted, citations_12mo, citations_24mo FROM horizon")
 def horizon(spark, folder) -> DataFrame:
-    papers = papers_dated(spark, folder).select("paper_id", "category", "submitted")
-    return citation_horizon(papers, cite_events(spark, folder))
+    return dated_counts(spark, folder).select("paper_id", "category", "submitted", "citations_12mo", "citations_24mo")
 
 
 @query("targets", f"""{DATED_SQL} SELECT paper_id, {r6('citations_24mo')} AS citations_24mo,
@@ -96,9 +94,9 @@ def keyword_trend(spark, folder) -> DataFrame:
     return rounded(keyword_rows(spark, folder))
 
 
-@query("top_keywords", f"{_KEYWORD_SQL} SELECT * FROM trend ORDER BY mean DESC, keyword LIMIT 3")
+@query("top_keywords", f"{_KEYWORD_SQL} SELECT * FROM trend ORDER BY mean DESC, keyword LIMIT 10")
 def top_keywords(spark, folder) -> DataFrame:
-    return T.top_keywords(rounded(keyword_rows(spark, folder)), 3)
+    return T.top_keywords(rounded(keyword_rows(spark, folder)))
 
 
 @query("category_percentiles", f"""{DATED_SQL} SELECT category, """ + ", ".join(

@@ -109,7 +109,7 @@ def metrics_by_uncertainty(spark, folder) -> DataFrame:
   SELECT kind, arg_min(stratum, k.r2) AS worst, min(k.r2) AS worst_r2, any_value(t.r2) AS overall_r2,
     {r6('any_value(t.r2) - min(k.r2)')} AS gap FROM kinds k, total t GROUP BY kind""")
 def worst_strata(spark, folder) -> DataFrame:
-    rows = rounded(E.worst_strata(line_scored(spark, folder)))
+    rows = rounded(E.worst_strata(write_once(line_scored(spark, folder), "scored")))
     return rounded(rows.withColumn("gap", F.col("overall_r2") - F.col("worst_r2")))
 
 
@@ -199,11 +199,11 @@ def actual_vs_predicted(spark, folder) -> DataFrame:
 
 
 @query("actual_vs_predicted_bins", f"""{SCORED_SQL}, p AS (SELECT citations_24mo::DOUBLE AS actual, exp(pred) - 1 AS predicted FROM scored),
-  w AS (SELECT max(greatest(actual, predicted)) / 20 AS w FROM p)
-  SELECT {big('greatest(0, least(floor(actual / w), 19))')} AS actual_bin,
-    {big('greatest(0, least(floor(predicted / w), 19))')} AS predicted_bin, count(*) AS n_papers FROM p, w GROUP BY 1, 2""")
+  w AS (SELECT max(greatest(actual, predicted)) / 50 AS w FROM p)
+  SELECT {big('greatest(0, least(floor(actual / w), 49))')} AS actual_bin,
+    {big('greatest(0, least(floor(predicted / w), 49))')} AS predicted_bin, count(*) AS n_papers FROM p, w GROUP BY 1, 2""")
 def actual_vs_predicted_bins(spark, folder) -> DataFrame:
-    return rounded(E.actual_vs_predicted_bins(line_scored(spark, folder), 20))
+    return rounded(E.actual_vs_predicted_bins(line_scored(spark, folder)))
 
 
 @query("residual_box", f"""{SCORED_SQL}, r AS (SELECT category, citations_24mo - (exp(pred) - 1) AS r FROM scored),
@@ -312,11 +312,11 @@ HITS_SQL = f"""{TERMS_SQL}, coefficients AS (SELECT term,
 @query("word_contributions", f"{HITS_SQL} SELECT paper_id, term, {r6('coef')} AS coef FROM hits")
 def word_contributions(spark, folder) -> DataFrame:
     """The terms also match inside longer words, as they should."""
-    return rounded(W.word_contributions(papers_text(spark, folder, spread_out=True), literal_coefficients(spark, folder)))
+    return rounded(W.word_contributions(papers_text(spark, folder), literal_coefficients(spark, folder)))
 
 
 @query("top_words_per_paper", f"""{HITS_SQL} SELECT paper_id, rank, term, {r6('coef')} AS coef,
   CASE WHEN coef > 0 THEN 'increases' ELSE 'decreases' END AS direction
   FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY abs(coef) DESC, term) AS rank FROM hits) WHERE rank <= 10""")
 def top_words_per_paper(spark, folder) -> DataFrame:
-    return rounded(W.top_words(papers_text(spark, folder, spread_out=True), literal_coefficients(spark, folder), 10))
+    return rounded(W.top_words(papers_text(spark, folder), literal_coefficients(spark, folder), 10))

@@ -19,9 +19,14 @@ def date_prefix(stamp: Column) -> Column:
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of landed Atom files; files split across tasks at the row tag."""
-    return (spark.read.schema(FEED_ENTRY)
-            .options(rowTag="entry", ignoreSurroundingSpaces=False).xml(path))
+    """Entries of landed Atom files; a large file is split across tasks where an entry ends.
+
+    What stands before a file's first entry and after its last one is no entry and gives no row.
+    """
+    end = "</entry>"
+    parts = spark.read.text(path, lineSep=end).select(F.regexp_extract("value", r"(?s)<entry[\s>].*", 0).alias("entry"))
+    entry = F.from_xml(F.concat("entry", F.lit(end)), FEED_ENTRY.simpleString(), {"ignoreSurroundingSpaces": "false"})
+    return parts.where(F.col("entry") != "").select(entry.alias("e")).select("e.*")
 
 
 def papers_from_feed(entries: DataFrame, category: Column) -> DataFrame:

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmill.operators.horizon import citation_horizon
+from scholarmill.operators.horizon import first_event_horizon
 from scholarmill.session import write_once
-from scholarmill.sources.tables import read_table, spread
+from scholarmill.sources.tables import read_table
 
 PAPERS_TEXT_SQL = """papers_text AS (
   SELECT doc_id AS paper_id, split_part(text, chr(10), 1) AS title, text AS abstract,
@@ -44,11 +44,9 @@ TEXT_SQL = f"WITH {PAPERS_TEXT_SQL}, {CITATIONS_TEXT_SQL}"
 DATED_SQL = f"WITH {EVENTS_SQL}, {PAPERS_DATED_SQL}, {HORIZON_SQL}"
 
 
-def papers_text(spark: SparkSession, folder: str, spread_out: bool = False) -> DataFrame:
-    """``spread_out`` is for work on whole texts, see ``spread``."""
+def papers_text(spark: SparkSession, folder: str) -> DataFrame:
     first_line = F.split_part("text", F.lit("\n"), F.lit(1))
-    documents = read_table(spark, folder, "documents")
-    return (spread(documents) if spread_out else documents).select(
+    return read_table(spark, folder, "documents").select(
         F.col("doc_id").alias("paper_id"), first_line.alias("title"), F.col("text").alias("abstract"),
         first_line.alias("authors"), F.col("lang").alias("category"), "source",
         F.date_add(F.lit("2019-01-01").cast("date"), (F.col("doc_id") % 1461).cast("int")).alias("submitted"))
@@ -65,19 +63,23 @@ def cite_events(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_partkey").alias("paper_id"), F.to_date("l_shipdate").alias("cited_on"))
 
 
+def parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Papers without a submission day."""
+    return read_table(spark, folder, "part").select(
+        F.col("p_partkey").alias("paper_id"), F.col("p_name").alias("title"),
+        F.col("p_type").alias("category"), (F.col("p_size") % 8 + 1).alias("author_count"))
+
+
 def papers_dated(spark: SparkSession, folder: str) -> DataFrame:
     """Papers whose submission day is the day of their first event."""
     first = (cite_events(spark, folder).groupBy("paper_id")
              .agg(F.min("cited_on").alias("submitted")))
-    parts = read_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("paper_id"), F.col("p_name").alias("title"),
-        F.col("p_type").alias("category"), (F.col("p_size") % 8 + 1).alias("author_count"))
-    return parts.join(first, "paper_id")
+    return parts(spark, folder).join(first, "paper_id")
 
 
 def dated_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Papers with their citation counts at 12 and 24 months."""
-    return citation_horizon(papers_dated(spark, folder), cite_events(spark, folder))
+    """Papers with their citation counts at 12 and 24 months, from one scan of the events."""
+    return first_event_horizon(parts(spark, folder), cite_events(spark, folder))
 
 
 def stored_counts(spark: SparkSession, folder: str) -> DataFrame:

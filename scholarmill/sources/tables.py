@@ -13,16 +13,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads the rows of a scan that has fewer splits than there are cores.
-
-    Such an input is small, so the shuffle is cheap and work on its texts uses every core.  An input
-    with more splits than cores stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, upper: int,
               partitions: int, **options: str) -> DataFrame:
     """A database table read by ranges of a numeric ``key``, one connection per range."""

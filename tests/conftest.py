@@ -24,13 +24,13 @@ def ten_papers(spark):
     """Ten papers and their counts; every odd paper lacks the 24-month one."""
     import datetime as dt
 
-    text = ("We propose a novel survey benchmark with state-of-the-art results [1] and [2], "
-            "where $x$ is given.")
+    text = ("As [3] and [17] show, $k$ moments suffice. This survey is novel; we propose a benchmark and "
+            "compare it with the state-of-the-art.")
     rows, counts = [], []
     for i in range(10):
-        rows.append((f"2001.{i:05d}", f"Test Paper {i}: Novel Deep Learning Approach", text, "A, B, C",
-                     ["cs.LG", "cs.AI", "stat.ML"][i % 3], dt.date(2020, 1, 1) + dt.timedelta(days=30 * i)))
-        counts.append((f"2001.{i:05d}", 5 * i, None if i % 2 else 10 * i))
+        rows.append((f"1907.1{i:04d}", f"On moments of order {i}", text, "Ada Q, Bo R, Cy S",
+                     ["cs.LG", "stat.ML", "cs.AI"][i % 3], dt.date(2019, 7, 9) + dt.timedelta(days=41 * i)))
+        counts.append((f"1907.1{i:04d}", 3 * i + 1, None if i % 2 else 8 * i))
     papers = spark.createDataFrame(
         rows, "paper_id string, title string, abstract string, authors string, category string, submitted date")
     return papers, spark.createDataFrame(counts, "paper_id string, citations_12mo int, citations_24mo int")

@@ -64,12 +64,28 @@ def test_fit_equals_coordinate_descent(data, alpha, share):
     fitted = R.fit_linear("m", table, alpha, share)
     np.testing.assert_allclose(fitted.coefficients, solve(scaled(x), y, alpha * share, alpha * (1 - share)), atol=1e-4)
     cov = np.cov(np.column_stack([scaled(x), y]).T, bias=True)
-    path = M.descend(cov[:-1, :-1], cov[:-1, -1], np.array([alpha * share, 9.0]), np.array([alpha * (1 - share), 0.0]),
-                     tolerance=1e-9, rounds=5000)
+    path = M.descend(cov[:-1, :-1], cov[:-1, -1], np.array([alpha * share, 9.0]), np.array([alpha * (1 - share), 0.0]), 
+                     float(cov[-1, -1]))
     np.testing.assert_allclose(path[:, 0], fitted.coefficients, atol=1e-4)
     assert not path[:, 1].any()
 
 
+def test_search_solves_wide_problems_exactly_or_says_so():
+    """More, correlated features than rows, at the settings in use: no slope of the objective is left."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8)) @ rng.normal(size=(8, 90)) + 0.05 * rng.normal(size=(60, 90))
+    y = x[:, 0] - x[:, 5] + rng.normal(size=60)
+    cov = np.cov(np.column_stack([x, y]).T, bias=True)
+    top = np.abs(cov[:-1, -1]).max()
+    alphas = np.geomspace(top, top * 1e-3, 50)
+    beta = M.descend(cov[:-1, :-1], cov[:-1, -1], alphas, np.zeros(50), float(cov[-1, -1]))
+    slope = cov[:-1, [-1]] - cov[:-1, :-1] @ beta
+    assert (np.abs(slope) <= alphas * (1 + 1e-3) + 1e-4).all()
+    assert (np.abs(slope - alphas * np.sign(beta))[beta != 0] <= 2e-3 * top).all()
+    with pytest.raises(ArithmeticError):
+        M.descend(cov[:-1, :-1], cov[:-1, -1], alphas, np.zeros(50), float(cov[-1, -1]), rounds=2)
+
+
 def test_ridge_equals_closed_form(data):
     table, x, y = data
     fitted = R.fit_linear("m", table, 25.0, 0.0, ridge=True)

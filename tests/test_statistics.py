@@ -12,10 +12,20 @@ from scholarmill.operators.univariate import score_line, score_out_of_fold
 POINTS = [0.0, 0.25, 0.33, 0.5, 0.67, 0.9, 1.0]
 
 
-@pytest.mark.parametrize("accuracy", [20_000, 200])
-def test_measured_percentiles_match_numpy(spark, monkeypatch, accuracy):
-    """The small accuracy makes every group larger than its sketch, so the brackets are used."""
+def test_percentiles_of_many_rows(spark):
+    """More rows than the sketch tells apart, at the setting in use."""
+    df = spark.range(130_000).selectExpr("sin(id) * exp(id % 17) AS v", "id % 2 AS g")
+    values = np.array([r["v"] for r in df.collect()])
+    got = P.measured_percentiles(df, "v", POINTS).first()
+    assert got["n"] == 130_000
+    np.testing.assert_allclose(got["points"], np.percentile(values, np.array(POINTS) * 100), rtol=1e-12)
+
+
+@pytest.mark.parametrize("accuracy,margin", [(20_000, 4.0), (200, 4.0), (50, 0.01)])
+def test_measured_percentiles_match_numpy(spark, monkeypatch, accuracy, margin):
+    """The last setting makes brackets miss, so that they are widened."""
     monkeypatch.setattr(P, "SKETCH_ACCURACY", accuracy)
+    monkeypatch.setattr(P, "MARGIN", margin)
     rng = np.random.default_rng(3)
     groups = {"normal": rng.normal(size=4000), "hot": np.repeat([1.5, -2.0, 7.25], [2500, 1000, 1]),
               "heavy": np.exp(rng.normal(size=3000) * 4), "two": np.array([1.0, 4.0]), "one": np.array([3.0])}
@@ -39,9 +49,9 @@ def test_count_percentiles_match_numpy(spark):
 
 def test_percentile_of_score_by_brute_force(spark):
     rng = np.random.default_rng(7)
-    observed = np.concatenate([rng.integers(0, 40, 300), [900, 900, 5000, 70_000]])
-    scores = [-3.5, 0.0, 0.5, 12.0, 39.999, 64.0, 900.0, 901.2, 5000.0, 69_999.5, 70_000.0, 1e6, None]
-    o = spark.createDataFrame([(int(v),) for v in observed], "c int")
+    observed = np.concatenate([rng.integers(0, 40, 300), [900, 900, 5000, 70_000, 10**12]])
+    scores = [-3.5, 0.0, 0.5, 12.0, 39.999, 64.0, 900.0, 901.2, 5000.0, 69_999.5, 70_000.0, 1e6, 5e8, 1e12 - 1, 1e12, 1e15, None]
+    o = spark.createDataFrame([(int(v),) for v in observed], "c long")
     s = spark.createDataFrame([(v,) for v in scores], "score double")
     for r in P.percentile_of_score(s, "score", o, "c").collect():
         if r["score"] is None:
