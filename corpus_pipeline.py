@@ -41,7 +41,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digests of the ids and of the bytes decoded from them."""
     ranks = vocabulary_path("byte_bpe_50k.tiktoken"), pattern()
-    return bpe.digests(bpe.decode(bpe.encode(docs, *ranks), *ranks))
+    return bpe.digests(bpe.round_trip(docs, *ranks))
 
 
 STAGES = [

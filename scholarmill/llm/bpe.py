@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 from scholarmill.llm.rows import arrow_type, blocks, column, fields, prepare, texts
 
 #: Characters of text whose words are merged together.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 2_000_000
 
 #: Words whose ids a worker keeps from one block to the next.
-LEXICON_WORDS = 800_000
+LEXICON_WORDS = 200_000
+
+#: Ids of one batch on the way out.
+OUT_IDS = 300_000
 
 NO_RANK = np.int32(2**31 - 1)
 
@@ -236,27 +239,31 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     schema = pa.schema([("doc_id", key), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        vocab = vocabulary(path, pattern)
-        for keys, held in blocks(batches, BLOCK_CHARS):
-            part_keys, part, n = [], [], 0
-            for k, ids in zip(keys, encode_block(held, vocab)):
-                part_keys.append(k)
-                part.append(ids)
-                n += len(ids)
-                if n > 500_000:
-                    yield _ids_batch(part_keys, part, schema)
-                    part_keys, part, n = [], [], 0
-            if part_keys:
-                yield _ids_batch(part_keys, part, schema)
+        for keys, part in _encoded(batches, vocabulary(path, pattern)):
+            yield pa.RecordBatch.from_arrays([pa.array(keys, key), _lists(part)], schema=schema)
 
     return rows.mapInArrow(run, f"doc_id {fields(rows, 'doc_id')}, ids array<int>")
 
 
-def _ids_batch(keys: list, ids: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
-    offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-    np.cumsum([len(x) for x in ids], out=offsets[1:])
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-    return pa.RecordBatch.from_arrays([pa.array(keys, schema.field(0).type), lists], schema=schema)
+def _encoded(batches, vocab: Vocabulary) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Keys and ids of documents, about ``OUT_IDS`` ids together."""
+    for keys, held in blocks(batches, BLOCK_CHARS):
+        part_keys, part, n = [], [], 0
+        for k, ids in zip(keys, encode_block(held, vocab)):
+            part_keys.append(k)
+            part.append(ids)
+            n += len(ids)
+            if n > OUT_IDS:
+                yield part_keys, part
+                part_keys, part, n = [], [], 0
+        if part_keys:
+            yield part_keys, part
+
+
+def _lists(part: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(part) + 1, dtype=np.int32)
+    np.cumsum([len(x) for x in part], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(part)))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -278,6 +285,21 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {fields(rows, 'doc_id')}, ids array<int>, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, ids, decoded)`` as by ``encode`` and then ``decode``, in one worker per task instead of two."""
+    rows = texts(docs, id_col, text_col)
+    schema = pa.schema([("doc_id", arrow_type(rows, "doc_id")), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+
+    def run(batches):
+        vocab = vocabulary(path, pattern)
+        for keys, part in _encoded(batches, vocab):
+            lists = _lists(part)
+            decoded = [b"".join(map(vocab.token.__getitem__, ids.tolist())) for ids in part]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, schema.field(0).type), lists, pa.array(decoded, pa.binary())], schema=schema)
+
+    return rows.mapInArrow(run, f"doc_id {fields(rows, 'doc_id')}, ids array<int>, decoded binary")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of the operator's ids and bytes."""
     return decoded.select(

@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @named("op1_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary_path("byte_bpe_50k.tiktoken"), pattern()
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *ranks), *ranks))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), *ranks))
 
 
 @named("op2_token_files")

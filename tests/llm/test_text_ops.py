@@ -73,6 +73,7 @@ def test_byte_bpe_round_trip(spark, library):
     docs = frame(spark, texts)
     out = by_id(bpe.digests(bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS, P.PATTERN)))
     assert len(out) == len(texts)
+    assert by_id(bpe.digests(bpe.round_trip(docs, RANKS, P.PATTERN))) == out
     for i, text in enumerate(texts):
         r, ids = out[None if i == 5 else i], library.encode_ordinary(text or "")
         assert r.n_tokens == len(ids)
