@@ -68,6 +68,14 @@ class FittedFeatures:
                 VectorAssembler(inputCols=[*self.columns.values(), "tfidf"], outputCol=output)]
 
 
+def fit_categories(papers: DataFrame, most: int = 1000) -> list[str]:
+    """The categories that occur, in alphabetical order; more than ``most`` are no categories but an error."""
+    found = papers.select("category").where(F.col("category").isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} categories")
+    return sorted(r["category"] for r in found)
+
+
 def fit_features(papers: DataFrame, categories: Sequence[str], keywords: Sequence[str] = KEYWORDS,
                  stop_words: Sequence[str] | None = None) -> FittedFeatures:
     return FittedFeatures(tuple(sorted(categories)), tuple(keywords), fit_vocabulary(papers, stop_words))
@@ -81,7 +89,7 @@ def training_table(papers: DataFrame, fitted: FittedFeatures, keep: Sequence[str
     rows = with_fold(with_split(papers)).withColumn("y", F.log1p("citations_24mo"))
     kept = [*dict.fromkeys([*keep, "citations_24mo", "y", "split", "fold"])]
     vectors = PipelineModel(fitted.stages()).transform(fitted.prepare(rows, kept))
-    return write_once(vectors.select(*kept, "raw"), "training")
+    return write_once(vectors.select(*kept, "raw"), "training", by="fold")
 
 
 def population_scaler(rows: DataFrame, source: str = "raw", output: str = "scaled") -> ElementwiseProduct:
@@ -92,8 +100,11 @@ def population_scaler(rows: DataFrame, source: str = "raw", output: str = "scale
     s = rows.select(Summarizer.metrics("count", "std").summary(F.col(source)).alias("s")).select(
         "s.count", "s.std").first()
     shrink = ((s["count"] - 1) / s["count"]) ** 0.5 if s["count"] > 1 else 1.0
-    factors = [1.0 / (v * shrink) if v > 0 else 1.0 for v in s["std"].toArray()]
-    return ElementwiseProduct(inputCol=source, outputCol=output, scalingVec=Vectors.dense(factors))
+    return scaler_of([1.0 / (v * shrink) if v > 0 else 1.0 for v in s["std"].toArray()], source, output)
+
+
+def scaler_of(factors: Sequence[float], source: str = "raw", output: str = "scaled") -> ElementwiseProduct:
+    return ElementwiseProduct(inputCol=source, outputCol=output, scalingVec=Vectors.dense(list(factors)))
 
 
 def metadata_medians(papers: DataFrame, fitted: FittedFeatures) -> dict[str, float]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,12 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.functions.labels import ablation_verdict, feature_group
-from scholarmill.models.assemble import population_scaler
+from scholarmill.models.assemble import population_scaler, scaler_of
 from scholarmill.models.moments import Moments, fold_moments, geometric_path, merge, search
 from scholarmill.operators.evaluate import regression_metrics
 
 # The penalties tried, the penalty of the out-of-fold model, and the trees' settings.
 RIDGE_PATH = (-4.0, 4.0, 50)
+RIDGE_PATH_ANALYSIS = (-2.0, 3.0, 50)
+NET_SHARES_ANALYSIS = (0.1, 0.5, 0.9)
 NET_PATH = (-4.0, 0.0, 50)
 NET_SHARES = (0.5,)
 OUT_OF_FOLD_ALPHA = 0.086
@@ -49,12 +52,21 @@ def train_rows(table: DataFrame) -> DataFrame:
     return table.where(F.col("split") == "train")
 
 
-def scaled_moments(train: DataFrame) -> list[Moments]:
-    """Moments per fold with every feature over its deviation on all training rows."""
-    parts = fold_moments(train)
-    spread = np.sqrt(np.maximum(np.diag(merge(parts).cov), 0.0))
+def deviations(whole: Moments) -> np.ndarray:
+    """Population deviation per feature, one for a constant feature; the last, for the label, is one."""
+    spread = np.sqrt(np.maximum(np.diag(whole.cov), 0.0))
     spread[-1] = 1.0
-    return [p.scaled(np.where(spread > 0, spread, 1.0)) for p in parts]
+    return np.where(spread > 1e-12 * np.maximum(1.0, np.abs(whole.mean)), spread, 1.0)
+
+
+def scaled(parts: list[Moments]) -> list[Moments]:
+    """Moments per fold with every feature over its deviation on all rows."""
+    spread = deviations(merge(parts))
+    return [p.scaled(spread) for p in parts]
+
+
+def scaled_moments(train: DataFrame) -> list[Moments]:
+    return scaled(fold_moments(train))
 
 
 def linear(alpha: float, l1_share: float, label_deviation: float, features: str = "scaled") -> LinearRegression:
@@ -71,41 +83,55 @@ def linear(alpha: float, l1_share: float, label_deviation: float, features: str
 
 
 def fit_linear(name: str, train: DataFrame, alpha: float, l1_share: float, drop: int | None = None,
-               ridge: bool = False) -> Fitted:
-    """Scales and fits on ``train``; ``drop`` leaves one feature out."""
+               ridge: bool = False, whole: Moments | None = None) -> Fitted:
+    """Scales and fits on ``train``; ``drop`` leaves one feature out.
+
+    With ``whole``, the moments of ``train`` without the dropped feature, the only job is the fit itself.
+    """
     stages, source = [], "raw"
     if drop is not None:
         width = len(train.select("raw").first()["raw"])
         stages.append(VectorSlicer(inputCol="raw", outputCol="sliced", indices=[i for i in range(width) if i != drop]))
         source = "sliced"
     sliced = PipelineModel(stages).transform(train) if stages else train
-    scaler = population_scaler(sliced, source)
-    whole = train.agg(F.count("y").alias("n"), F.stddev_pop("y").alias("sd")).first()
-    penalty = alpha / whole["n"] if ridge else alpha
-    model = linear(penalty, l1_share, whole["sd"] or 1.0).fit(scaler.transform(sliced))
+    if whole is None:
+        scaler = population_scaler(sliced, source)
+        seen = train.agg(F.count("y").alias("n"), F.stddev_pop("y").alias("sd")).first()
+        n, label = seen["n"], seen["sd"]
+    else:
+        scaler = scaler_of(1.0 / deviations(whole)[:-1], source)
+        n, label = whole.n, float(np.sqrt(max(whole.cov[-1, -1], 0.0)))
+    penalty = alpha / n if ridge else alpha
+    model = linear(penalty, l1_share, label or 1.0).fit(scaler.transform(sliced))
     return Fitted(name, PipelineModel([*stages, scaler, model]), alpha, l1_share)
 
 
 def fit_lasso(table: DataFrame, parts: list[Moments] | None = None) -> Fitted:
+    """``parts``, here and below: the moments of the training rows per fold, taken if not given."""
     train = train_rows(table)
-    parts = parts or scaled_moments(train)
-    alpha, share = search(parts, [(a, 1.0) for a in geometric_path(merge(parts))])
-    return fit_linear("lasso", train, alpha, share)
+    parts = parts or fold_moments(train)
+    alpha, share = search(scaled(parts), [(a, 1.0) for a in geometric_path(merge(scaled(parts)))])
+    return fit_linear("lasso", train, alpha, share, whole=merge(parts))
 
 
-def fit_ridge(table: DataFrame, parts: list[Moments] | None = None) -> Fitted:
+def fit_ridge(table: DataFrame, parts: list[Moments] | None = None,
+              path: tuple[float, float, int] = RIDGE_PATH) -> Fitted:
+    """``path``: exponents of the least and the greatest penalty, and their number."""
     train = train_rows(table)
-    low, high, points = RIDGE_PATH
-    alpha, share = search(parts or scaled_moments(train), [(a, 0.0) for a in np.logspace(high, low, points)], ridge=True)
-    return fit_linear("ridge", train, alpha, share, ridge=True)
+    parts = parts or fold_moments(train)
+    low, high, points = path
+    alpha, share = search(scaled(parts), [(a, 0.0) for a in np.logspace(high, low, points)], ridge=True)
+    return fit_linear("ridge", train, alpha, share, ridge=True, whole=merge(parts))
 
 
-def fit_net(table: DataFrame, parts: list[Moments] | None = None) -> Fitted:
+def fit_net(table: DataFrame, parts: list[Moments] | None = None, path: tuple[float, float, int] = NET_PATH,
+            shares: Sequence[float] = NET_SHARES) -> Fitted:
     train = train_rows(table)
-    low, high, points = NET_PATH
-    grid = [(a, s) for s in NET_SHARES for a in np.logspace(high, low, points)]
-    alpha, share = search(parts or scaled_moments(train), grid)
-    return fit_linear("elastic_net", train, alpha, share)
+    parts = parts or fold_moments(train)
+    low, high, points = path
+    grid = [(a, s) for s in shares for a in np.logspace(high, low, points)]
+    alpha, share = search(scaled(parts), grid)
+    return fit_linear("elastic_net", train, alpha, share, whole=merge(parts))
 
 
 def fit_forest(table: DataFrame, **settings) -> Fitted:
@@ -150,11 +176,11 @@ def ablation(table: DataFrame, names: list[str], feature: str = "author_count")
         row = [(feature, "skipped", None, None)]
     else:
         at = names.index(feature)
-        parts = scaled_moments(train_rows(table))
+        parts = fold_moments(train_rows(table))
         full = fit_lasso(table, parts)
         fewer = [p.drop(at) for p in parts]
-        alpha, share = search(fewer, [(a, 1.0) for a in geometric_path(merge(fewer))])
-        without = fit_linear("lasso_without", train_rows(table), alpha, share, drop=at)
+        alpha, share = search(scaled(fewer), [(a, 1.0) for a in geometric_path(merge(scaled(fewer)))])
+        without = fit_linear("lasso_without", train_rows(table), alpha, share, drop=at, whole=merge(fewer))
         tests = table.where(F.col("split") == "test")
         r2 = [regression_metrics(m.score(tests)).first()["r2"] for m in (full, without)]
         row = [(feature, "completed", *r2)]
@@ -167,8 +193,9 @@ def ablation(table: DataFrame, names: list[str], feature: str = "author_count")
 
 def out_of_fold(table: DataFrame, alpha: float = OUT_OF_FOLD_ALPHA, folds: int = 5) -> DataFrame:
     """Predictions for every row from a model that did not see its fold; scaled inside the fold."""
-    scored = []
+    scored, parts = [], fold_moments(table, folds)
     for k in range(folds):
-        fitted = fit_linear("lasso", table.where(F.col("fold") != k), alpha, 1.0)
+        whole = merge([p for i, p in enumerate(parts) if i != k])
+        fitted = fit_linear("lasso", table.where(F.col("fold") != k), alpha, 1.0, whole=whole)
         scored.append(fitted.score(table.where(F.col("fold") == k)))
     return reduce(DataFrame.unionByName, scored).drop("raw")

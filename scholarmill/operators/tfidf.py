@@ -43,15 +43,14 @@ def _word_stages(stop_words: Sequence[str]) -> list:
 
 
 def _tally(rows: DataFrame, terms: str) -> DataFrame:
-    """One row per occurrence and one per distinct term of a document, as (term, tf, df) to be summed.
+    """One row per occurrence as (term, tf, df) to be summed; ``df`` is one at a term's first place in a document.
 
-    Both counts then come from one shuffle on the term, combined on the map side; the document
-    id is never shuffled.
+    The terms of a document are sorted, so a first place is one after another term.  Both counts then
+    come from one shuffle on the term, combined on the map side; the document id is never shuffled.
     """
-    seen = F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    once = F.transform(F.array_distinct(terms),
-                       lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")))
-    return rows.select(F.explode(F.concat(seen, once)).alias("x")).select("x.*")
+    placed = rows.select(F.array_sort(terms).alias("s")).select("s", F.posexplode("s").alias("i", "term"))
+    new = F.col("term").eqNullSafe(F.get("s", F.col("i") - 1))
+    return placed.select("term", F.lit(1).alias("tf"), F.when(new, 0).otherwise(1).alias("df"))
 
 
 @dataclass(frozen=True)
@@ -91,9 +90,12 @@ def fit_vocabulary(papers: DataFrame, stop_words: Sequence[str] | None = None,
     """
     stop_words = default_stop_words() if stop_words is None else list(stop_words)
     texts = papers.select(combined_text().alias("tfidf_text"))
-    n_documents = texts.count()
+    *to_words, to_pairs = _word_stages(stop_words)
+    # texts are read and cut into words once; the document count comes from the written files' footers
+    tokens = write_once(PipelineModel(to_words).transform(texts).select("tfidf_words"), "tokens")
+    n_documents = tokens.count()
     enough = F.col("df") >= min_document_frequency(n_documents)
-    prepared = PipelineModel(_word_stages(stop_words)).transform(texts)
+    prepared = to_pairs.transform(tokens)
 
     def counted(rows: DataFrame) -> DataFrame:
         return rows.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")).where(enough)

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from scholarmill.functions.labels import feature_group
 from scholarmill.models import regress as R
-from scholarmill.models.assemble import FittedFeatures, fit_features, training_table
+from scholarmill.models.assemble import FittedFeatures, fit_categories, fit_features, training_table
 from scholarmill.models.bundle import ScoringModel, bundle
 from scholarmill.operators import evaluate as E
 from scholarmill.operators import explain as W
 from scholarmill.operators.cohort import cohort
 from scholarmill.operators.split import with_split
-from scholarmill.plans.features import CATEGORIES, KEYWORDS, STOP_WORDS
+from scholarmill.plans.features import KEYWORDS, STOP_WORDS
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import rounded
 from scholarmill.session import fresh_path, write_once
@@ -44,7 +44,8 @@ def training_papers(spark, folder) -> DataFrame:
 def trained(spark, folder) -> tuple[FittedFeatures, DataFrame]:
     def make():
         papers = training_papers(spark, folder)
-        features = fit_features(with_split(papers).where("split = 'train'"), CATEGORIES, KEYWORDS, STOP_WORDS)
+        train = with_split(papers).where("split = 'train'")
+        features = fit_features(train, fit_categories(train), KEYWORDS, STOP_WORDS)
         return features, training_table(papers, features, keep=("paper_id", "category"))
     return _once(spark, folder, "table", make)
 
@@ -77,7 +78,7 @@ for _name, _fit in (("model_lasso", lambda s, f, t: lasso(s, f)), ("model_ridge"
 def linear_model_comparison(spark, folder) -> DataFrame:
     """The linear models on one set of fold moments, next to each other."""
     table = trained(spark, folder)[1]
-    parts = R.scaled_moments(R.train_rows(table))
+    parts = R.fold_moments(R.train_rows(table))
     models = [lasso(spark, folder), R.fit_ridge(table, parts), R.fit_net(table, parts)]
     return rounded(E.model_comparison(R.scored_by(models, table)))
 

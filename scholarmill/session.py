@@ -52,11 +52,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def write_once(df: DataFrame, label: str) -> DataFrame:
+def write_once(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Later plans start from the files, so a lost executor re-reads them instead of recomputing.
+    Later plans start from the files, so a lost executor re-reads them instead of recomputing.  ``by`` names a column
+    of few values that gets a folder per value: a plan for one value reads its files only.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.hint("rebalance", by).write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

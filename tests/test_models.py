@@ -83,7 +83,7 @@ def test_search_solves_wide_problems_exactly_or_says_so():
     assert (np.abs(slope) <= alphas * (1 + 1e-3) + 1e-4).all()
     assert (np.abs(slope - alphas * np.sign(beta))[beta != 0] <= 2e-3 * top).all()
     with pytest.raises(ArithmeticError):
-        M.descend(cov[:-1, :-1], cov[:-1, -1], alphas, np.zeros(50), float(cov[-1, -1]), rounds=2)
+        M.descend(cov[:-1, :-1], cov[:-1, -1], alphas, np.zeros(50), float(cov[-1, -1]), steps=2)
 
 
 def test_ridge_equals_closed_form(data):
