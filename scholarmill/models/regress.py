@@ -73,13 +73,14 @@ def linear(alpha: float, l1_share: float, label_deviation: float, features: str
     """The regression whose objective is mean squared error / 2 + alpha (l1 |b| + (1 - l1) b'b / 2).
 
     The library divides the label by its deviation first, which leaves an absolute penalty as it is
-    and shrinks a squared one, so the squared part is multiplied back.
+    and shrinks a squared one, so the squared part is multiplied back.  Without an absolute part the normal equations,
+    whose side the search has bounded, give the exact solution.
     """
     squared = label_deviation * alpha * (1 - l1_share)
     total = alpha * l1_share + squared
     return LinearRegression(featuresCol=features, labelCol="y", predictionCol="pred", standardization=False,
                             regParam=total, elasticNetParam=alpha * l1_share / total if total > 0 else 0.0,
-                            maxIter=500, tol=1e-9)
+                            maxIter=500, tol=1e-9, solver="auto" if alpha * l1_share > 0 else "normal")
 
 
 def fit_linear(name: str, train: DataFrame, alpha: float, l1_share: float, drop: int | None = None,

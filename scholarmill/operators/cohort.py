@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ ABSTRACT_OVER = 10
 TITLE_OVER = 3
 
 # The filter stages, in the order they apply.
+# Fixed value: days a paper needs to gather its counts.
+WAIT_DAYS = 730
+
 STAGES = ("time_cutoff", "null_citations", "invalid_text")
 
 
@@ -26,6 +29,11 @@ def valid_text() -> Column:
                       F.lit(False))
 
 
+def default_cutoff(run_date: date) -> date:
+    """Papers need two years for their counts: the run's day less ``WAIT_DAYS``."""
+    return run_date - timedelta(days=WAIT_DAYS)
+
+
 def failing_stage(cutoff: date) -> Column:
     """The first stage a joined row fails, or null for a kept row.  A zero count is kept."""
     return (F.when(~F.coalesce(F.col("submitted") <= F.lit(cutoff), F.lit(False)), STAGES[0])

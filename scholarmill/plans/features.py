@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.functions.keys import hash_bucket
-from scholarmill.functions.labels import decode_one_hot, pretty_feature
+from scholarmill.functions.labels import decode_one_hot, pretty_feature, tagged_feature
 from scholarmill.operators import features as X
 from scholarmill.operators import tfidf as T
 from scholarmill.operators.quantiles import count_percentiles, measured_percentiles
@@ -105,6 +105,12 @@ def pretty_feature_names(spark, folder) -> DataFrame:
     return feature_names(spark, folder).select("feature", pretty_feature(F.col("feature")).alias("label"))
 
 
+@query("tagged_feature_names", f"""{NAMES_SQL} SELECT feature,
+  replace(replace(replace(feature, 'tfidf_', ''), 'has_', '[kw] '), 'cat_', '[cat] ') AS label FROM names""")
+def tagged_feature_names(spark, folder) -> DataFrame:
+    return feature_names(spark, folder).select("feature", tagged_feature(F.col("feature")).alias("label"))
+
+
 NUMERIC = X.feature_columns(CATEGORIES, KEYWORDS)
 
 

@@ -1,7 +1,7 @@
 """Queries that fit models on the given texts and labels.
 
-The trained table and the lasso scoring model are kept per session and folder, as a job that trains
-once and scores often would.
+The trained table and the lasso scoring model are kept as long as the session and the tables' files stay the same, as a
+job that trains once and scores often would.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ from scholarmill.models.assemble import FittedFeatures, fit_categories, fit_feat
 from scholarmill.models.bundle import ScoringModel, bundle
 from scholarmill.operators import evaluate as E
 from scholarmill.operators import explain as W
+from scholarmill.operators import score as S
 from scholarmill.operators.cohort import cohort
+from scholarmill.operators.quantiles import percentile_of_score
 from scholarmill.operators.split import with_split
+from scholarmill.operators.univariate import score_mean
 from scholarmill.plans.features import KEYWORDS, STOP_WORDS
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import rounded
@@ -26,14 +29,27 @@ from scholarmill.session import fresh_path, write_once
 from scholarmill.sources.stand_ins import citations_text, papers_text
 from scholarmill.sources.tables import read_upload, write_csv
 
-_KEPT: dict[tuple[str, str, str], object] = {}
+_KEPT: dict[str, tuple[object, object]] = {}
+
+
+def _files(spark, folder) -> tuple:
+    """What the trained things depend on: the session and the files of the tables, with their sizes and times."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    listed = []
+    for name in ("documents", "labels"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        store = path.getFileSystem(conf)
+        found = store.listStatus(path) if store.exists(path) else []
+        listed += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found]
+    return (spark.sparkContext.applicationId, *sorted(listed))
 
 
 def _once(spark, folder, what, make):
-    key = (spark.sparkContext.applicationId, folder, what)
-    if key not in _KEPT:
-        _KEPT[key] = make()
-    return _KEPT[key]
+    """One kept value per name: another session, folder or other files replace it."""
+    key = _files(spark, folder)
+    if what not in _KEPT or _KEPT[what][0] != key:
+        _KEPT[what] = key, make()
+    return _KEPT[what][1]
 
 
 def training_papers(spark, folder) -> DataFrame:
@@ -129,26 +145,93 @@ def lasso_metrics_by_category(spark, folder) -> DataFrame:
     return rounded(E.metrics_by_category(lasso(spark, folder).score(trained(spark, folder)[1])))
 
 
-@query("model_roundtrip")
+def same_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Per key whether both sides hold equal values; a key that one side lacks is not the same."""
+    def whole(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(key), F.struct(*sorted(c for c in df.columns if c != key)).alias(name))
+
+    return whole(left, "a").join(whole(right, "b"), key, "full").select(
+        key, F.coalesce(F.col("a").eqNullSafe(F.col("b")) & F.col("a").isNotNull(), F.lit(False)).alias("same"))
+
+
+@query("model_roundtrip", "SELECT doc_id AS paper_id, true AS same FROM documents")
 def model_roundtrip(spark, folder) -> DataFrame:
-    """Predictions of the saved and reloaded model for all papers."""
+    """Predictions of the saved and reloaded model for all papers against those of the model in memory."""
     path = fresh_path(spark, "model")
-    scoring_model(spark, folder).save(path, spark)
-    loaded = ScoringModel.load(path, spark)
-    return rounded(loaded.with_bounds(loaded.predict(papers_text(spark, folder), ["paper_id"])))
+    model, papers = scoring_model(spark, folder), papers_text(spark, folder)
+    model.save(path, spark)
+    scores = [rounded(m.with_bounds(m.predict(papers, ["paper_id"]))) for m in (ScoringModel.load(path, spark), model)]
+    return same_rows(*scores, "paper_id")
 
 
-@query("csv_predictions", "SELECT md5(split_part(text, chr(10), 1)) AS title_md5, true AS scored FROM documents")
+@query("lasso_api_scores", """SELECT doc_id AS paper_id, doc_id % 9 = 0 AS is_default, true AS half_wide, true AS in_range
+  FROM documents""")
+def lasso_api_scores(spark, folder) -> DataFrame:
+    """The reply to a scoring request per paper: log score with half a unit either way and its normal percentile.
+
+    Every ninth paper has no score and gets the default row.
+    """
+    model = scoring_model(spark, folder)
+    pred = model.predict(papers_text(spark, folder), ["paper_id"])
+    held = pred.select("paper_id", F.when(F.col("paper_id") % 9 != 0, F.col("pred")).alias("pred"))
+    reply = S.score_log(held, F.lit(model.y_mean), F.lit(model.y_std))
+    return reply.select("paper_id", "is_default",
+                        (F.round(F.col("ci_upper") - F.col("ci_lower"), 6) == 1.0).alias("half_wide"),
+                        (F.col("percentile").between(0, 100) & (F.col("predicted_raw") >= 0)).alias("in_range"))
+
+
+@query("comparison_table", """SELECT unnest(['baseline', 'lasso', 'ridge', 'elastic_net', 'random_forest', 'boosted_trees']) AS model,
+  true AS complete""")
+def comparison_table(spark, folder) -> DataFrame:
+    """Whether each model has a full row in the comparison of ``compared_models``."""
+    rows = compared_models(spark, folder)
+    linear = F.col("model").isin("lasso", "ridge", "elastic_net")
+    fitted = (F.col("alpha") > 0) & F.col("n_nonzero").between(0, F.col("n_features"))
+    return rows.select("model", (F.col("n_features") > 0) & (F.col("sqrt_features") == F.floor(F.sqrt("n_features"))) & F.col("test_r2").isNotNull()
+                       & F.when(linear, fitted).otherwise(True)).toDF("model", "complete")
+
+
+def compared_models(spark, folder) -> DataFrame:
+    """Baseline, linear models and trees with their metrics, penalties, features in use and the root of all features."""
+    features, table = trained(spark, folder)
+    parts = R.fold_moments(R.train_rows(table))
+    models = [lasso(spark, folder), R.fit_ridge(table, parts), R.fit_net(table, parts), R.fit_forest(table), R.fit_boosted(table)]
+    baseline = score_mean(table).drop("raw").withColumn("model", F.lit("baseline"))
+    metrics = E.model_comparison(baseline.unionByName(R.scored_by(models, table)))
+    p = len(features.names)
+    chosen = spark.createDataFrame(
+        [(m.name, None, None) if m.alpha is None else (m.name, float(m.alpha), int((abs(m.coefficients) > W.NONZERO).sum())) for m in models] + [("baseline", None, None)],
+        "model string, alpha double, n_nonzero long")
+    return metrics.join(chosen, "model").withColumn("n_features", F.lit(p)).withColumn("sqrt_features", F.floor(F.sqrt(F.lit(p))))
+
+
+@query("csv_predictions", """SELECT md5(split_part(text, chr(10), 1)) AS title_md5, count(*) AS n_rows, true AS scored, true AS same
+  FROM documents GROUP BY 1""")
 def csv_predictions(spark, folder) -> DataFrame:
     """A CSV upload of all papers, scored, and written as CSV; read back to show what it holds."""
     upload, out = fresh_path(spark, "upload"), fresh_path(spark, "predictions")
     write_csv(papers_text(spark, folder).select("title", "abstract"), upload)
     model = scoring_model(spark, folder)
-    results = model.with_bounds(model.predict_upload(read_upload(spark, upload), ["title"])).drop("pred")
+    # quoted line breaks keep a file in one task; scoring is spread again, whatever the number of files
+    rows = read_upload(spark, upload).hint("rebalance")
+    bounded = model.with_bounds(model.predict_upload(rows, ["title"])).drop("pred")
+    observed = citations_text(spark, folder)
+    ranked = percentile_of_score(bounded, "predicted_citations", observed, "citations_24mo")
+    results = write_once(rounded(ranked.select("title", "predicted_citations", "percentile", "ci_lower", "ci_upper")), "results")
     write_csv(results, out)
     back = spark.read.schema(results.schema).options(header=True, escape='"', multiLine=True).csv(out)
-    return back.select(F.md5(F.coalesce("title", F.lit(""))).alias("title_md5"),
-                       (F.col("predicted_citations").isNotNull() & (F.col("ci_lower") < F.col("ci_upper"))).alias("scored"))
+
+    def digest(df: DataFrame, name: str) -> DataFrame:
+        """Rows per title, and the sum over them that differs when any number of any row does."""
+        numbers = F.xxhash64(*(F.format_number(c, 6) for c in ("predicted_citations", "percentile", "ci_lower", "ci_upper")))
+        good = (F.col("predicted_citations").isNotNull() & (F.col("ci_lower") < F.col("ci_upper")) & F.col("percentile").between(0, 100))
+        return df.groupBy(F.md5(F.coalesce("title", F.lit(""))).alias("title_md5")).agg(
+            F.count("*").alias(f"n_{name}"), F.sum(numbers.cast("decimal(38,0)")).alias(f"sum_{name}"), F.bool_and(good).alias(f"good_{name}"))
+
+    both = digest(back, "file").join(digest(results, "memory"), "title_md5", "full")
+    same = (F.col("n_file") == F.col("n_memory")) & (F.col("sum_file") == F.col("sum_memory"))
+    return both.select("title_md5", F.col("n_file").alias("n_rows"), F.col("good_file").alias("scored"),
+                       F.coalesce(same, F.lit(False)).alias("same"))
 
 
 @query("model_card", """WITH names AS (SELECT DISTINCT 'cat_' || lang AS feature FROM documents

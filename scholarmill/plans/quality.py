@@ -58,6 +58,20 @@ def filter_audit(spark, folder) -> DataFrame:
     return rounded(C.filter_audit(text_joined(spark, folder), CUTOFF))
 
 
+@query("filter_audit_by_run", f"""{TEXT_SQL}, staged AS (
+  SELECT CASE WHEN NOT coalesce(submitted <= DATE '2023-06-30' - INTERVAL 730 DAY, false) THEN 'time_cutoff'
+              WHEN citations_24mo IS NULL THEN 'null_citations'
+              WHEN NOT coalesce(length(abstract) > 10 AND length(title) > 3, false) THEN 'invalid_text'
+              ELSE 'kept' END AS stage FROM papers_text LEFT JOIN citations_text USING (paper_id)),
+  names(stage) AS (VALUES ('time_cutoff'), ('null_citations'), ('invalid_text'), ('kept'))
+  SELECT n.stage, count(s.stage) AS n_rows, (SELECT count(*) FROM staged) AS initial_rows,
+         {r6('100.0 * count(s.stage) / (SELECT count(*) FROM staged)')} AS pct_of_initial
+  FROM names n LEFT JOIN staged s USING (stage) GROUP BY n.stage""")
+def filter_audit_by_run(spark, folder) -> DataFrame:
+    """The same with the cut-off that a run on a given day takes by default."""
+    return rounded(C.filter_audit(text_joined(spark, folder), C.default_cutoff(date(2023, 6, 30))))
+
+
 @query("impute_zero", f"""{TEXT_SQL} SELECT paper_id, coalesce(CAST(citations_12mo AS DOUBLE), 0.0) AS citations_12mo,
   coalesce(CAST(citations_24mo AS DOUBLE), 0.0) AS citations_24mo
   FROM papers_text LEFT JOIN citations_text USING (paper_id)""")
@@ -81,6 +95,13 @@ def validate_inputs(spark, folder) -> DataFrame:
         "paper_id", "authors", "category", F.array_join("violated", ",").alias("violated")))
 
 
+@query("batch_size", "SELECT count(*) AS n_rows, count(*) BETWEEN 1 AND 1000 AS accepted FROM documents")
+def batch_size(spark, folder) -> DataFrame:
+    """Whether all documents may come as one request."""
+    return Q.batch_size_ok(papers_text(spark, folder))
+
+
+
 @query("quality_rules", f"""{TEXT_SQL}, records AS (SELECT paper_id AS seq,
     CASE WHEN paper_id % 4 = 0 THEN '2020-' ELSE '2020.' END || lpad(CAST(paper_id % 100000 AS VARCHAR), 5, '0')
       || CASE WHEN paper_id % 3 = 0 THEN 'v2' ELSE '' END AS id,

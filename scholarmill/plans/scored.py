@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholarmill.functions.labels import ablation_verdict
 from scholarmill.functions.numbers import normal_percentile
 from scholarmill.operators import evaluate as E
 from scholarmill.operators import explain as W
@@ -315,6 +316,23 @@ def word_contributions(spark, folder) -> DataFrame:
     return rounded(W.word_contributions(papers_text(spark, folder), literal_coefficients(spark, folder)))
 
 
+@query("literal_importance", f"""{HITS_SQL}, weights AS (SELECT 'tfidf_' || term AS feature, coef FROM coefficients),
+  tails AS (SELECT * FROM (SELECT * FROM weights WHERE coef < 0 ORDER BY coef, feature LIMIT 20)
+    UNION ALL SELECT * FROM (SELECT * FROM weights WHERE coef > 0 ORDER BY coef DESC, feature LIMIT 20))
+  SELECT feature, {r6('coef')} AS coef, replace(replace(replace(feature, 'tfidf_', ''), 'has_', 'has:'), 'cat_', 'cat:') AS label
+  FROM tails""")
+def literal_importance(spark, folder) -> DataFrame:
+    """The twenty weights furthest below and above zero."""
+    return rounded(W.feature_importance(literal_coefficients(spark, folder)))
+
+
+@query("ablation_verdicts", """SELECT doc_id AS paper_id, CASE WHEN abs(doc_id % 61 - 30) < 5 THEN 'none' WHEN doc_id % 61 - 30 > 15 THEN 'substantial'
+  ELSE 'moderate' END AS verdict FROM documents""")
+def ablation_verdicts(spark, folder) -> DataFrame:
+    change = (F.col("paper_id") % 61 - 30).cast("double")
+    return papers_text(spark, folder).select("paper_id", ablation_verdict(change).alias("verdict"))
+
+
 @query("top_words_per_paper", f"""{HITS_SQL} SELECT paper_id, rank, term, {r6('coef')} AS coef,
   CASE WHEN coef > 0 THEN 'increases' ELSE 'decreases' END AS direction
   FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY abs(coef) DESC, term) AS rank FROM hits) WHERE rank <= 10""")

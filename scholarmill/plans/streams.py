@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarmill.plans.models import scoring_model
+from scholarmill.plans.models import same_rows, scoring_model
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import rounded
 from scholarmill.session import fresh_path
-from scholarmill.sources.stand_ins import DATED_SQL, papers_dated
+from scholarmill.sources.stand_ins import DATED_SQL, papers_dated, papers_text
 from scholarmill.sources.tables import read_table, stream_table
 from scholarmill.streaming.horizon import daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
@@ -19,14 +19,42 @@ from scholarmill.streaming.score import start_scoring
 EVENT_KEY = ("l_orderkey", "l_linenumber", "paper_id", "l_suppkey", "l_extendedprice", "cited_at")
 
 
+# how late an event may come
+LATENESS = "30 days"
+SLICES = 4
+
+
 def _stream(spark, folder, name) -> DataFrame:
     return stream_table(spark, folder, name, read_table(spark, folder, name).schema)
 
 
+def landed_events(spark, folder) -> DataFrame:
+    """The events as a stream of files that land one after the other in order of time."""
+    events = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("paper_id"), "l_suppkey", "l_extendedprice",
+        F.col("l_shipdate").cast("timestamp").alias("cited_at"))
+    path = fresh_path(spark, "landed-events")
+    span = events.agg(F.min("cited_at").alias("a"), F.max("cited_at").alias("b")).first()
+    ends = [span["a"] + (span["b"] - span["a"]) * i / SLICES for i in range(1, SLICES)] if span["a"] else []
+    for low, high in zip([None, *ends], [*ends, None]):
+        inside = (F.lit(True) if low is None else F.col("cited_at") >= F.lit(low)) & (F.lit(True) if high is None else F.col("cited_at") < F.lit(high))
+        # a slice is one file here, as one trigger of the source takes it
+        events.where(inside).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def landed_documents(spark, folder) -> DataFrame:
+    """The documents as a stream of several files."""
+    path = fresh_path(spark, "landed-documents")
+    rows = read_table(spark, folder, "documents").select("doc_id", "text")
+    rows.repartition(SLICES, "doc_id").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query("stream_ingest", "SELECT DISTINCT md5(text) AS text_key, length(text) AS n_chars FROM documents")
 def stream_ingest(spark, folder) -> DataFrame:
     """Streams the documents into a store keyed by content, twice: the second run adds nothing."""
-    rows = _stream(spark, folder, "documents").select(
+    rows = landed_documents(spark, folder).select(
         F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
     store = fresh_path(spark, "store")
     for run in ("first", "again"):
@@ -36,23 +64,25 @@ def stream_ingest(spark, folder) -> DataFrame:
 
 @query("stream_horizon", f"{DATED_SQL} SELECT paper_id, category, submitted, citations_12mo, citations_24mo FROM horizon")
 def stream_horizon(spark, folder) -> DataFrame:
+    """Events land in slices of time, one per micro-batch, so a lateness of days lets days that are over go."""
     papers = papers_dated(spark, folder).select("paper_id", "category", "submitted")
-    events = _stream(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("paper_id"), "l_suppkey", "l_extendedprice",
-        F.col("l_shipdate").cast("timestamp").alias("cited_at"))
+    events = landed_events(spark, folder)
     path = fresh_path(spark, "counts")
-    counts = daily_counts(events, EVENT_KEY, "3650 days")
+    counts = daily_counts(events, EVENT_KEY, LATENESS)
     start_counts(counts, path, fresh_path(spark, "counts-checkpoint")).awaitTermination()
     return running_horizon(papers, path)
 
 
-@query("stream_score")
+@query("stream_score", "SELECT doc_id AS paper_id, true AS same FROM documents")
 def stream_score(spark, folder) -> DataFrame:
-    """Scores the documents as an upload stream of title and abstract."""
+    """Scores the documents as an upload stream of title and abstract; each score against that of a batch."""
     papers = _stream(spark, folder, "documents").select(
         F.col("doc_id").alias("paper_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.col("text").alias("abstract"))
     path = fresh_path(spark, "scores")
     start_scoring(scoring_model(spark, folder), papers, ["paper_id"], path,
                   fresh_path(spark, "scores-checkpoint")).awaitTermination()
-    return rounded(spark.read.parquet(path))
+    scored = rounded(spark.read.parquet(path))
+    model = scoring_model(spark, folder)
+    batch = rounded(model.with_bounds(model.predict_upload(papers_text(spark, folder).select("paper_id", "title", "abstract"), ["paper_id"])))
+    return same_rows(scored, batch, "paper_id")

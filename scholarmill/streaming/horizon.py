@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from scholarmill.operators.horizon import MONTHS, horizon_of_daily
+from scholarmill.session import write_once
 
 STORED = "paper_id bigint, started timestamp, cited_on date, n_events bigint, batch int"
 
@@ -41,10 +42,16 @@ def start_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def compact_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest count of each paper and day, written as one table, so that reading it needs no micro-batch folder.
+
+    Run between runs of the stream; ``path`` may go once the table is in use.
+    """
+    stored = spark.read.schema(STORED).parquet(path)
+    latest = stored.groupBy("paper_id", "started", "cited_on").agg(F.max_by("n_events", "batch").alias("n_events"))
+    return write_once(latest.groupBy("paper_id", "cited_on").agg(F.sum("n_events").alias("n_events")), "daily-counts")
+
+
 def running_horizon(papers: DataFrame, path: str, months: tuple[int, ...] = MONTHS) -> DataFrame:
     """Horizon counts from the latest stored count of each paper and day."""
-    stored = papers.sparkSession.read.schema(STORED).parquet(path)
-    daily = (stored.groupBy("paper_id", "started", "cited_on")
-             .agg(F.max_by("n_events", "batch").alias("n_events"))
-             .groupBy("paper_id", "cited_on").agg(F.sum("n_events").alias("n_events")))
-    return horizon_of_daily(papers, daily, months)
+    return horizon_of_daily(papers, compact_counts(papers.sparkSession, path), months)
