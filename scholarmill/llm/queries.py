@@ -55,11 +55,11 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @named("op3_vector_join", """
 WITH RECURSIVE vectors AS (
-    SELECT DISTINCT vec_id, label, embedding, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings),
+    SELECT DISTINCT vec_id, label, embedding, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 usable AS (
     SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
-      AND len(list_filter(v, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+      AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
 links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
