@@ -25,25 +25,44 @@ from pyspark.sql.window import Window
 from scholarmill.llm.rows import blocks, texts
 from scholarmill.session import fresh_path, write_once
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 6_000_000
 
 #: Parts of words whose ids a worker keeps from one block to the next.
-LEXICON_PARTS = 600_000
+LEXICON_PARTS = 1_000_000
 
 #: Stands for a null document id in the file of ids.
 NO_ID = -(1 << 63)
 
-#: White space that separates words for the tokenizer under any reading; a word may still hold other white space.
-PLAIN_SPACE = str.maketrans("\t\n\r", "   ")
-SIMPLE = re.compile(r"([A-Za-z]+)([.,;:!?]?)")
+#: Signs that are cut off the ends of a word; the apostrophe joins letters, and <| |> may be a special token.
+SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+#: Letters that have one lower-case letter each and no combining forms.
+LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+#: Parts of words that are given to the tokenizer as one text.
+TOGETHER = 256
+
+
+def split(text: str) -> list[str]:
+    """Words between white space that separates for the tokenizer under any reading; they may hold other white space."""
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+
+def parts(word: str) -> tuple[str, ...]:
+    """Signs, lower-cased letters and signs, if that is what a word is; else the word itself."""
+    core = word.strip(SIGNS)
+    if not (core.isalpha() if core.isascii() else LETTERS.fullmatch(core)):
+        return (word,)
+    at = word.find(core)
+    return word[:at], core.lower(), word[at + len(core):]
 
 
 class Encoder:
     """Ids of whole texts, each distinct word encoded once.
 
-    The tokenizer drops white space and splits letters from signs before any merge, its normaliser works within words,
-    and lower-cases. So a text's ids are those of its words one after the other, and a plain word with one sign behind
-    it has the ids of the lower-cased word and those of the sign.
+    The tokenizer drops white space and splits letters from signs before any merge, and its normaliser works within
+    words and lower-cases. So a text's ids are those of its words one after the other, and a plain word with signs
+    around it has the ids of the signs, of the lower-cased word, and of the signs.
     """
 
     def __init__(self, path: str, width: int):
@@ -51,26 +70,50 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype(f"<u{width}")
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.known: dict[str, bytes] = {"": b""}
+
+    def encode(self, texts_: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)
+
+    def learn(self, new: list[str]) -> None:
+        """Files the ids of new parts.
+
+        Letters alone are one word to the tokenizer, so many go as one text, whose word ends tell them apart.
+        """
+        plain = [p for p in new if p.isalpha() and (p.isascii() or LETTERS.fullmatch(p))]
+        known, size = self.known, self.kind.itemsize
+        for at in range(0, len(plain), 64 * TOGETHER):
+            groups = [plain[i:i + TOGETHER] for i in range(at, min(len(plain), at + 64 * TOGETHER), TOGETHER)]
+            for group, found in zip(groups, self.encode([" ".join(g) for g in groups])):
+                ids = np.array(found.ids, dtype=self.kind)
+                stops = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(stops) != len(group) or (len(ids) and stops[-1] != len(ids)):
+                    continue  # no word ends to go by: one by one below
+                flat, stops = ids.tobytes(), (stops * size).tolist()
+                known.update(zip(group, (flat[a:b] for a, b in zip([0, *stops], stops))))
+        other = [p for p in new if p not in known]
+        for at in range(0, len(other), 4096):
+            some = other[at:at + 4096]
+            known.update(zip(some, (np.array(found.ids, dtype=self.kind).tobytes() for found in self.encode(some))))
 
     def block(self, held: list[str]) -> list[bytes]:
-        split = [text.translate(PLAIN_SPACE).split(" ") for text in held]
-        words = set(chain.from_iterable(split))
+        if len(self.known) > LEXICON_PARTS:
+            self.known = {"": b""}
         known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > LEXICON_PARTS:
-            known.clear()
-            new = list(words)
-        parts = {w: (m[1].lower(), m[2]) if (m := SIMPLE.fullmatch(w)) else (w,) for w in new}
-        ask = sorted({p for own in parts.values() for p in own} - {""})
-        ids = {"": b""}
-        for at in range(0, len(ask), 4096):
-            some = ask[at:at + 4096]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids[part] = np.array(found.ids, dtype=self.kind).tobytes()
-        for w, own in parts.items():
-            known[w] = b"".join(map(ids.__getitem__, own))
-        return [b"".join(map(known.__getitem__, own)) for own in split]
+        words_of = [split(text) for text in held]
+        found = [list(map(known.get, own)) for own in words_of]
+        new = {w for own, ids in zip(words_of, found) if None in ids for w, x in zip(own, ids) if x is None}
+        cut = {w: parts(w) for w in new}
+        self.learn([p for p in set(chain.from_iterable(cut.values())) if p not in known])
+        for w, own in cut.items():
+            if len(own) > 1:
+                known[w] = known[own[0]] + known[own[1]] + known[own[2]]
+        return [b"".join([known[w] if x is None else x for w, x in zip(own, ids)] if None in ids else ids)
+                for own, ids in zip(words_of, found)]
 
 
 @lru_cache(maxsize=2)
