@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# masters whose executors live in the driver's process, not those of a local cluster
+ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?")
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -39,17 +45,32 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not ONE_PROCESS.fullmatch(spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     made = tempfile.mkdtemp(prefix="scholarmill-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set(CHECKPOINT_KEY, made)
     spark.sparkContext.setCheckpointDir(made)
     return made
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder under the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/scholarmill-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no earlier run used."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path under the application's folder that no earlier call gave."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what ``write_once`` and the queries have written for this application.
+
+    DataFrames that read such tables are of no use afterwards, so a long job calls this when it has stored its results.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_once(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
