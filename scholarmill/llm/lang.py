@@ -3,7 +3,7 @@
 A text becomes a vector of hashed byte n-grams (two and three bytes of the lower-cased text, all but letters as one
 separator), weighted by TF-IDF and normalised. The vectors of a bounded sample of each language are clustered on the
 executors; a text gets the language of the centroid with the largest cosine. A text further from that centroid than
-the centroid's own sample by a wide margin is rejected.
+the language's own sample by a wide margin is rejected.
 
 The fit is the only part that samples: ``FIT_ROWS`` rows per language at most, whole texts, chosen by a hash of the id.
 """
@@ -27,8 +27,9 @@ FIT_ROWS = 400
 BITS, CENTROIDS, ROUNDS = 14, 3, 8
 BUCKETS = 1 << BITS
 
-#: A text is rejected below this share of its centroid's least sample cosine (the hundredth part left out).
-REJECT_SHARE = 0.35
+#: A text is rejected below this share of the least cosine in its language's sample (the hundredth part left out). Texts
+#: of a word or two share few n-grams with any centroid and still belong to a language, so the share is small.
+REJECT_SHARE = 0.1
 
 UNKNOWN = "und"
 
@@ -54,24 +55,23 @@ def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weighted / np.maximum(norm, 1e-12)
 
 
-def clustered(vectors: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids by cosine and the least cosine of each one's members, started from vectors far from one another."""
-    centres = vectors.mean(axis=0, keepdims=True)
-    while len(centres) < min(k, len(vectors)):
-        centres = np.vstack((centres, vectors[(vectors @ centres.T).max(axis=1).argmin()]))
+def clustered(vectors: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, float]:
+    """Centroids by cosine, and the cosine that all but a hundredth of the vectors reach with their own.
+
+    They start from the means of ``k`` equal parts in order of nearness to the common mean, so no outlier gets one.
+    """
+    order = np.argsort(-(vectors @ vectors.mean(axis=0)), kind="stable")
+    centres = np.array([vectors[part].mean(axis=0) for part in np.array_split(order, min(k, len(vectors)))])
     for _ in range(rounds):
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
         member = (vectors @ centres.T).argmax(axis=1)
         centres = np.array([vectors[member == c].mean(axis=0) if (member == c).any() else centres[c] for c in range(len(centres))])
     centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    near = vectors @ centres.T
-    member = near.argmax(axis=1)
-    least = [np.quantile(near[member == c, c], 0.01) if (member == c).any() else 0.0 for c in range(len(centres))]
-    return centres, np.array(least)
+    return centres, float(np.quantile((vectors @ centres.T).max(axis=1), 0.01))
 
 
 class Model:
-    """What a prediction needs: idf, centroids, their languages and their least cosines."""
+    """What a prediction needs: idf, centroids, their languages and the languages' least cosines."""
 
     def __init__(self, idf: np.ndarray, centres: np.ndarray, langs: list[str], least: np.ndarray):
         self.idf, self.centres, self.langs, self.least = idf, centres, langs, least

@@ -180,7 +180,8 @@ def test_language(spark):
     right = sum(known[r.doc_id] == r.lang_pred for r in out)
     assert right >= 0.97 * len(out)
     assert sum(r.rejected for r in out) <= 0.01 * len(out)
-    odd = by_id(lang.predict(frame(spark, [None, "", "12 34 !", "é", "the"]), model))
+    odd = by_id(lang.predict(frame(spark, [None, "", "12 34 !", "é", "the", "x", "Это совсем другая письменность, а не язык"]), model))
+    assert odd[6].rejected and odd[6].lang_pred in model.langs and not odd[4].rejected
     assert [odd[i].lang_pred for i in range(3)] == ["und"] * 3 and [odd[i].score for i in range(3)] == [0.0] * 3
     assert odd[3].lang_pred in model.langs and 0 <= odd[3].score <= 1
 
