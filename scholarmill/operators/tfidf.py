@@ -48,7 +48,7 @@ def _tally(rows: DataFrame, terms: str) -> DataFrame:
     The terms of a document are sorted, so a first place is one after another term.  Both counts then
     come from one shuffle on the term, combined on the map side; the document id is never shuffled.
     """
-    placed = rows.select(F.array_sort(terms).alias("s")).select("s", F.posexplode("s").alias("i", "term"))
+    placed = rows.select(F.sort_array(terms).alias("s")).select("s", F.posexplode("s").alias("i", "term"))
     new = F.col("term").eqNullSafe(F.get("s", F.col("i") - 1))
     return placed.select("term", F.lit(1).alias("tf"), F.when(new, 0).otherwise(1).alias("df"))
 
