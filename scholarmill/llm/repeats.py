@@ -200,17 +200,18 @@ def crowded_repeats(contexts: DataFrame, length: int) -> DataFrame:
 def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(row, first, last)``: runs of starts of windows that also start earlier; runs of a row may touch or overlap."""
     every = anchored(rows, length, gram)
-    repeated = every.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # written first, here and below: a join of two plain shuffles lets the planner split an anchor that has many rows
+    repeated = write_once(every.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeated-anchors")
     places = write_once(every.join(repeated, "anchor", "left_semi"), "anchors")
     # places of each context: the first stays, the others repeat all its windows
     grouped = places.groupBy("anchor", "context").agg(F.min(F.struct(owner().alias("at"), "n")).alias("least"))
     firsts = write_once(grouped.select("anchor", "context", F.col("least.at").alias("least"), F.col("least.n").alias("n")), "contexts")
     copies = places.join(firsts.select("anchor", "context", "least"), ["anchor", "context"]).filter(F.col("least") < owner())
     whole = write_once(copies.select("row", "first", (F.col("first") + F.col("n") - 1).alias("last")), "whole-repeats")
-    several = firsts.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+    several = write_once(firsts.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "several-contexts")
     wanted = firsts.join(several, "anchor").select("anchor", "contexts", F.col("least.doc_id").alias("doc_id"), F.col("least.row").alias("row"),
                                                    F.col("least.first").alias("first"), "n")
-    crowds = write_once(several.filter(F.col("contexts") > crowd).select("anchor"), "crowded-anchors")
+    crowds = several.filter(F.col("contexts") > crowd).select("anchor")
     contexts = cut_contexts(rows, wanted, length)
     if crowds.isEmpty():
         return whole.union(write_once(sorted_repeats(contexts, length, block_bytes), "sorted-repeats"))
