@@ -92,7 +92,7 @@ def fit_vocabulary(papers: DataFrame, stop_words: Sequence[str] | None = None,
     texts = papers.select(combined_text().alias("tfidf_text"))
     *to_words, to_pairs = _word_stages(stop_words)
     # texts are read and cut into words once; the document count comes from the written files' footers
-    tokens = write_once(PipelineModel(to_words).transform(texts).select("tfidf_words"), "tokens")
+    tokens = write_once(PipelineModel(to_words).transform(texts).select("tfidf_words"), "tokens", row_group=4 << 20)
     n_documents = tokens.count()
     enough = F.col("df") >= min_document_frequency(n_documents)
     prepared = to_pairs.transform(tokens)

@@ -73,12 +73,14 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def write_once(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+def write_once(df: DataFrame, label: str, by: str | None = None, row_group: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Later plans start from the files, so a lost executor re-reads them instead of recomputing.  ``by`` names a column
-    of few values that gets a folder per value: a plan for one value reads its files only.
+    of few values that gets a folder per value: a plan for one value reads its files only.  ``row_group`` is the size in
+    bytes that later scans can split, for rows that are costly to work on.
     """
     path = fresh_path(df.sparkSession, label)
-    (df.hint("rebalance", by).write.partitionBy(by) if by else df.write).parquet(path)
+    writer = df.hint("rebalance", by).write.partitionBy(by) if by else df.write
+    (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
