@@ -1,6 +1,8 @@
 """Token, secret, leak and language operators against the libraries, SQL and brute force."""
 
+import base64
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -186,6 +188,35 @@ def test_language(spark):
     assert odd[3].lang_pred in model.langs and 0 <= odd[3].score <= 1
 
 
+FINNISH = (
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja "
+    "heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin "
+    "oikeuksiin ja vapauksiin ilman minkäänlaista rotuun, väriin, sukupuoleen, kieleen tai uskontoon perustuvaa erotusta. "
+    "Kullakin yksilöllä on oikeus elämään, vapauteen ja henkilökohtaiseen turvallisuuteen. Ketään ei saa pitää orjana.")
+
+
+def test_language_limit_follows_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = lang.fit(docs.filter(~lang.held_out()), fit_rows=100)
+    draw = random.Random(11)
+
+    def strings(letters, n):
+        return " ".join("".join(draw.choice(letters) for _ in range(draw.randint(2, 10))) for _ in range(n))
+
+    az = "abcdefghijklmnopqrstuvwxyz"
+    junk = [strings(x, n) for n in (5, 50, 500, 5000) for x in (az, "bcdfghjklmnpqrstvwxz")]
+    junk += [base64.b64encode(draw.randbytes(n)).decode() for n in (150, 3000)]
+    junk += [inspect.getsource(inspect), inspect.getsource(inspect.getsource), FINNISH, FINNISH[:150]]
+    assert [t[:40] for t in junk if not model.predict(t)[2]] == []
+    # pieces of clean texts that the fit has not seen, from a word on
+    clean = [r.text.split() for r in docs.filter(lang.held_out()).filter("length(text) > 400").orderBy("doc_id").collect()]
+    for n in (1, 2, 4, 16, 64):
+        cut = [" ".join(w[a:a + n]) for w in clean for a in range(0, len(w) - n, max(40, n))][:1000]
+        assert sum(model.predict(t)[2] for t in cut if lang.has_letter(t)) <= 0.015 * len(cut), n
+    long = [" ".join(w) for w in clean]
+    assert sum(model.predict(t)[2] for t in long) == 0
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
     out = by_id(lang.predict(docs, lang.fit(docs)))
