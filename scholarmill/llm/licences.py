@@ -4,7 +4,9 @@ The hash of every run of ``K`` words of every document is joined to the hashes o
 themselves are compared in the join, so a collision never counts. A pair of places votes for the diagonal
 ``place in document - place in template``. Votes are summed per diagonal. A phrase stands word for word where a
 diagonal has all votes of its template. Looser notices gather the votes of neighbouring diagonals, at most ``GAP``
-words apart, and need ``LEAST_SHARE`` of the template's runs, the first and the last among them.
+words or as many as the notice may have edits apart; where those are enough for that many edits, the span is compared
+word by word. One word in ``WORDS_AN_EDIT`` may be changed, inserted or removed, the first and last too, but not those
+that name the licence or its version, and no name of another licence may stand in between.
 
 The templates are lists of the caller's, so their size is known: up to ``SENT_CHARS`` characters they are broadcast, and
 hits alone are shuffled, with one row per document that carries its number of words. Beyond, the runs are shuffled.
@@ -18,8 +20,19 @@ from pyspark.sql.window import Window
 
 from scholarmill.llm.rows import texts
 
-#: Words of a run, largest distance of neighbouring diagonals, share of a template's runs that makes a label.
-K, GAP, LEAST_SHARE = 3, 2, 0.8
+#: Words of a run, distance of diagonals that are always neighbours, words of a notice for each edit it may have.
+K, GAP, WORDS_AN_EDIT = 2, 2, 5
+
+#: Most words by which the ends of a span are moved from where its diagonal has them.
+REACH = 3
+
+#: Words that name a licence, and its version where a notice states one of these.
+NAMES = ("mit", "apache", "bsd", "gnu", "lesser", "library", "affero", "mozilla", "creative", "attribution", "cc", "nc", "sa", "nd",
+         "noncommercial", "commercial", "sharealike", "alike", "noderivatives", "noderivs")
+VERSIONS = ("2", "3")
+
+#: In a span, a word that the notice does not have, and one that names another licence; the notice's own words follow.
+STRANGE, OTHER, FIRST_LETTER = ".", "!", 0x10000
 
 #: Characters of templates that are broadcast.
 SENT_CHARS = 1_000_000
@@ -71,8 +84,52 @@ def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFram
         "template", "label", "exact", "n_runs", "at", "hash", F.slice("words", F.col("at") + 1, K).alias("run"))
 
 
-def votes(docs: DataFrame, known: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
-    """``(row, doc_id, template, label, exact, n_runs, diagonal, votes, low, high, n_words)`` per diagonal, and a row per document."""
+def spelled(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
+    """``(template, own, letters, code, named)``, a row per notice: its words, a letter for each, itself in letters, those of its names."""
+    listed = [(i, text, [chr(FIRST_LETTER + j) for j in range(len(text) // 2 + 1)]) for i, (_, text) in enumerate(notices, len(phrases))]
+    rows = spark.createDataFrame(listed, "template int, text string, letters array<string>").withColumn("own", words_of(F.col("text")))
+    names = F.array_intersect("own", F.array(*map(F.lit, (*NAMES, *VERSIONS))))
+    return rows.select("template", "own", "letters", in_letters(F.col("own")).alias("code"),
+                       F.transform(names, lambda w: F.get("letters", F.array_position("own", w).cast("int") - 1)).alias("named"))
+
+
+def in_letters(words: Column) -> Column:
+    """A letter per word, so that a distance of strings is one of words; needs the columns ``own`` and ``letters``."""
+    def letter(w):
+        at = F.array_position("own", w).cast("int")
+        return F.when(at > 0, F.get("letters", at - 1)).when(w.isin(*NAMES), F.lit(OTHER)).otherwise(F.lit(STRANGE))
+
+    return F.array_join(F.transform(words, letter), "")
+
+
+def n_words_of_template() -> Column:
+    return F.col("n_runs") + K - 1
+
+
+def most_edits() -> Column:
+    return F.floor(n_words_of_template() / WORDS_AN_EDIT).cast("int")
+
+
+def edits() -> Column:
+    """Least edits from a notice to a span of ``view`` that has all its names and no other licence's; null if there is none."""
+    reach, n = F.least(most_edits(), F.lit(REACH)), n_words_of_template()
+
+    def has_names(span):
+        return F.forall("named", lambda x: F.contains(span, x))
+
+    def of(span):
+        return F.when(~F.contains(span, F.lit(OTHER)) & has_names(span), F.levenshtein(span, F.col("code")))
+
+    tried = F.transform(F.sequence(F.lit(1), 2 * reach + 1), lambda at: F.array_min(F.transform(
+        F.sequence(n - reach, n + reach), lambda size: of(F.substr(F.col("view"), at, size)))))
+    return F.when(has_names(F.col("view")), F.array_min(tried))
+
+
+def votes(docs: DataFrame, known: DataFrame, spelt: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
+    """``(row, doc_id, template, label, exact, n_runs, diagonal, votes, view, n_words)`` per diagonal, and a row per document.
+
+    ``view`` is the part of the document that a notice on this diagonal can cover, in letters.
+    """
     rows = texts(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words"))
     marker = known.sparkSession.createDataFrame([(OWN, None, False, 0, -1, 0, None)], known.schema)
     # place 0 stands for the document itself, place i + 1 for its run i
@@ -80,34 +137,45 @@ def votes(docs: DataFrame, known: DataFrame, how: str, id_col: str, text_col: st
     own = F.col("template") == OWN
     same = F.when(F.col("place") == 0, own).otherwise(~own & (F.slice("words", F.col("place"), K) == F.col("run")))
     found = placed.join(known.union(marker).hint(how), "hash").filter(same)
-    found = found.select("row", "doc_id", "template", "label", "exact", "n_runs", "at", (F.col("place") - 1 - F.col("at")).alias("diagonal"),
-                         F.when(own, F.size("words")).alias("n_words"))
+    # the first run of each stretch on a diagonal brings the view along
+    diagonal, reach = F.col("place") - 1 - F.col("at"), F.least(most_edits(), F.lit(REACH))
+    start = F.greatest(diagonal - reach, F.lit(0))
+    seen = in_letters(F.slice("words", start + 1, diagonal + n_words_of_template() + 2 * reach - start))
+    before = F.coalesce(F.get("words", F.col("place") - 2) == F.get("own", F.col("at") - 1), F.lit(False))
+    found = found.join(spelt.drop("code", "named").hint(how), "template", "left")
+    found = found.select("row", "doc_id", "template", "label", "exact", "n_runs", diagonal.alias("diagonal"),
+                         F.when(F.col("own").isNotNull() & ~before, seen).alias("view"), F.when(own, F.size("words")).alias("n_words"))
     # everything below works on one document's rows
     return found.repartition("row").groupBy("row", "doc_id", "template", "label", "exact", "n_runs", "diagonal").agg(
-        F.count("*").alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"),
-        F.max("n_words").cast("long").alias("n_words"))
+        F.count("*").alias("votes"), F.max("view").alias("view"), F.max("n_words").cast("long").alias("n_words"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """``(doc_id, n_words, places array<struct<word,label>>, labels array<string>, score)``, one row per row of ``docs``.
 
     ``places`` are all starts of the fixed phrases, sorted; ``labels`` those of phrases and notices found, sorted;
-    ``score`` is the largest share of a template's runs, 1 for a fixed phrase and 0 if nothing votes. A null or empty
+    ``score`` is 1 for a fixed phrase, the share of a notice's words without edits if it is found, otherwise the largest
+    share of a template's runs, below 1, and 0 if nothing votes. A null or empty
     text has no words; repeated rows stay.
     """
-    known = templates(docs.sparkSession, phrases, notices)
+    known, spelt = (f(docs.sparkSession, phrases, notices) for f in (templates, spelled))
     small = sum(len(text) for _, text in (*phrases, *notices)) <= SENT_CHARS
-    cast = votes(docs, known, "broadcast" if small else "merge", id_col, text_col)
+    how = "broadcast" if small else "merge"
+    cast = votes(docs, known, spelt, how, id_col, text_col)
     near = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > GAP, F.lit(True))
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > F.greatest(F.lit(GAP), most_edits()), F.lit(True))
     grouped = cast.withColumn("group", F.sum(apart.cast("int")).over(near.rowsBetween(Window.unboundedPreceding, 0)))
     together = Window.partitionBy("row", "template", "group")
-    share = F.when(F.col("template") == OWN, 0.0).otherwise(F.least(F.lit(1.0), F.sum("votes").over(together) / F.col("n_runs")))
-    ends = (F.min("low").over(together) == 0) & (F.max("high").over(together) == F.col("n_runs") - 1)
-    marked = grouped.withColumn("share", share).withColumn("ends", ends).withColumn("place", F.when(F.col("exact") & (F.col("votes") == F.col("n_runs")), F.struct(
-        F.col("diagonal").cast("long").alias("word"), "label")))
-    loose = F.when(~F.col("exact") & F.col("ends") & (F.col("share") >= LEAST_SHARE), F.col("label"))
-    scored = F.when(F.col("exact"), F.when(F.col("place").isNotNull(), 1.0).otherwise(F.least("share", F.lit(0.99)))).otherwise(F.col("share"))
+    grouped = grouped.withColumn("together", F.sum("votes").over(together)).join(
+        spelt.select("template", "code", "named").hint(how), "template", "left")
+    share = F.when(F.col("template") == OWN, 0.0).otherwise(F.least(F.lit(0.99), F.col("together") / F.col("n_runs")))
+    # an edit costs K runs at most
+    enough = ~F.col("exact") & (F.col("template") != OWN) & (F.col("together") >= F.col("n_runs") - K * most_edits())
+    marked = grouped.withColumn("share", share).withColumn("edits", F.when(enough & F.col("view").isNotNull(), edits())).withColumn(
+        "place", F.when(F.col("exact") & (F.col("votes") == F.col("n_runs")), F.struct(F.col("diagonal").cast("long").alias("word"), "label")))
+    stands = ~F.col("exact") & F.coalesce(F.col("edits") <= most_edits(), F.lit(False))
+    loose = F.when(stands, F.col("label"))
+    scored = F.when(F.col("place").isNotNull(), 1.0).when(stands, 1 - F.col("edits") / n_words_of_template()).otherwise(F.col("share"))
     by_row = marked.groupBy("row", "doc_id").agg(
         F.max("n_words").alias("n_words"), F.sort_array(F.collect_list("place")).alias("places"),
         F.collect_set(loose).alias("loose"), F.max(scored).alias("score"))

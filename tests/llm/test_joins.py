@@ -57,6 +57,37 @@ def test_licences(spark):
     assert [r.n_base for r in licences.digests(licences.scan(twice)).collect()] == [1, 1]
 
 
+def test_licence_notices_with_an_edit(spark, monkeypatch):
+    """Each notice with each word changed, removed, and one inserted; the words that name the licence must stay."""
+    cases = []
+    for label, notice in licences.NOTICES:
+        own = notice.split()
+        cases.append((" ".join(own), label, True))
+        for i, word in enumerate(own):
+            names = word in (*licences.NAMES, *licences.VERSIONS)
+            cases += [(" ".join([*own[:i], *new, *own[i + 1:]]), label, not names) for new in (["zzz"], [])]
+            cases.append((" ".join([*own[:i], "zzz", *own[i:]]), label, True))
+    long = licences.NOTICES[1][1]
+    cases += [
+        ("This program is licensed under the GNU General Public License, version 3", "gpl-3", True),
+        ("this work is licensed under the gnu general public license version 3", "gpl-2", False),
+        ("released under an MIT license", "mit", True), ("released under the BSD license", "mit", False),
+        (long.replace("hereby granted free of", "granted hereby free of any"), "mit", True), (long[:40], "mit", False),
+        ("this work is licensed under the GNU Lesser General Public License version 3", "gpl-3", False),
+        ("this work is licensed under the GNU Affero General Public License version 3", "gpl-3", False),
+        ("licensed under CC BY-SA 3.0", "cc-by-sa", True), ("licensed under CC BY-NC-SA 4.0", "cc-by-sa", False),
+        ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by", False)]
+    cases += [(text, label, found) for text, label, found in cases[:40]]
+    rows = [(i, f"of the aaa under the {text}, bbb of the ccc" if i % 2 else text) for i, (text, _, _) in enumerate(cases)]
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    wrong = [case for i, case in enumerate(cases) if (case[1] in found[i].labels) != case[2]]
+    assert wrong == []
+    assert found[0].score == 1
+    few = spark.createDataFrame(rows[:60], "doc_id long, text string")
+    monkeypatch.setattr(licences, "SENT_CHARS", 0)  # templates that are shuffled
+    assert {r.doc_id: r for r in licences.scan(few).collect()} == {i: found[i] for i in range(60)}
+
+
 ODD_PARTS = ["a", "aa", "The", " ", "  ", "\n", "\x1c", "\x85", "\xa0", "é", "É", "́", "Σ", "ΟΔΟΣ", "中", "😀", "'s", "don't",
              "word.", "Word,", "x!", "1", "²", " ", "--", "<|endoftext|>", "<|startoftext|>", "\x00", "İ", "ſ", "ﬁ"]
 
