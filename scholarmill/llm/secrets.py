@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that a tokenizer finds strange.
 
 The token-efficiency test encodes each candidate string under a tiktoken vocabulary. Words and names take few tokens
-for their length; random strings take many, so a low number of characters per token exposes them. Digests and
-identifiers, which are random or dense by nature, are excluded beforehand.
+for their length; random strings take many, so a low number of characters per token exposes them. Digests, UUIDs and
+sequences of numbers, which are random or dense by nature, are excluded beforehand; words joined by signs are judged by
+the words alone.
 """
 
 from __future__ import annotations
@@ -26,17 +27,21 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
-#: Strings that the token-efficiency test looks at, and the fewest characters per token of an ordinary one.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-LEAST_RATIO = 1.9
+#: Strings that the token-efficiency test looks at, and the fewest characters per token of an ordinary one, which is less
+#: for those under ``LONG`` characters, as their ratios scatter more.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LONG, LEAST_RATIO, LEAST_SHORT_RATIO = 20, 1.9, 1.8
 
-#: Digests by their usual lengths, UUIDs, and identifiers: words of letters joined by signs, with or without numbers.
+#: Digests by their usual lengths, UUIDs, times and other sequences of numbers.
 EXCLUDED = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-    r"|[A-Za-z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]+|[0-9+/_=-]+"
-    r"|[A-Za-z][a-z]*(?:[_/+=-]+(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]{1,4}))+[_/+=-]*)")
+    r"|[0-9+/_=-]+(?:T[0-9+/_=-]+)?Z?)")
+
+#: Groups of letters joined by signs, with or without numbers, and the fewest letters that are judged.
+JOINED = re.compile(r"(?:[A-Za-z][a-z]*|[A-Z]+)(?:[_/+=-]+(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]{1,4}))+[_/+=-]*")
+LETTERS, LEAST_LETTERS = re.compile(r"[A-Za-z]+"), 12
 
 
 def either_case(word: str) -> str:
@@ -56,13 +61,24 @@ def tokenizer(path: str, pattern: str):
     return tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def strange(string: str, encoding) -> bool:
+    """Whether a candidate has too few characters per token for words, names and numbers."""
+    if EXCLUDED.fullmatch(string):
+        return False
+    parts = LETTERS.findall(string) if JOINED.fullmatch(string) else [string]
+    n = sum(map(len, parts))
+    if n < LEAST_LETTERS:
+        return False
+    return n < (LEAST_RATIO if len(string) >= LONG else LEAST_SHORT_RATIO) * sum(len(encoding.encode_ordinary(x)) for x in parts)
+
+
 def spans(text: str, encoding) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` by start, then kind; code points, end exclusive."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_VALUE]
     found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
-        if not EXCLUDED.fullmatch(m[0]) and len(m[0]) < LEAST_RATIO * len(encoding.encode_ordinary(m[0])):
+        if strange(m[0], encoding):
             found.append(("sparse", *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -71,7 +87,7 @@ def scan(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     """``(doc_id, spans array<struct<kind,start,end>>)``, one row per row of ``docs``.
 
     ``assign``, ``access`` and ``hex`` are fixed patterns, leftmost and not overlapping within a kind; ``sparse`` are
-    strings with fewer than ``LEAST_RATIO`` characters per token. A null or empty text has no spans, repeated rows
+    strings with fewer than ``LEAST_RATIO`` (short ones ``LEAST_SHORT_RATIO``) characters per token. A null or empty text has no spans, repeated rows
     stay, whole texts are read, and no kind removes another's spans.
     """
     rows = texts(docs, id_col, text_col)
