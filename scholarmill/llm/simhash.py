@@ -16,6 +16,7 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -129,9 +130,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cro
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that have the smallest id of their class, or no id; all columns stay, repeated rows too."""
-    drop = classes(docs, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, column(id_col) == F.col("_drop"), "left_anti")
+    """Rows of ``docs`` that have the smallest id of their class, or no id; all columns stay, repeated rows too.
+
+    Of an id with several texts only those go whose class has a smaller id.
+    """
+    found = write_once(classes(docs, id_col, text_col), "near-copies")
+    goes = F.col("doc_id") != F.col("component_id")
+    gone = found.filter(goes).select(F.col("doc_id").alias("_drop"), F.col("fp").alias("_fp")).distinct()
+    # ids of which some rows go and others stay: no rows where ids are unique
+    both = write_once(found.groupBy("doc_id").agg(F.max(goes).alias("goes"), F.min(goes).alias("all")).filter(
+        F.col("goes") & ~F.col("all")).select(F.col("doc_id").alias("_drop")), "ids-with-several-classes")
+    own = column(id_col) == F.col("_drop")
+
+    @F.pandas_udf("bigint")
+    def print_of(held):
+        return pd.Series(np.array([fingerprint(text or "") for text in held], dtype=np.uint64).view(np.int64))
+
+    texts_apart = docs.join(both, own, "left_semi").withColumn("_print", print_of(column(text_col)))
+    stay = texts_apart.join(gone, own & (F.col("_print") == F.col("_fp")), "left_anti").drop("_print")
+    return docs.join(gone.select("_drop"), own, "left_anti").union(stay)
 
 
 def digests(found: DataFrame) -> DataFrame:

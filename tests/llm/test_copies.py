@@ -122,3 +122,10 @@ def test_null_and_repeated_ids(spark):
     found = sorted((str(r.doc_id), r.component_id) for r in simhash.classes(docs).collect())
     assert found == [("4", 4), ("4", 4), ("9", 9), ("None", 4)]
     assert simhash.keep_one(docs).count() == 4
+
+
+def test_an_id_with_two_texts(spark):
+    a, b = "first text with some words of its own", "another passage that shares nothing with it"
+    docs = spark.createDataFrame([(5, a), (5, b), (1, b), (7, a), (None, b), (8, None), (8, a), (6, "")], "doc_id long, text string")
+    kept = sorted(map(str, (tuple(r) for r in simhash.keep_one(docs).collect())))
+    assert kept == sorted(map(str, [(5, a), (1, b), (None, b), (6, "")]))
