@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import (bpe, counts, egojoin, lang, leaks, licences, repeats, secrets, simhash,
+from scholarmill.llm import (bpe, counts, egojoin, exactdup, lang, leaks, licences, repeats, secrets, simhash,
                               tokenfiles)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,17 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @named("op10_simhash_golay")
 def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.classes(table(spark, sf_dir, "documents")))
+
+
+@named("op11_exact_dedup", """
+WITH docs AS (
+    SELECT doc_id, coalesce(length(text), 0) AS points,
+           sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM documents),
+ranked AS (
+    SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS n,
+           row_number() OVER own AS place, first_value(doc_id) OVER own AS keep_id
+    FROM docs WINDOW own AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, place = 1 AS kept, text_sha256 FROM ranked
+""")
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.digests(exactdup.decide(exactdup.intake(spark, f"{sf_dir}/documents.parquet").read_on()))

@@ -11,6 +11,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -41,6 +42,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, held: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for the jobs run inside, whatever comes of them."""
+    before = {key: spark.conf.get(key, None) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def column(name: str) -> Column:
     return F.col(f"`{name}`")
 
