@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scholarmill.llm import (bpe, counts, egojoin, exactdup, lang, leaks, licences, repeats, secrets, simhash,
-                              tokenfiles)
+                              tokenfiles, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,3 +151,8 @@ SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, place = 1 AS kept, text
 """)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.digests(exactdup.decide(exactdup.intake(spark, f"{sf_dir}/documents.parquet").read_on()))
+
+
+@named("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digests(whitening.whiten(table(spark, sf_dir, "embeddings")))
