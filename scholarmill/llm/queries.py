@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import (bpe, counts, egojoin, exactdup, lang, leaks, licences, repeats, secrets, simhash,
-                              tokenfiles, whitening)
+from scholarmill.llm import (bpe, collocations, counts, egojoin, exactdup, lang, leaks, licences, repeats, secrets,
+                              simhash, tokenfiles, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,3 +156,38 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @named("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digests(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+@named("op13_phrase_mining", """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM cut, (VALUES (1), (2), (3)) ks(k) WHERE len(words) >= k)
+    GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
+sides AS (
+    SELECT lang, phrase, a, c, array_to_string(w[:c], ' ') AS lp, array_to_string(w[c + 1:], ' ') AS rp
+    FROM (SELECT lang, phrase, a, w, unnest(range(1, k)) AS c FROM candidates)),
+scored AS (
+    SELECT s.lang, s.phrase, s.a, l.f AS l, r.f AS r, 1000000::HUGEINT * s.a * s.a // (l.f::HUGEINT * r.f) AS score,
+           row_number() OVER (PARTITION BY s.lang, s.phrase ORDER BY 1000000::HUGEINT * s.a * s.a // (l.f::HUGEINT * r.f), c) AS place
+    FROM sides s JOIN grams l ON l.lang = s.lang AND l.phrase = s.lp JOIN grams r ON r.lang = s.lang AND r.phrase = s.rp),
+around AS (
+    SELECT lang, phrase, max(a) AS a FROM (
+        SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3)
+    GROUP BY lang, phrase),
+held AS (
+    SELECT s.* FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+    WHERE place = 1 AND (o.a IS NULL OR len(string_split(s.phrase, ' ')) = 3 OR 100 * o.a < 50 * s.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM held)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
