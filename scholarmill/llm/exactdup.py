@@ -35,8 +35,12 @@ WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of the digest that are the key of the state, files of one micro-batch, rows that are compared in one task.
 KEY_BYTES, FILES_PER_BATCH, MEMBERS_TOGETHER = 32, 4096, 4096
 
-STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
-               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+#: State on disk; changes are checkpointed, not whole copies, and many small stores do not reserve room beforehand.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -157,7 +161,8 @@ def decide(own: Intake, together: int = MEMBERS_TOGETHER) -> DataFrame:
     """
     arrivals = own.arrivals()
     # written first: a join of two plain shuffles lets the planner split a digest that very many rows have
-    several = write_once(own.state().filter("n > 1"), "digests-of-several")
+    with settings(own.spark, STATE_STORE):
+        several = write_once(own.state().filter("n > 1"), "digests-of-several")
     hits = arrivals.select("key", "doc_id", "points", "at").join(several, "key")
     sure = write_once(confirmed(own, hits, together), "confirmed-hits")
     joined = arrivals.select("doc_id", "sha", "at").join(sure, "at", "left")
