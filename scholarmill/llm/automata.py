@@ -4,10 +4,10 @@ A state is a list of arcs, sorted by symbol; an arc has a symbol (an index into
 The weight of the arc that a sequence ends with is the sequence's count; 0 means that the sequence only leads on to
 others. Sequences come sorted, as *layers*: layer k has a row ``(parent, symbol, weight)`` for every prefix of k + 1
 symbols, ``parent`` being its place in layer k - 1. From the longest prefixes up, a prefix is closed when all that
-continues it has been read; a register gives equal lists of arcs one state. What is smallest is kept, since counts are
-not moved along paths.
+continues it has been read; a register of lists of arcs, by their hash and then compared arc by arc, gives equal lists
+one state. So the automaton is the smallest for its weights, which are not moved along paths.
 
-Layers are numpy columns, so all but the register works on whole columns.
+Layers are numpy columns, and all work is done on whole columns.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+CODEC = pa.Codec("zstd", compression_level=1)
+
 Layer = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -69,11 +71,11 @@ class Automaton:
             kinds += [kind.itemsize, len(values)]
             parts.append(values.astype(kind).tobytes())
         raw = struct.pack("<11q", len(parts[0]), *kinds) + b"".join(parts)
-        return struct.pack("<q", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
+        return struct.pack("<q", len(raw)) + CODEC.compress(raw, asbytes=True)
 
     @classmethod
     def unpacked(cls, held: bytes) -> Automaton:
-        raw = pa.decompress(held[8:], struct.unpack("<q", held[:8])[0], codec="zstd", asbytes=True)
+        raw = CODEC.decompress(held[8:], struct.unpack("<q", held[:8])[0], asbytes=True)
         size, *kinds = struct.unpack_from("<11q", raw)
         at = 88 + size
         columns = []
@@ -86,91 +88,117 @@ class Automaton:
         return cls(words, np.append(0, np.cumsum(arcs)), *rest)
 
 
-def built(layers: list[Layer], words: pa.Array) -> Automaton:
+#: Odd multipliers of the hash of arcs (fixed values; any odd numbers will do).
+MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
+
+
+def list_hashes(arcs: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each list of arcs; an empty list has its own."""
+    place = np.arange(len(arcs), dtype=np.int64) - np.repeat(begin, size)
+    h = np.full(len(arcs), seed, dtype=np.uint64)
+    for column, factor in zip((*arcs.T, place), MIX):
+        h = (h ^ column.astype(np.uint64)) * factor
+        h ^= h >> np.uint64(31)
+    ends = np.append(np.uint64(0), np.cumsum(h))
+    return ends[begin + size] - ends[begin] + size.astype(np.uint64) * MIX[0]
+
+
+def same_lists(left: np.ndarray, begin: np.ndarray, right: np.ndarray, other: np.ndarray, size: np.ndarray) -> bool:
+    """Whether lists of these sizes hold the same arcs on both sides."""
+    return bool((left[runs(begin, size)] == right[runs(other, size)]).all())
+
+
+def built(layers: list[Layer], words: pa.Array, seed: int = 1) -> Automaton:
     """The automaton of sorted sequences; ``words`` that no layer names are left out."""
-    used = np.unique(np.concatenate([layer[1] for layer in layers])) if layers else np.zeros(0, np.int64)
-    register: dict[bytes, int] = {}
-    arcs: list[np.ndarray] = []
-    sizes: list[np.ndarray] = [np.zeros(1, dtype=np.int64)]
-    n_states = 1
+    used = np.zeros(len(words), dtype=bool)
+    for _, symbol, _ in layers:
+        used[symbol] = True
+    number = np.cumsum(used) - 1
+    # the register: arcs of all states so far, where each state's begin, their hashes in order and whose they are
+    arcs, first = np.zeros((0, 3), dtype=np.int64), np.zeros(2, dtype=np.int64)
+    held, owner = list_hashes(arcs, first[:1], first[:1], seed), np.zeros(1, dtype=np.int64)
     target = np.zeros(len(layers[-1][0]) if layers else 0, dtype=np.int64)
     for depth in range(len(layers) - 1, -1, -1):
         parent, symbol, weight = layers[depth]
-        n_parents = len(layers[depth - 1][0]) if depth else 1
-        rows = np.stack([np.searchsorted(used, symbol), weight, target], axis=1)
-        size = np.bincount(parent, minlength=n_parents)
+        rows = np.stack([number[symbol], weight, target], axis=1)
+        size = np.bincount(parent, minlength=len(layers[depth - 1][0]) if depth else 1)
         begin = np.cumsum(size) - size
-        state = np.zeros(n_parents, dtype=np.int64)
-        new: list[tuple[int, int]] = []
-        # lists of one arc are most of them: equal ones are found by sorting
-        single = np.flatnonzero(size == 1)
-        if len(single):
-            own = rows[begin[single]]
-            order = np.lexsort(own.T)
-            fresh = np.append(True, (own[order][1:] != own[order][:-1]).any(axis=1))
-            heads, group = order[fresh], np.cumsum(fresh) - 1
-            ids = np.empty(len(heads), dtype=np.int64)
-            for i, place in enumerate(begin[single[heads]].tolist()):
-                key = rows[place].tobytes()
-                if key not in register:
-                    register[key] = n_states + len(new)
-                    new.append((place, 1))
-                ids[i] = register[key]
-            state[single[order]] = ids[group]
-        raw = rows.tobytes()
-        several = np.flatnonzero(size > 1)
-        found = []
-        for place, n in zip(begin[several].tolist(), size[several].tolist()):
-            key = raw[24 * place:24 * (place + n)]
-            at = register.get(key)
-            if at is None:
-                at = register[key] = n_states + len(new)
-                new.append((place, n))
-            found.append(at)
-        state[several] = found
-        if new:
-            chosen = np.array(new)
-            arcs.append(rows[runs(chosen[:, 0], chosen[:, 1])])
-            sizes.append(chosen[:, 1])
-            n_states += len(new)
-        target = state
-    every = np.concatenate(arcs) if arcs else np.zeros((0, 3), dtype=np.int64)
-    first = np.append(0, np.cumsum(np.concatenate(sizes)))
-    return Automaton(words.take(pa.array(used)), first, *(np.ascontiguousarray(every[:, i]) for i in range(3)))
+        own, chosen, group = np.unique(list_hashes(rows, begin, size, seed), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(held, own), len(held) - 1)
+        old = held[at] == own
+        fresh = np.flatnonzero(~old)
+        state = np.where(old, owner[at], 0)
+        state[fresh] = len(first) - 1 + np.arange(len(fresh))
+        known = state[old]
+        like = chosen[group]
+        # equal hashes are equal lists, or another hash is taken
+        if not ((size == size[like]).all() and (size[chosen[old]] == first[known + 1] - first[known]).all()
+                and same_lists(rows, begin, rows, begin[like], size) and same_lists(rows, begin[chosen[old]], arcs, first[known], size[chosen[old]])):
+            return built(layers, words, seed + 1)
+        new = chosen[fresh]
+        arcs = np.concatenate([arcs, rows[runs(begin[new], size[new])]])
+        first = np.append(first, first[-1] + np.cumsum(size[new]))
+        held, owner = np.append(held, own[fresh]), np.append(owner, state[fresh])
+        order = np.argsort(held)
+        held, owner = held[order], owner[order]
+        target = state[group]
+    # the start comes last, also where another state is like it
+    if len(first) - 2 != (target[0] if layers else 0):
+        at = int(target[0])
+        arcs = np.concatenate([arcs, arcs[first[at]:first[at + 1]]])
+        first = np.append(first, first[-1] + first[at + 1] - first[at])
+    return Automaton(words.filter(pa.array(used)), first, *(np.ascontiguousarray(arcs[:, i]) for i in range(3)))
 
 
 def united(several: list[Automaton]) -> Automaton:
     """Accepts what any of them accepts, with the sum of the weights."""
+    return several[0] if len(several) == 1 else built(*added([(a.layers(), a.words) for a in several]))
+
+
+def added(several: list[tuple[list[Layer], pa.Array]]) -> tuple[list[Layer], pa.Array]:
+    """The layers of all sequences with the sum of their weights, and their words."""
     if len(several) == 1:
         return several[0]
-    words, place = ordered(pa.concat_arrays([a.words for a in several]))
-    ends = np.cumsum([len(a.words) for a in several])
-    unrolled = [a.layers() for a in several]
-    own = [place[end - len(a.words):end] for a, end in zip(several, ends)]
+    words, place = ordered(pa.concat_arrays([own for _, own in several]))
+    ends = np.cumsum([len(own) for _, own in several])
+    named = [place[end - len(own):end] for (_, own), end in zip(several, ends)]
     at = [np.zeros(1, dtype=np.int64) for _ in several]
     out: list[Layer] = []
     width = max(1, len(words))
-    for depth in range(max((len(layers) for layers in unrolled), default=0)):
-        some = [i for i, layers in enumerate(unrolled) if depth < len(layers)]
-        key = np.concatenate([at[i][unrolled[i][depth][0]] * width + own[i][unrolled[i][depth][1]] for i in some])
-        weight = np.concatenate([unrolled[i][depth][2] for i in some])
-        order = np.argsort(key, kind="stable")
-        fresh = np.append(True, key[order][1:] != key[order][:-1])
-        merged = np.empty(len(key), dtype=np.int64)
-        merged[order] = np.cumsum(fresh) - 1
-        begin = 0
+    for depth in range(max((len(layers) for layers, _ in several), default=0)):
+        some = [i for i, (layers, _) in enumerate(several) if depth < len(layers)]
+        key = np.concatenate([at[i][several[i][0][depth][0]] * width + named[i][several[i][0][depth][1]] for i in some])
+        weight = np.concatenate([several[i][0][depth][2] for i in some])
+        distinct, merged, order, begin = grouped(key)
+        first = 0
         for i in some:
-            n = len(unrolled[i][depth][0])
-            at[i] = merged[begin:begin + n]
-            begin += n
-        distinct = key[order][fresh]
-        out.append((distinct // width, distinct % width, np.add.reduceat(weight[order], np.flatnonzero(fresh))))
-    return built(out, words)
+            n = len(several[i][0][depth][0])
+            at[i] = merged[first:first + n]
+            first += n
+        out.append((distinct // width, distinct % width, np.add.reduceat(weight[order], begin)))
+    return out, words
 
 
-def at_least(automaton: Automaton, least: int) -> Automaton:
-    """Only the sequences of at least this weight, with what leads to them."""
-    layers = automaton.layers()
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(distinct, group, order, begin)``: sorted distinct keys, the group of each key, an order of the keys by group, where groups begin."""
+    bits = max(1, (len(key) - 1).bit_length())
+    if len(key) and int(key.max()).bit_length() + bits < 63:
+        # key and place in one number, so that numbers alone are sorted
+        packed = np.sort(key << bits | np.arange(len(key)))
+        order = packed & ((1 << bits) - 1)
+        ordered_key = packed >> bits
+    else:
+        order = np.argsort(key, kind="stable")
+        ordered_key = key[order]
+    fresh = np.append(True, ordered_key[1:] != ordered_key[:-1])[:len(key)]
+    group = np.empty(len(key), dtype=np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    begin = np.flatnonzero(fresh)
+    return ordered_key[begin], group, order, begin
+
+
+def at_least(layers: list[Layer], words: pa.Array, least: int) -> Automaton:
+    """The automaton of the sequences of at least this weight alone, with what leads to them."""
     keep = [weight >= least for _, _, weight in layers]
     for depth in range(len(layers) - 1, 0, -1):
         keep[depth - 1][layers[depth][0][keep[depth]]] = True
@@ -181,7 +209,7 @@ def at_least(automaton: Automaton, least: int) -> Automaton:
             break
         out.append((place[parent[own]], symbol[own], np.where(weight[own] >= least, weight[own], 0)))
         place = np.cumsum(own) - 1
-    return built(out, automaton.words)
+    return built(out, words)
 
 
 def cuts(layers: list[Layer], words: list[bytes], bounds: list[tuple[bytes, ...]]) -> np.ndarray:

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scholarmill.llm.automata import Automaton, Layer, at_least, built, composed, ordered, ranged, united
-from scholarmill.llm.rows import column, prepare, settings
+from scholarmill.llm.automata import Automaton, Layer, added, at_least, composed, grouped, ordered, ranged
+from scholarmill.llm.rows import column, prepare, settings, words_between
 from scholarmill.session import write_once
 
 #: Fixed values of the contract: words of a phrase, least count, share of a longer phrase that drops it, phrases a language.
@@ -47,6 +47,8 @@ TOGETHER = {"spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
 #: Between pieces; no byte of UTF-8.
 BREAK = 0xFF
 
+GAPS = np.isin(np.arange(256), (0x20, BREAK))
+
 #: Lower case for A-Z, a break for what ends a piece, a blank for a tab (fixed values of the contract).
 SIGNS = bytes(BREAK if c in b".,;:!?\x0a\x0b\x0c\x0d" else 0x20 if c == 0x09 else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
@@ -57,14 +59,8 @@ def tokens(held: list[tuple[bytes, bytes, int]]) -> tuple[pa.Array, np.ndarray,
     ``piece`` numbers the piece of each word; sequences are counted that start before a text's ``limit``.
     """
     raw = np.frombuffer(bytes([BREAK]).join(signs for _, signs, _ in held), dtype=np.uint8)
-    ends_piece = raw == BREAK
-    inside = np.concatenate([[False], ~(ends_piece | (raw == 0x20)), [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    start, end = edges[::2], edges[1::2]
-    offsets = np.append(0, np.cumsum(end - start)).astype(np.int32)
-    data = raw[inside[1:-1]].tobytes()
-    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-    piece = np.cumsum(ends_piece, dtype=np.int32)[start] if len(start) else np.zeros(0, np.int32)
+    words, start = words_between(raw, GAPS)
+    piece = np.searchsorted(np.flatnonzero(raw == BREAK), start)
     begin = np.append(0, np.cumsum([len(signs) + 1 for _, signs, _ in held]))[:-1]
     text = np.searchsorted(begin, start, side="right") - 1
     limit = begin + np.array([limit for *_, limit in held])
@@ -81,16 +77,16 @@ def counted(held: list[tuple[bytes, bytes, int]], longest: int) -> tuple[list[La
     at = np.flatnonzero(starts)
     if not len(at):
         return [], distinct
-    symbols, node, count = np.unique(langs[text[at]], return_inverse=True, return_counts=True)
-    layers: list[Layer] = [(np.zeros(len(symbols), dtype=np.int64), symbols, count)]
+    symbols, node, _, begin = grouped(langs[text[at]])
+    layers: list[Layer] = [(np.zeros(len(symbols), dtype=np.int64), symbols, np.diff(np.append(begin, len(at))))]
     for k in range(longest):
         follows = at + k < len(ids)
         follows[follows] = piece[at[follows] + k] == piece[at[follows]]
-        at, node = at[follows], node[follows]
+        at = at[follows]
         if not len(at):
             break
-        key, node, count = np.unique(node * len(distinct) + ids[at + k], return_inverse=True, return_counts=True)
-        layers.append((key // len(distinct), key % len(distinct), count))
+        key, node, _, begin = grouped(node[follows] * len(distinct) + ids[at + k])
+        layers.append((key // len(distinct), key % len(distinct), np.diff(np.append(begin, len(at)))))
     return layers, distinct
 
 
@@ -183,7 +179,7 @@ def union(parts: DataFrame, least: int) -> DataFrame:
         number, held, size, merged = None, [], 0, 0
 
         def done():
-            return pa.RecordBatch.from_pydict({"range": [number], "automaton": [at_least(united(held), least).packed()]}, schema=schema)
+            return pa.RecordBatch.from_pydict({"range": [number], "automaton": [at_least(*added(held), least).packed()]}, schema=schema)
 
         for batch in batches:
             for own, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -191,11 +187,12 @@ def union(parts: DataFrame, least: int) -> DataFrame:
                     if held:
                         yield done()
                     number, held, size, merged = own, [], 0, 0
-                held.append(Automaton.unpacked(packed.as_py()))
-                size += len(held[-1].symbol)
+                part = Automaton.unpacked(packed.as_py())
+                held.append((part.layers(), part.words))
+                size += sum(len(layer[0]) for layer in held[-1][0])
                 if size >= 2 * merged + HELD:
-                    held = [united(held)]
-                    size = merged = len(held[0].symbol)
+                    held = [added(held)]
+                    size = merged = sum(len(layer[0]) for layer in held[0][0])
         if held:
             yield done()
 

@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,6 +83,16 @@ def blocks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[list,
         yield ids, held
 
 
+def words_between(raw: np.ndarray, gap: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``raw`` bytes and where each starts; ``gap`` says of each byte whether it lies between words."""
+    inside = np.concatenate([[False], ~gap[raw], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[::2], edges[1::2]
+    offsets = np.append(0, np.cumsum(end - start)).astype(np.int32)
+    data = raw[inside[1:-1]].tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]), start
+
+
 def fields(df: DataFrame, name: str) -> str:
     """The DDL type of a column, for output schemas that keep an id of any type."""
     return df.schema[name].dataType.simpleString()

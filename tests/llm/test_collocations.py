@@ -42,7 +42,7 @@ def test_automata_equal_dictionaries():
             total.update(c)
         every = automata.united(own)
         assert accepted(every) == total
-        assert accepted(automata.at_least(every, 1 << 39)) == {s: n for s, n in total.items() if n >= 1 << 39}
+        assert accepted(automata.at_least(every.layers(), every.words, 1 << 39)) == {s: n for s, n in total.items() if n >= 1 << 39}
         bounds = sorted({tuple(draw.choices([*alphabet, b"q"], k=draw.randint(1, 4))) for _ in range(draw.randint(0, 5))})
         for c in several:
             found = {}
