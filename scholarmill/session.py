@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +42,37 @@ def build_session(app_name: str = "scholarmill", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, held: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for the jobs run inside, whatever comes of them."""
+    before = {key: spark.conf.get(key, None) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to executors that do not have it on their path; operators that run Python in tasks need it."""
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        handle, target = tempfile.mkstemp(prefix="scholarmill-", suffix=".zip")
+        with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w") as archive:
+            for path in sorted(package.rglob("*.py")):
+                archive.write(path, path.relative_to(package.parent))
+        spark.sparkContext.addPyFile(target)
+        atexit.register(lambda: os.path.exists(target) and os.unlink(target))
+        _SHIPPED.add(application)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
@@ -64,12 +100,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_RELEASES: dict[str, int] = {}
+
+
+def releases(spark: SparkSession) -> int:
+    """How often this application's tables were deleted; what is kept across calls holds for one such time."""
+    return _RELEASES.get(spark.sparkContext.applicationId, 0)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes what ``write_once`` and the queries have written for this application.
 
     DataFrames that read such tables are of no use afterwards, so a long job calls this when it has stored its results.
     """
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    _RELEASES[spark.sparkContext.applicationId] = releases(spark) + 1
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
