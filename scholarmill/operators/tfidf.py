@@ -13,6 +13,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scholarmill.operators.frequent import most_frequent
 from scholarmill.session import write_once
 
 MAX_TERMS = 500
@@ -42,17 +43,6 @@ def _word_stages(stop_words: Sequence[str]) -> list:
     ]
 
 
-def _tally(rows: DataFrame, terms: str) -> DataFrame:
-    """One row per occurrence as (term, tf, df) to be summed; ``df`` is one at a term's first place in a document.
-
-    The terms of a document are sorted, so a first place is one after another term.  Both counts then
-    come from one shuffle on the term, combined on the map side; the document id is never shuffled.
-    """
-    placed = rows.select(F.sort_array(terms).alias("s")).select("s", F.posexplode("s").alias("i", "term"))
-    new = F.col("term").eqNullSafe(F.get("s", F.col("i") - 1))
-    return placed.select("term", F.lit(1).alias("tf"), F.when(new, 0).otherwise(1).alias("df"))
-
-
 @dataclass(frozen=True)
 class Vocabulary:
     """Fitted terms in alphabetical order with their counts; at most ``max_terms`` of them."""
@@ -82,37 +72,18 @@ class Vocabulary:
 
 def fit_vocabulary(papers: DataFrame, stop_words: Sequence[str] | None = None,
                    max_terms: int = MAX_TERMS) -> Vocabulary:
-    """The ``max_terms`` most frequent words and pairs among those in enough documents.
+    """The ``max_terms`` most frequent words and pairs among those in enough documents, ties by term.
 
-    A pair occurs at most as often as either of its words.  So once the words are counted, only
-    pairs of two words that reach the ``max_terms``-th word count can enter the list, and all
-    others are dropped before the shuffle.  The outcome is the same as counting every pair.
+    Texts are read and cut into words once; the words are counted where they lie (see ``frequent``).
     """
     stop_words = default_stop_words() if stop_words is None else list(stop_words)
     texts = papers.select(combined_text().alias("tfidf_text"))
-    *to_words, to_pairs = _word_stages(stop_words)
-    # texts are read and cut into words once; the document count comes from the written files' footers
-    tokens = write_once(PipelineModel(to_words).transform(texts).select("tfidf_words"), "tokens", row_group=4 << 20)
+    *to_words, _ = _word_stages(stop_words)
+    words = PipelineModel(to_words).transform(texts).select(F.col("tfidf_words").alias("words"))
+    # the document count comes from the written files' footers
+    tokens = write_once(words, "tokens", row_group=4 << 20)
     n_documents = tokens.count()
-    enough = F.col("df") >= min_document_frequency(n_documents)
-    prepared = to_pairs.transform(tokens)
-
-    def counted(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")).where(enough)
-
-    words = write_once(counted(_tally(prepared, "tfidf_words")), "words")
-    last = (words.orderBy(F.desc("tf")).limit(max_terms)
-            .agg(F.min("tf").alias("least"), F.count("*").alias("n")).first())
-    least = last["least"] if last["n"] == max_terms else 0
-    # written, so that the planner broadcasts it by its measured size and shuffles it beyond that
-    frequent = write_once(words.where(F.col("tf") >= least), "frequent-words")
-    pairs = _tally(prepared, "tfidf_pairs")
-    for side in (1, -1):
-        name = f"side{side}".replace("-", "_")
-        pairs = pairs.join(frequent.select(F.col("term").alias(name)),
-                           F.substring_index("term", " ", side) == F.col(name), "left_semi")
-    top = (frequent.unionByName(counted(pairs).where(F.col("tf") >= least))
-           .orderBy(F.desc("tf"), "term").limit(max_terms))
+    top = most_frequent(tokens, max_terms, min_document_frequency(n_documents))
     rows = sorted(top.collect(), key=lambda r: r["term"])
     return Vocabulary(tuple(r["term"] for r in rows), tuple(r["tf"] for r in rows),
                       tuple(r["df"] for r in rows), n_documents, tuple(stop_words))

@@ -5,8 +5,12 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from scholarmill.operators import explain as W
 from scholarmill.operators import tfidf as T
+from scholarmill.operators.frequent import most_frequent, summaries
+from scholarmill.operators.terms import terms_in
 
 STOP = ["the", "of"]
 
@@ -47,6 +51,44 @@ def test_vocabulary_and_weights_match_a_full_count(spark, limit):
     assert all(got[k] == pytest.approx(weights[k]) for k in got)
 
 
+@pytest.mark.parametrize("wanted,k,least_df", [(5, 5, 1), (5, None, 3), (40, 2, 2), (300, 300, 1), (3, 1, 60)])
+def test_frequent_terms_from_short_summaries_equal_a_full_count(spark, wanted, k, least_df):
+    """Ties, terms that a block leaves out, flat counts that need longer summaries, and more terms wanted than there are."""
+    rnd = random.Random(wanted)
+    words = [f"w{i}" for i in range(60)]
+    docs = [rnd.choices(words, weights=[1 + 60 // (i + 1) for i in range(60)], k=rnd.randint(0, 12)) for _ in range(200)] + [None, []]
+    tf, df = Counter(), Counter()
+    for d in docs:
+        own = Counter([*(d or []), *(f"{a} {b}" for a, b in zip(d or [], (d or [])[1:]))])
+        tf.update(own)
+        df.update(own.keys())
+    expected = sorted((t for t in tf if df[t] >= least_df), key=lambda t: (-tf[t], t))[:wanted]
+    tokens = spark.createDataFrame([(d,) for d in docs], "words array<string>").repartition(6)
+    found = most_frequent(tokens, wanted, least_df, k, block_words=70).collect()
+    assert [(r["term"], r["tf"], r["df"]) for r in found] == [(t, tf[t], df[t]) for t in expected]
+
+
+def test_summaries_carry_few_terms(spark):
+    """What leaves a task is bounded by the summary, not by its words."""
+    rows = spark.range(3000).selectExpr("transform(sequence(1, 40), i -> concat('t', cast(pmod(hash(id, i), 20000) as string))) AS words")
+    found = summaries(rows.repartition(3), 100, 10_000_000).groupBy(F.spark_partition_id()).agg(F.count("term").alias("n")).collect()
+    assert {r["n"] for r in found} == {100}
+
+
+def test_term_search_equals_containment(spark):
+    rnd = random.Random(5)
+    terms = ["a", "ab", "b ab", "é", "aba", "", "ab", "zz z", "😀b", *("".join(rnd.choices("abé ", k=rnd.randint(1, 5))) for _ in range(80))]
+    texts = [None, "", "😀b", *("".join(rnd.choices("abé z", k=rnd.randint(0, 40))) for _ in range(200))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "key int, text string").repartition(3)
+    got = {}
+    for r in terms_in(frame, terms).orderBy("key", "rank").collect():
+        got.setdefault(r["key"], []).append(r["place"])
+    assert got == {i: own for i, t in enumerate(texts) if (own := [j for j, term in enumerate(terms) if t is not None and term in t])}
+    first = {(r["key"], r["rank"], r["place"]) for r in terms_in(frame, terms, 3).collect()}
+    assert first == {(i, j + 1, p) for i, own in got.items() for j, p in enumerate(own[:3])}
+    assert terms_in(frame, []).count() == 0 and terms_in(frame, [""]).count() == len(texts) - 1
+
+
 def test_minimum_document_frequency():
     assert [T.min_document_frequency(n) for n in (1, 19, 20, 49, 50, 10**9)] == [1, 1, 2, 4, 5, 5]
 
