@@ -1,24 +1,36 @@
 """Penalty search for linear models from the moments of each fold.
 
 A penalised least-squares fit needs only counts, means and covariances, and so does its error on a
-held-out fold.  One distributed pass per fold yields these; every penalty of every fold is then
+held-out fold.  One distributed pass yields these for all folds; every penalty of every fold is then
 solved on a matrix whose side is the number of features, instead of fifty passes over each fold.
+
+In the pass, vectors become blocks of rows; a block's products are one matrix product.  A task keeps a sum per
+fold, centred near the mean of its first block, and what tasks found is merged in two steps, one matrix at a time,
+by a root of the shuffle's tasks first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Contract of the search: features at most, so that a fold's matrix fits the driver; more features need another search.
+from scholarmill.session import settings, ship
+
+#: Features at most whose covariance matrix the search holds; beyond, ``wide`` searches by fits on the data.
 MAX_FEATURES = 4096
 
+#: Numbers in a block of rows.
+BLOCK_NUMBERS = 2_000_000
+
+#: Matrices that Arrow hands over at once.
+FEW_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2"}
+
 
 @dataclass(frozen=True)
 class Moments:
@@ -36,32 +48,113 @@ class Moments:
         return Moments(self.n, self.mean / deviation, self.cov / np.outer(deviation, deviation))
 
 
-def moments(rows: DataFrame, features: str = "raw", label: str = "y", max_features: int = MAX_FEATURES) -> Moments:
-    """One pass for means and deviations, one for the correlations, both inside Spark."""
-    joint = VectorAssembler(inputCols=[features, label], outputCol="_v").transform(rows).select("_v")
-    s = joint.select(Summarizer.metrics("count", "mean", "std").summary(F.col("_v")).alias("s")).select("s.*").first()
-    n, mean = int(s["count"]), s["mean"].toArray()
-    if len(mean) > max_features + 1:
-        raise ValueError(f"{len(mean) - 1} features; the search holds a matrix of at most {max_features}")
-    if n < 2:
-        return Moments(n, mean, np.zeros((len(mean), len(mean))))
-    deviation = s["std"].toArray() * np.sqrt((n - 1) / n)
-    corr = np.nan_to_num(Correlation.corr(joint, "_v").first()[0].toArray())
-    np.fill_diagonal(corr, 1.0)
-    return Moments(n, mean, corr * np.outer(deviation, deviation))
+def dense_blocks(batches, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(fold, rows)`` of ``(fold, vector struct, label)``; a row is a vector, sparse or dense, and its label."""
+    step = max(1, BLOCK_NUMBERS // (width + 1))
+    for whole in batches:
+        for begin in range(0, whole.num_rows, step):
+            batch = whole.slice(begin, step)
+            vectors = batch.column(1)
+            out = np.zeros((batch.num_rows, width + 1))
+            out[:, -1] = batch.column(2).to_numpy(zero_copy_only=False)
+            values, indices = pc.struct_field(vectors, "values"), pc.struct_field(vectors, "indices")
+            length = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
+            dense = pc.equal(pc.struct_field(vectors, "type"), 1).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), length)
+            column = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+            column[~dense[row]] = indices.flatten().to_numpy(zero_copy_only=False)
+            out[row, column] = values.flatten().to_numpy(zero_copy_only=False)
+            yield batch.column(0).to_numpy(zero_copy_only=False), out
+
+
+class Sums:
+    """Count, mean and sum of products about the mean, of rows that come in blocks."""
+
+    def __init__(self, n: int = 0, mean: np.ndarray | None = None, products: np.ndarray | None = None):
+        self.n, self.mean, self.products = n, mean, products
+
+    def add(self, n: int, mean: np.ndarray, products: np.ndarray) -> None:
+        if not self.n:
+            self.n, self.mean, self.products = n, mean, products
+            return
+        off, total = mean - self.mean, self.n + n
+        self.products += products
+        self.products += np.outer(off, off) * (self.n * n / total)
+        self.mean = self.mean + off * (n / total)
+        self.n = total
+
+    def add_rows(self, rows: np.ndarray) -> None:
+        mean = rows.mean(axis=0)
+        rows = rows - mean
+        self.add(len(rows), mean, rows.T @ rows)
+
+    def row(self) -> dict:
+        return {"n": self.n, "mean": self.mean.tobytes(), "products": self.products[np.triu_indices(len(self.mean))].tobytes()}
+
+    @classmethod
+    def of(cls, n: int, mean: bytes, products: bytes) -> Sums:
+        mean = np.frombuffer(mean).copy()
+        full = np.zeros((len(mean), len(mean)))
+        full[np.triu_indices(len(mean))] = np.frombuffer(products)
+        return cls(n, mean, full + np.triu(full, 1).T)
+
+
+PART = "fold int, n bigint, mean binary, products binary"
+PART_ARROW = pa.schema([("fold", pa.int32()), ("n", pa.int64()), ("mean", pa.binary()), ("products", pa.binary())])
+
+
+def width_of(rows: DataFrame, features: str = "raw") -> int:
+    first = rows.select(features).first()
+    return len(first[0]) if first else 0
+
+
+def fold_moments(rows: DataFrame, folds: int = 5, features: str = "raw", label: str = "y", max_features: int = MAX_FEATURES) -> list[Moments]:
+    """The moments of each fold, from one pass over ``rows(fold, features, label)``."""
+    spark = ship(rows.sparkSession)
+    width = width_of(rows, features)
+    if width > max_features:
+        raise ValueError(f"{width} features; a matrix of at most {max_features} is held")
+
+    def of_rows(batches):
+        held: dict[int, Sums] = {}
+        for fold, block in dense_blocks(batches, width):
+            for k in np.unique(fold).tolist():
+                held.setdefault(k, Sums()).add_rows(block[fold == k])
+        yield from parts(held)
+
+    def merged(batches):
+        held: dict[int, Sums] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                one = Sums.of(r["n"], r["mean"], r["products"])
+                held.setdefault(r["fold"], Sums()).add(one.n, one.mean, one.products)
+        yield from parts(held)
+
+    def parts(held):
+        for k, sums in held.items():
+            yield pa.RecordBatch.from_pylist([{"fold": k, **sums.row()}], schema=PART_ARROW)
+
+    sent = rows.select(F.col("fold").cast("int").alias("fold"), F.unwrap_udt(features).alias("v"), F.col(label).cast("double").alias("y"))
+    groups = max(1, int(int(spark.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
+    found = sent.mapInArrow(of_rows, PART).withColumn("group", F.spark_partition_id() % groups)
+    # the first step spreads the tasks' sums, the second brings each fold's together
+    some = found.repartition(groups, "group").drop("group").mapInArrow(merged, PART)
+    with settings(spark, FEW_AT_ONCE):
+        last = {r["fold"]: Sums.of(r["n"], r["mean"], r["products"]) for r in some.repartition(folds, "fold").mapInArrow(merged, PART).toLocalIterator()}
+    nothing = Moments(0, np.zeros(width + 1), np.zeros((width + 1, width + 1)))
+    return [Moments(last[k].n, last[k].mean, last[k].products / last[k].n) if k in last else nothing for k in range(folds)]
 
 
 def merge(parts: Sequence[Moments]) -> Moments:
+    parts = [p for p in parts if p.n] or list(parts)[:1]
     n = sum(p.n for p in parts)
+    if not n:
+        return parts[0]
     mean = sum(p.n * p.mean for p in parts) / n
     cov = sum(p.n * (p.cov + np.outer(p.mean - mean, p.mean - mean)) for p in parts) / n
     return Moments(n, mean, cov)
 
 
-def fold_moments(rows: DataFrame, folds: int = 5) -> list[Moments]:
-    return [moments(rows.where(F.col("fold") == k)) for k in range(folds)]
-
-
 def held_out_error(m: Moments, intercept: float, beta: np.ndarray) -> float:
     """Mean squared error of a linear model on the rows the moments describe."""
     gap = m.mean[-1] - intercept - m.mean[:-1] @ beta
@@ -144,23 +237,27 @@ def geometric_path(m: Moments, points: int = 50, ratio: float = 1e-3) -> np.ndar
     return np.geomspace(top, top * ratio, points) if top > 0 else np.full(points, 1e-12)
 
 
+def solved(train: Moments, alphas: np.ndarray, shares: np.ndarray, ridge: bool) -> np.ndarray:
+    """Coefficients for each penalty, a column each.
+
+    A ridge penalty weighs the sum of squared errors, the others its mean, as their usual definitions do.
+    """
+    cov, target = train.cov[:-1, :-1], train.cov[:-1, -1]
+    if not ridge:
+        return descend(cov, target, alphas * shares, alphas * (1 - shares), float(train.cov[-1, -1]))
+    values, vectors = np.linalg.eigh(cov)
+    return vectors @ ((vectors.T @ target)[:, None] / (np.maximum(values, 0.0)[:, None] + alphas / max(1, train.n)))
+
+
 def search(parts: Sequence[Moments], penalties: Sequence[tuple[float, float]], ridge: bool = False) -> tuple[float, float]:
     """The (penalty, l1 share) with the least mean held-out error over the folds.
 
-    ``parts`` are the scaled moments of each fold.  A ridge penalty weighs the sum of squared
-    errors, the others its mean, as their usual definitions do.
+    ``parts`` are the scaled moments of each fold.
     """
     errors = np.zeros(len(penalties))
     alphas, shares = (np.array(c, dtype=float) for c in zip(*penalties))
     for k, held in enumerate(parts):
         train = merge([p for i, p in enumerate(parts) if i != k])
-        cov, target = train.cov[:-1, :-1], train.cov[:-1, -1]
-        if ridge:
-            values, vectors = np.linalg.eigh(cov)
-            weights = (vectors.T @ target)[:, None] / (np.maximum(values, 0.0)[:, None] + alphas / train.n)
-            betas = vectors @ weights
-        else:
-            betas = descend(cov, target, alphas * shares, alphas * (1 - shares), float(train.cov[-1, -1]))
-        for i, beta in enumerate(betas.T):
+        for i, beta in enumerate(solved(train, alphas, shares, ridge).T):
             errors[i] += held_out_error(held, train.mean[-1] - train.mean[:-1] @ beta, beta)
     return penalties[int(np.argmin(errors))]

@@ -9,13 +9,15 @@ from functools import reduce
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import SparseVector
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarmill.functions.labels import ablation_verdict, feature_group
+from scholarmill.models import wide
 from scholarmill.models.assemble import population_scaler, scaler_of
-from scholarmill.models.moments import Moments, fold_moments, geometric_path, merge, search
+from scholarmill.models.moments import MAX_FEATURES, Moments, fold_moments, geometric_path, merge, search, solved, width_of
 from scholarmill.operators.evaluate import regression_metrics
 
 # The penalties tried, the penalty of the out-of-fold model, and the trees' settings.
@@ -69,70 +71,93 @@ def scaled_moments(train: DataFrame) -> list[Moments]:
     return scaled(fold_moments(train))
 
 
-def linear(alpha: float, l1_share: float, label_deviation: float, features: str = "scaled") -> LinearRegression:
+def linear(alpha: float, l1_share: float, label_deviation: float, features: str = "scaled", normal: bool = True) -> LinearRegression:
     """The regression whose objective is mean squared error / 2 + alpha (l1 |b| + (1 - l1) b'b / 2).
 
     The library divides the label by its deviation first, which leaves an absolute penalty as it is
-    and shrinks a squared one, so the squared part is multiplied back.  Without an absolute part the normal equations,
-    whose side the search has bounded, give the exact solution.
+    and shrinks a squared one, so the squared part is multiplied back.  Without an absolute part the ``normal`` equations
+    give the exact solution, as long as features are few enough for them.
     """
     squared = label_deviation * alpha * (1 - l1_share)
     total = alpha * l1_share + squared
     return LinearRegression(featuresCol=features, labelCol="y", predictionCol="pred", standardization=False,
                             regParam=total, elasticNetParam=alpha * l1_share / total if total > 0 else 0.0,
-                            maxIter=500, tol=1e-9, solver="auto" if alpha * l1_share > 0 else "normal")
+                            maxIter=500, tol=1e-9, solver="auto" if alpha * l1_share > 0 else "normal" if normal else "l-bfgs")
+
+
+def plane(spark: SparkSession, intercept: float, beta: np.ndarray, features: str = "scaled") -> LinearRegressionModel:
+    """The library's model with these numbers: the fit through the points that determine its plane, one per feature."""
+    width = len(beta)
+    points = [(SparseVector(width, {}), float(intercept)), *((SparseVector(width, {j: 1.0}), float(intercept + b)) for j, b in enumerate(beta))]
+    rows = spark.createDataFrame(points, [features, "y"]).coalesce(1)
+    return LinearRegression(featuresCol=features, labelCol="y", predictionCol="pred", standardization=False, regParam=0.0, solver="normal").fit(rows)
 
 
 def fit_linear(name: str, train: DataFrame, alpha: float, l1_share: float, drop: int | None = None,
                ridge: bool = False, whole: Moments | None = None) -> Fitted:
     """Scales and fits on ``train``; ``drop`` leaves one feature out.
 
-    With ``whole``, the moments of ``train`` without the dropped feature, the only job is the fit itself.
+    With ``whole``, the moments of ``train`` without the dropped feature, the solver of the search gives the
+    coefficients and no row is read.
     """
     stages, source = [], "raw"
     if drop is not None:
-        width = len(train.select("raw").first()["raw"])
+        width = width_of(train)
         stages.append(VectorSlicer(inputCol="raw", outputCol="sliced", indices=[i for i in range(width) if i != drop]))
         source = "sliced"
+    if whole is not None:
+        scaler, even = scaler_of(1.0 / deviations(whole)[:-1], source), whole.scaled(deviations(whole))
+        beta = solved(even, np.array([alpha]), np.array([l1_share]), ridge)[:, 0]
+        model = plane(train.sparkSession, even.mean[-1] - even.mean[:-1] @ beta, beta)
+        return Fitted(name, PipelineModel([*stages, scaler, model]), alpha, l1_share)
     sliced = PipelineModel(stages).transform(train) if stages else train
-    if whole is None:
-        scaler = population_scaler(sliced, source)
-        seen = train.agg(F.count("y").alias("n"), F.stddev_pop("y").alias("sd")).first()
-        n, label = seen["n"], seen["sd"]
-    else:
-        scaler = scaler_of(1.0 / deviations(whole)[:-1], source)
-        n, label = whole.n, float(np.sqrt(max(whole.cov[-1, -1], 0.0)))
-    penalty = alpha / n if ridge else alpha
-    model = linear(penalty, l1_share, label or 1.0).fit(scaler.transform(sliced))
+    scaler = population_scaler(sliced, source)
+    seen = train.agg(F.count("y").alias("n"), F.stddev_pop("y").alias("sd")).first()
+    model = linear(alpha / seen["n"] if ridge else alpha, l1_share, seen["sd"] or 1.0, normal=width_of(train) <= MAX_FEATURES).fit(
+        scaler.transform(sliced))
     return Fitted(name, PipelineModel([*stages, scaler, model]), alpha, l1_share)
 
 
-def fit_lasso(table: DataFrame, parts: list[Moments] | None = None) -> Fitted:
-    """``parts``, here and below: the moments of the training rows per fold, taken if not given."""
+def fit_searched(name: str, table: DataFrame, parts: list[Moments] | None, grid, ridge: bool = False, max_features: int = MAX_FEATURES) -> Fitted:
+    """The fit on the training rows with the best penalty of ``grid``, a function of the greatest one that matters.
+
+    Up to ``max_features`` the search solves on the moments of folds, beyond it fits on the data.
+    """
     train = train_rows(table)
-    parts = parts or fold_moments(train)
-    alpha, share = search(scaled(parts), [(a, 1.0) for a in geometric_path(merge(scaled(parts)))])
-    return fit_linear("lasso", train, alpha, share, whole=merge(parts))
+    if parts is not None or width_of(train) <= max_features:
+        parts = parts or fold_moments(train)
+        even = scaled(parts)
+        alpha, share = search(even, grid(float(geometric_path(merge(even))[0])), ridge=ridge)
+        return fit_linear(name, train, alpha, share, ridge=ridge, whole=merge(parts))
+    _, _, _, spread, with_label = wide.column_sums(train)
+    scaler = scaler_of(1.0 / spread)
+    rows = wide.scaled_rows(train, scaler)
+
+    def estimator(alpha, share, n, sd):
+        return linear(alpha / n if ridge else alpha, share, sd, normal=False)
+
+    alpha, share = wide.search(rows, grid(wide.greatest_penalty(spread, with_label)), estimator)
+    seen = rows.agg(F.count("y").alias("n"), F.stddev_pop("y").alias("sd")).first()
+    return Fitted(name, PipelineModel([scaler, estimator(alpha, share, seen["n"], seen["sd"] or 1.0).fit(rows)]), alpha, share)
+
+
+def fit_lasso(table: DataFrame, parts: list[Moments] | None = None, points: int = 50, max_features: int = MAX_FEATURES) -> Fitted:
+    """``parts``, here and below: the moments of the training rows per fold, taken if not given."""
+    return fit_searched("lasso", table, parts, lambda top: [(a, 1.0) for a in np.geomspace(top, top * 1e-3, points)], max_features=max_features)
 
 
 def fit_ridge(table: DataFrame, parts: list[Moments] | None = None,
-              path: tuple[float, float, int] = RIDGE_PATH) -> Fitted:
+              path: tuple[float, float, int] = RIDGE_PATH, max_features: int = MAX_FEATURES) -> Fitted:
     """``path``: exponents of the least and the greatest penalty, and their number."""
-    train = train_rows(table)
-    parts = parts or fold_moments(train)
     low, high, points = path
-    alpha, share = search(scaled(parts), [(a, 0.0) for a in np.logspace(high, low, points)], ridge=True)
-    return fit_linear("ridge", train, alpha, share, ridge=True, whole=merge(parts))
+    return fit_searched("ridge", table, parts, lambda _: [(a, 0.0) for a in np.logspace(high, low, points)], ridge=True, max_features=max_features)
 
 
 def fit_net(table: DataFrame, parts: list[Moments] | None = None, path: tuple[float, float, int] = NET_PATH,
-            shares: Sequence[float] = NET_SHARES) -> Fitted:
-    train = train_rows(table)
-    parts = parts or fold_moments(train)
+            shares: Sequence[float] = NET_SHARES, max_features: int = MAX_FEATURES) -> Fitted:
     low, high, points = path
-    grid = [(a, s) for s in shares for a in np.logspace(high, low, points)]
-    alpha, share = search(scaled(parts), grid)
-    return fit_linear("elastic_net", train, alpha, share, whole=merge(parts))
+    return fit_searched("elastic_net", table, parts, lambda _: [(a, s) for s in shares for a in np.logspace(high, low, points)],
+                        max_features=max_features)
 
 
 def fit_forest(table: DataFrame, **settings) -> Fitted:

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from scholarmill.models import moments as M
@@ -52,6 +53,59 @@ def test_moments_of_folds_merge_to_the_whole(data):
     np.testing.assert_allclose(whole.cov, np.cov(joint.T, bias=True), atol=1e-9)
 
 
+def test_moments_of_sparse_and_dense_rows_in_one_pass(spark):
+    """Large means, sparse and dense vectors side by side, small blocks, a fold without rows."""
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((400, 7)) < 0.5, rng.normal(size=(400, 7)) * 3 + 1e6, 0.0)
+    y = rng.normal(size=400) - 1e5
+    rows = [(i % 3, Vectors.dense(v) if i % 2 else Vectors.sparse(7, np.flatnonzero(v).tolist(), v[np.flatnonzero(v)].tolist()), float(t))
+            for i, (v, t) in enumerate(zip(x, y))]
+    frame = spark.createDataFrame(rows, ["fold", "raw", "y"]).repartition(5)
+    parts = M.fold_moments(frame, 4)
+    for k in range(3):
+        joint = np.column_stack([x, y])[np.arange(400) % 3 == k]
+        assert parts[k].n == len(joint)
+        np.testing.assert_allclose(parts[k].mean, joint.mean(axis=0), rtol=1e-12)
+        np.testing.assert_allclose(parts[k].cov, np.cov(joint.T, bias=True), rtol=1e-9, atol=1e-6)
+    assert parts[3].n == 0
+    np.testing.assert_allclose(M.merge(parts).cov, np.cov(np.column_stack([x, y]).T, bias=True), rtol=1e-9, atol=1e-6)
+    assert [p.n for p in M.fold_moments(frame.where("false"), 2)] == [0, 0]
+
+
+def test_solver_and_library_agree(data):
+    """Coefficients from the moments against the library's own fit on the rows."""
+    table, x, y = data
+    whole = M.merge(M.fold_moments(table))
+    for alpha, share, ridge in ((0.05, 1.0, False), (0.1, 0.5, False), (25.0, 0.0, True)):
+        solved, fitted = R.fit_linear("m", table, alpha, share, ridge=ridge, whole=whole), R.fit_linear("m", table, alpha, share, ridge=ridge)
+        np.testing.assert_allclose(solved.coefficients, fitted.coefficients, atol=1e-6)
+        both = solved.score(table).select("paper_id", "pred").join(fitted.score(table).select("paper_id", F.col("pred").alias("other")), "paper_id")
+        assert both.where("abs(pred - other) > 1e-5").count() == 0
+
+
+def test_more_features_than_the_matrix_holds(spark, data):
+    """6,000 features, most of them empty, are searched on the data; on few features both searches agree."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(240):
+        at = np.unique(np.append([3, 5999], rng.integers(0, 6000, 12)))
+        v = rng.normal(size=len(at))
+        rows.append((i, "train" if i % 6 else "test", i % 5, Vectors.sparse(6000, at.tolist(), v.tolist()),
+                     float(2 * v[at == 3][0] - v[at == 5999][0] + 0.05 * rng.normal())))
+    wide = write_once(spark.createDataFrame(rows, ["paper_id", "split", "fold", "raw", "y"]), "wide", by="fold")
+    fitted = R.fit_lasso(wide, points=2)
+    assert len(fitted.coefficients) == 6000 and {3, 5999} <= set(np.flatnonzero(np.abs(fitted.coefficients) > 0.3))
+    by = {r["split"]: r["r2"] for r in R.split_metrics(fitted, wide).collect()}
+    assert by["test"] > 0.8
+    with pytest.raises(ValueError):
+        M.fold_moments(wide)
+    table = data[0]
+    for few, many in ((R.fit_lasso(table, points=3), R.fit_lasso(table, points=3, max_features=2)),
+                      (R.fit_ridge(table, path=(-1, 2, 2)), R.fit_ridge(table, path=(-1, 2, 2), max_features=2))):
+        assert few.alpha == pytest.approx(many.alpha)
+        np.testing.assert_allclose(few.coefficients, many.coefficients, atol=1e-4)
+
+
 def test_scaler_uses_population_deviation(data):
     table, x, _ = data
     rows = population_scaler(table).transform(table).orderBy("paper_id").collect()
@@ -131,13 +185,13 @@ def test_trees_beat_the_mean(data):
 
 
 @pytest.fixture(scope="module")
-def scoring(spark, ten_papers):
-    papers, citations = ten_papers
+def scoring(spark, shelf):
+    papers, _ = shelf
     many = papers.crossJoin(spark.range(6).select(F.col("id").alias("copy"))).select(
         F.concat("paper_id", F.lit("-"), "copy").alias("paper_id"),
         F.concat("title", F.lit(" part "), F.array(*map(F.lit, ["alpha", "beta", "gamma"]))[(F.col("copy") % 3).cast("int")]).alias("title"),
         "abstract", "authors", "category", "submitted", (F.col("copy") * 3 + F.length("category")).alias("citations_24mo"))
-    features = fit_features(many, ["cs.LG", "cs.AI", "stat.ML"], stop_words=["the"])
+    features = fit_features(many, ["ocean", "desert", "polar"], stop_words=["the"])
     table = training_table(many, features)
     return bundle(R.fit_linear("lasso", R.train_rows(table), 0.01, 1.0), features, many, table), many, table
 
@@ -160,6 +214,6 @@ def test_reloaded_model_scores_the_same(spark, scoring):
 
 def test_upload_takes_training_medians(scoring):
     model, papers, _ = scoring
-    assert model.medians["author_count"] == 3.0
+    assert model.medians["author_count"] == 1.5
     bounded = model.with_bounds(model.predict_upload(papers.select("title", "abstract"), ["title"]))
     assert bounded.where("pred is null or not (ci_lower < predicted_citations and predicted_citations < ci_upper)").count() == 0
