@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from scholarmill.session import write_once
 
 
 def in_category_and_dates(papers: DataFrame, categories: Sequence[str], first: date,
@@ -23,18 +24,27 @@ def union_sources(sources: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, sources)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with signs added until no column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def first_per_key(rows: DataFrame, key: str, seq: str) -> DataFrame:
     """The row with the least ``seq`` per key; a null ``seq`` comes last, ties go to the least hash of the whole row.
 
-    Only the winner's ``seq`` and hash are aggregated, partially and by hashing; the wide row is fetched by a join, whose
-    larger side the planner may split, so a key that holds a third of all rows does not meet in one task.
+    Rows are written once with a number each; key, order, hash and number alone are aggregated, partially and by
+    hashing, and the numbers that win fetch their rows.  So wide rows are dealt out once at most, wholly repeated rows
+    need no further step, and a key that holds a third of all rows does not meet in one task.
     """
-    marked = rows.withColumn("_hash", F.xxhash64(*rows.columns))
-    first = rows.groupBy(F.col(key).alias("_key")).agg(F.min(seq).alias("_seq"))
-    near = marked.join(first, F.col(key).eqNullSafe(F.col("_key")) & F.col(seq).eqNullSafe(F.col("_seq"))).select(*marked.columns)
-    least = near.groupBy(F.col(key).alias("_key")).agg(F.min("_hash").alias("_least"))
-    return (near.join(least, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_least")))
-            .select(*rows.columns).distinct())
+    number, mark = fresh_name(rows, "_number"), fresh_name(rows, "_hash")
+    marked = write_once(rows.withColumns({number: F.monotonically_increasing_id(), mark: F.xxhash64(*rows.columns)}), "numbered")
+    narrow = marked.select(F.col(key).alias("key"), F.col(seq).alias("seq"), F.col(mark).alias("hash"), F.col(number).alias("number"))
+    first = narrow.groupBy(F.col("key").alias("of")).agg(F.min("seq").alias("least"))
+    near = narrow.join(first, F.col("key").eqNullSafe(F.col("of")) & F.col("seq").eqNullSafe(F.col("least")))
+    won = near.groupBy("key").agg(F.min_by("number", "hash").alias("won")).select("won")
+    return marked.join(won, F.col(number) == F.col("won"), "left_semi").select(*rows.columns)
 
 
 def not_stored(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
@@ -50,19 +60,6 @@ def new_rows(incoming: DataFrame, stored: DataFrame, key: str, seq: str) -> Data
     return not_stored(first_per_key(incoming, key, seq), stored, key)
 
 
-def open_store(spark: SparkSession, store_path: str, schema: T.StructType) -> None:
-    """Makes an empty Parquet store unless there is one."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(store_path)
-
-
-def insert_if_absent(incoming: DataFrame, store_path: str, key: str, seq: str) -> None:
-    """Appends the new rows to an opened Parquet store.  Run by one writer; a repeat appends nothing."""
-    columns = [c for c in incoming.columns if c != seq]
-    schema = incoming.select(*columns).schema
-    stored = incoming.sparkSession.read.schema(schema).parquet(store_path)
-    new_rows(incoming, stored, key, seq).select(*columns).write.mode("append").parquet(store_path)
-
-
 def pending_citations(papers: DataFrame, citations: DataFrame, key: str = "paper_id") -> DataFrame:
     """Papers that have no citation row yet."""
     return not_stored(papers, citations, key)

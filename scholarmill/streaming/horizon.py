@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from scholarmill.operators.horizon import MONTHS, horizon_of_daily
-from scholarmill.session import write_once
 
-STORED = "paper_id bigint, started timestamp, cited_on date, n_events bigint, batch int"
+COMPACTED = "paper_id bigint, started timestamp, cited_on date, n_events bigint"
+STORED = f"{COMPACTED}, batch int"
 
 
 def daily_counts(events: DataFrame, event_key: Sequence[str], delay: str) -> DataFrame:
@@ -42,14 +42,37 @@ def start_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished folders ``prefix=number``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return []
+    found = (f.getPath() for f in store.listStatus(root))
+    return sorted(int(p.getName().split("=")[1]) for p in found
+                  if p.getName().startswith(f"{prefix}=") and store.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
 def compact_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The latest count of each paper and day, written as one table, so that reading it needs no micro-batch folder.
+    """``(paper_id, cited_on, n_events)``: the latest count of each paper and day.
 
-    Run between runs of the stream; ``path`` may go once the table is in use.
+    What was compacted before is kept beside ``path`` under the number of the last micro-batch in it, so a call reads
+    that table and the micro-batches since, and writes the next one.  Run between runs of the stream.
     """
-    stored = spark.read.schema(STORED).parquet(path)
-    latest = stored.groupBy("paper_id", "started", "cited_on").agg(F.max_by("n_events", "batch").alias("n_events"))
-    return write_once(latest.groupBy("paper_id", "cited_on").agg(F.sum("n_events").alias("n_events")), "daily-counts")
+    batches, kept = _numbers(spark, path, "batch"), _numbers(spark, f"{path}-compacted", "upto")
+    last = kept[-1] if kept else -1
+    newer = [b for b in batches if b > last]
+    if newer or not kept:
+        stored = spark.read.schema(STORED).parquet(path).where(F.col("batch") > last)
+        if kept:
+            base = spark.read.schema(COMPACTED).parquet(f"{path}-compacted/upto={last}")
+            stored = stored.unionByName(base.withColumn("batch", F.lit(last)))
+        latest = stored.groupBy("paper_id", "started", "cited_on").agg(F.max_by("n_events", "batch").alias("n_events"))
+        last = newer[-1] if newer else last
+        latest.write.mode("overwrite").parquet(f"{path}-compacted/upto={last}")
+    table = spark.read.schema(COMPACTED).parquet(f"{path}-compacted/upto={last}")
+    return table.groupBy("paper_id", "cited_on").agg(F.sum("n_events").alias("n_events"))
 
 
 def running_horizon(papers: DataFrame, path: str, months: tuple[int, ...] = MONTHS) -> DataFrame:

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from scholarmill.operators.ingest import insert_if_absent, open_store
+from scholarmill.sources.keyed_store import KeyedStore
 
 
-def start_ingest(stream: DataFrame, store_path: str, checkpoint: str, key: str, seq: str) -> StreamingQuery:
+def start_ingest(stream: DataFrame, store: KeyedStore, checkpoint: str, seq: str) -> StreamingQuery:
     """Applies insert-if-absent to every micro-batch.
 
     A batch that is replayed after a failure finds its rows stored and appends nothing.
     """
-    stored = stream.drop(seq)
-    open_store(stream.sparkSession, store_path, stored.schema)
     return (stream.writeStream
-            .foreachBatch(lambda batch, _: insert_if_absent(batch, store_path, key, seq))
+            .foreachBatch(lambda batch, _: store.insert(batch, seq))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

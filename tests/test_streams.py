@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from scholarmill.operators.horizon import citation_horizon
 from scholarmill.session import fresh_path
-from scholarmill.streaming.horizon import daily_counts, running_horizon, start_counts
+from scholarmill.sources.keyed_store import KeyedStore
+from scholarmill.streaming.horizon import compact_counts, daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
+from scholarmill.streaming.keyed_horizon import SALTS, paper_counts, start_paper_counts, stored_horizon
 
 
 def landed(df, path, files):
@@ -17,10 +19,10 @@ def test_ingest_over_several_batches_and_a_second_source(spark):
     rows = spark.range(60).select((F.col("id") % 20).cast("string").alias("k"), (F.col("id") % 20).alias("v"),
                                   F.col("id").alias("seq"))
     stream = landed(rows, fresh_path(spark, "incoming"), 3)
-    store = fresh_path(spark, "store")
+    store = KeyedStore(spark, fresh_path(spark, "store"), "k", rows.drop("seq").schema, buckets=4)
     for name in ("a", "b"):
-        start_ingest(stream, store, fresh_path(spark, name), "k", "seq").awaitTermination()
-    stored = spark.read.parquet(store)
+        start_ingest(stream, store, fresh_path(spark, name), "seq").awaitTermination()
+    stored = store.rows()
     assert stored.count() == 20 and stored.where("cast(v as string) <> k").count() == 0
 
 
@@ -36,3 +38,83 @@ def test_running_counts_equal_the_batch_counts(spark):
     batch = citation_horizon(papers, events.select("paper_id", F.to_date("cited_at").alias("cited_on")))
     got, want = (sorted(map(tuple, df.collect())) for df in (running_horizon(papers, path), batch))
     assert got == want and got[4][2:] == (0, 0)
+
+
+def slices_of(spark, days, papers, repeats=3):
+    """Events of one day after the other, as files that land in that order."""
+    path = fresh_path(spark, "slices")
+    for i, day in enumerate(days):
+        rows = [(100 * i + p, p, dt.datetime.combine(day, dt.time(12))) for p in papers]
+        frame = spark.createDataFrame(rows * repeats, "id long, paper_id long, cited_at timestamp")
+        frame.coalesce(1).write.mode("append").parquet(path)
+        yield spark.readStream.schema(frame.schema).parquet(path)
+
+
+def total_rows(query):
+    return [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+
+
+def test_days_that_are_over_leave_the_state(spark):
+    """The state holds the days of the lateness, not those of the stream, and the counts stay those of the batch."""
+    start, path, checkpoint, seen = dt.date(2020, 1, 1), fresh_path(spark, "counts"), fresh_path(spark, "ck"), []
+    days = [start + dt.timedelta(days=20 * i) for i in range(4)]
+    for stream in slices_of(spark, days, range(5)):
+        run = start_counts(daily_counts(stream, ["id"], "10 days"), path, checkpoint)
+        run.awaitTermination()
+        seen.append(total_rows(run)[-1])
+    # a day's five events and five counts, and those of the day before while the watermark is behind
+    assert max(seen) <= 20 and seen[-1] <= seen[1]
+    papers = spark.createDataFrame([(p, start) for p in range(7)], "paper_id long, submitted date")
+    counted = {r["paper_id"]: r["citations_12mo"] for r in running_horizon(papers, path).collect()}
+    assert counted == {**dict.fromkeys(range(5), 4), 5: 0, 6: 0}
+
+
+def test_compaction_is_kept(spark, tmp_path):
+    rows = "paper_id long, started timestamp, cited_on date, n_events long"
+    noon, path = dt.datetime(2020, 1, 1), str(tmp_path / "counts")
+
+    def batch(number, own):
+        spark.createDataFrame([(p, noon, noon.date(), n) for p, n in own], rows).write.parquet(f"{path}/batch={number}")
+
+    def counts():
+        return {r["paper_id"]: r["n_events"] for r in compact_counts(spark, path).collect()}
+
+    batch(0, [(1, 2), (2, 5)])
+    assert counts() == {1: 2, 2: 5}
+    # what is compacted is not read again
+    import shutil
+    shutil.move(f"{path}/batch=0", str(tmp_path / "gone"))
+    batch(1, [(1, 7)])
+    batch(2, [(3, 1)])
+    assert counts() == {1: 7, 2: 5, 3: 1}
+    assert counts() == {1: 7, 2: 5, 3: 1} and sorted(p.name for p in (tmp_path / "counts-compacted").iterdir()) == ["upto=0", "upto=2"]
+
+
+def test_a_timer_ends_the_entries_of_a_paper(spark):
+    start, path, checkpoint = dt.date(2020, 1, 1), fresh_path(spark, "paper-counts"), fresh_path(spark, "ck")
+    papers = spark.createDataFrame([(p, start + dt.timedelta(days=100 * p)) for p in range(3)], "paper_id long, submitted date")
+    days = [start + dt.timedelta(days=i) for i in (0, 200, 600, 1000, 1400)]
+    seen, events = [], []
+    for i, stream in enumerate(slices_of(spark, days, range(3))):
+        run = start_paper_counts(paper_counts(stream, papers, ["id"], "5 days", salts=2), path, checkpoint)
+        run.awaitTermination()
+        entries = [op["numRowsTotal"] for p in run.recentProgress for op in p["stateOperators"] if op["operatorName"] == "transformWithStateInPandasExec"]
+        seen.append(entries[-1])
+        events += [(p, days[i]) for p in range(3)]
+    batch = citation_horizon(papers, spark.createDataFrame(events, "paper_id long, cited_on date"))
+    got = {r["paper_id"]: r for r in stored_horizon(papers, path).collect()}
+    want = {r["paper_id"]: (r["citations_12mo"], r["citations_24mo"]) for r in batch.collect()}
+    assert {p: (r["citations_12mo"], r["citations_24mo"]) for p, r in got.items()} == want
+    # two years after the last paper nothing is left of any
+    assert all(r["final"] for r in got.values())
+    assert max(seen) > 0 and seen[-1] == 0
+
+
+def test_events_of_a_hot_paper_are_dealt_over_entries(spark):
+    start, path = dt.date(2020, 1, 1), fresh_path(spark, "paper-counts")
+    papers = spark.createDataFrame([(1, start), (2, start)], "paper_id long, submitted date")
+    events = spark.range(400).select("id", F.when(F.col("id") < 390, 1).otherwise(2).alias("paper_id"),
+                                     F.lit(dt.datetime(2020, 3, 1, 12)).alias("cited_at"))
+    start_paper_counts(paper_counts(landed(events, fresh_path(spark, "events"), 2), papers, ["id"], "5 days"), path, fresh_path(spark, "ck")).awaitTermination()
+    assert spark.read.parquet(path).where("paper_id = 1").select("salt").distinct().count() == SALTS
+    assert {r["paper_id"]: r["citations_24mo"] for r in stored_horizon(papers, path).collect()} == {1: 390, 2: 10}
