@@ -125,6 +125,17 @@ def x_stats_by_group(moments: DataFrame) -> DataFrame:
                          "min_value", "max_value")
 
 
+def scaled_moments(moments: DataFrame) -> DataFrame:
+    """The moments of each column less its mean, over its population deviation; a constant column becomes 0."""
+    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("var")))
+    varies = sd > 0
+
+    def scaled(bound: str) -> Column:
+        return F.when(varies, (F.col(bound) - F.col("mean")) / sd).otherwise(0.0).alias(bound)
+
+    return moments.select("feature", "n", F.lit(0.0).alias("mean"), F.when(varies, 1.0).otherwise(0.0).alias("var"), scaled("lo"), scaled("hi"))
+
+
 def sparse_moments(weights: DataFrame, terms: DataFrame, n_rows: Column) -> DataFrame:
     """Moments per term of a long (paper, term, weight) table whose absent cells are zeros."""
     held = weights.groupBy("term").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scholarmill.operators.quantiles import count_percentiles
@@ -98,6 +98,31 @@ def null_rates(papers: DataFrame, citations: DataFrame, paper_columns: Sequence[
     return rates.unpivot([], columns, "column_name", "null_pct")
 
 
+def write_with_report(papers: DataFrame, citations: DataFrame, paper_columns: Sequence[str], citation_columns: Sequence[str],
+                      path: str, key: str = "paper_id") -> DataFrame:
+    """Writes papers with their citations, and returns coverage and null shares, observed while the rows were written.
+
+    ``(figure, value)``: ``total_papers``, ``with_citations``, ``coverage_pct``, and ``null_pct.<column>``.  No row is read
+    for them again.  A paper with several citation rows counts once for each.
+    """
+    held = citations.select(key, *citation_columns).withColumn("_held", F.lit(True))
+    joined = papers.join(held, key, "left")
+    columns = [*paper_columns, *citation_columns]
+    seen = Observation("ingest")
+    observed = joined.observe(seen, F.count("*").alias("total_papers"), F.count("_held").alias("with_citations"),
+                              *(F.count_if(F.col(c).isNull()).alias(f"null.{c}") for c in columns))
+    observed.drop("_held").write.mode("overwrite").parquet(path)
+    found = seen.get
+    n = found["total_papers"]
+
+    def share(part: int) -> float | None:
+        return 100.0 * part / n if n else None
+
+    rows = [("total_papers", float(n)), ("with_citations", float(found["with_citations"])), ("coverage_pct", share(found["with_citations"])),
+            *((f"null_pct.{c}", share(found[f"null.{c}"])) for c in columns)]
+    return papers.sparkSession.createDataFrame(rows, "figure string, value double")
+
+
 def citation_distribution(citations: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation and percentiles per horizon, nulls left out."""
     out = None

@@ -87,51 +87,3 @@ def _bracketed(df: DataFrame, value: str, points: Sequence[float], by: Sequence[
         F.min(F.when(F.col("upto") > after, F.col("v"))).alias("right"))
     missed = (F.col("missed") > 0) | F.col("left").isNull() | F.col("right").isNull()
     return chosen.select(*by, "n", F.col("b.i").alias("i"), F.col("b.frac").alias("frac"), "left", "right", missed.alias("missed"))
-
-
-_BLOCK = 64
-_BLOCKS_PER_SUPER = 4096
-
-
-def percentile_of_score(scores: DataFrame, score: str, observed: DataFrame, count: str) -> DataFrame:
-    """Adds ``percentile``: the mean of the strict and the weak rank of each score, in percent.
-
-    The observed values are counts, so a score's rank is found in the block of 64 consecutive counts it
-    falls into, which carries the number of observations before it and joins by equality.  Blocks are
-    laid out only where counts are, in occupied stretches of ``_BLOCKS_PER_SUPER`` blocks, however large
-    the greatest count is; a score between two stretches takes what lies before it from the list of
-    stretches.  The blocks are written once, so the planner knows their size and the observed rows are
-    read once.
-    """
-    freq = (observed.where(F.col(count).isNotNull())
-            .groupBy(F.col(count).cast("long").alias("v")).agg(F.count("*").alias("freq")))
-    blocks = write_once(freq.groupBy(F.floor(F.col("v") / _BLOCK).alias("block"))
-                        .agg(F.sum("freq").alias("held"),
-                             F.array_sort(F.collect_list(F.struct("v", "freq"))).alias("values")), "count-blocks")
-    # prefix sums in two steps: over the occupied stretches, then inside each of them
-    supers = (blocks.groupBy(F.floor(F.col("block") / _BLOCKS_PER_SUPER).alias("super")).agg(F.sum("held").alias("in_super"))
-              .withColumn("before_super", F.coalesce(F.sum("in_super").over(
-                  Window.orderBy("super").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    start = F.col("super") * _BLOCKS_PER_SUPER
-    grid = (supers.select("super", "before_super", F.explode(F.sequence(start, start + (_BLOCKS_PER_SUPER - 1))).alias("block"))
-            .join(blocks, "block", "left").fillna(0, ["held"]))
-    within = Window.partitionBy("super").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("held").over(within), F.lit(0))
-    table = grid.select("block", "values", (F.col("before_super") + inside).alias("before"))
-
-    stretches = supers.agg(F.struct(F.sum("in_super").alias("n"), F.collect_list(
-        F.struct("super", (F.col("before_super") + F.col("in_super")).alias("upto"))).alias("ends"))).scalar()
-    keyed = scores.withColumn("_all", stretches).withColumn("_block", F.floor(F.col(score) / _BLOCK))
-    earlier = F.filter("_all.ends", lambda e: e["super"] < F.floor(F.col("_block") / _BLOCKS_PER_SUPER))
-    between = F.coalesce(F.array_max(F.transform(earlier, lambda e: e["upto"])), F.lit(0))
-
-    def up_to(keep) -> Column:
-        return F.coalesce("before", between) + F.aggregate(
-            F.coalesce("values", F.array().cast("array<struct<v:bigint,freq:bigint>>")),
-            F.lit(0).cast("long"), lambda acc, x: acc + F.when(keep(x["v"]), x["freq"]).otherwise(0))
-
-    below, weak = up_to(lambda v: v < F.col(score)), up_to(lambda v: v <= F.col(score))
-    rank = (below + weak + F.when(below < weak, 1).otherwise(0)) * F.lit(50.0) / F.col("_all.n")
-    return (keyed.join(table, keyed["_block"] == table["block"], "left")
-            .withColumn("percentile", F.when(F.col(score).isNotNull(), rank))
-            .drop("_all", "_block", "block", "values", "before"))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.functions.numbers import interval, normal_percentile, raw_count
-from scholarmill.operators.quantiles import measured_percentiles, percentile_of_score
+from scholarmill.operators.quantiles import measured_percentiles
+from scholarmill.operators.ranks import percentile_of_score
 
 # 95 % half-width in deviations, half-width on the log scale, reference mean and deviation.
 Z95 = 1.96

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scholarmill.functions.keys import hash_bucket
 from scholarmill.functions.labels import decode_one_hot, pretty_feature, tagged_feature
+from scholarmill.models.assemble import fit_categories
 from scholarmill.operators import features as X
 from scholarmill.operators import tfidf as T
 from scholarmill.operators.quantiles import count_percentiles, measured_percentiles
@@ -42,7 +43,9 @@ FEATURES_SQL = f"""{TEXT_SQL} SELECT paper_id, {big(WORDS_SQL.format('abstract')
 
 
 def text_table(spark, folder) -> DataFrame:
-    return X.feature_table(papers_text(spark, folder), CATEGORIES, KEYWORDS)
+    """Features of all papers; the categories are those that occur."""
+    papers = papers_text(spark, folder)
+    return X.feature_table(papers, fit_categories(papers), KEYWORDS)
 
 
 def _features(columns: list[str]):
@@ -51,16 +54,25 @@ def _features(columns: list[str]):
     return run
 
 
+def _by_prefix(*prefixes: str):
+    """All columns that begin so, whichever values were fitted."""
+    def run(spark, folder) -> DataFrame:
+        table = text_table(spark, folder)
+        return rounded(table.select("paper_id", *(F.col(f"`{c}`") for c in table.columns if c != "paper_id" and c.startswith(prefixes))))
+    return run
+
+
 def _features_sql(columns: list[str]) -> str:
     return f"SELECT paper_id, {', '.join(columns)} FROM ({FEATURES_SQL})"
 
 
 for _name, _columns in (("word_counts", ["abstract_length", "title_length"]), ("equation_count", ["equation_count"]),
                         ("bracket_refs", ["citation_count"]), ("reading_ease", ["flesch_reading_ease"]),
-                        ("keyword_flags", [f"has_{k}" for k in KEYWORDS]), ("author_count", ["author_count"]),
-                        ("one_hot", [f"cat_{c}" for c in sorted(CATEGORIES)]),
-                        ("feature_matrix_base", X.feature_columns(CATEGORIES, KEYWORDS))):
+                        ("keyword_flags", [f"has_{k}" for k in KEYWORDS]), ("author_count", ["author_count"])):
     query(_name, _features_sql(_columns))(_features(_columns))
+# the oracles name the values that the given tables hold
+query("one_hot", _features_sql([f"cat_{c}" for c in sorted(CATEGORIES)]))(_by_prefix("cat_"))
+query("feature_matrix_base", _features_sql(X.feature_columns(CATEGORIES, KEYWORDS)))(_by_prefix(""))
 
 
 @query("date_parts", f"""{DATED_SQL} SELECT paper_id, {big('month(submitted)')} AS submission_month,
@@ -203,6 +215,25 @@ def tfidf_cell_stats(spark, folder) -> DataFrame:
     return rounded(X.x_stats_by_group(moments))
 
 
+@query("scaled_x_stats", f"""{TERMS_SQL}, raw AS (SELECT p.paper_id, p.term,
+    p.tf * (ln((1 + (SELECT count(*) FROM papers_text)) / (1 + v.df)) + 1) AS w FROM per_paper p JOIN vocabulary v USING (term)),
+  weights AS (SELECT paper_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY paper_id)) AS weight FROM raw),
+  f AS (SELECT * FROM ({FEATURES_SQL})),
+  cols AS (SELECT 'tfidf' AS feature_group, avg(x) AS m, stddev_pop(x) AS sd, min(x) AS lo, max(x) AS hi
+    FROM (SELECT term, coalesce(w.weight, 0) AS x FROM papers_text CROSS JOIN vocabulary v LEFT JOIN weights w USING (paper_id, term)) GROUP BY term
+    {" ".join(f"UNION ALL SELECT '{_group(c)}', avg({c}), stddev_pop({c}), min({c}), max({c}) FROM f" for c in NUMERIC)})
+  SELECT feature_group, count(*) AS n_columns, 0.0::DOUBLE AS mean, {r6('sqrt(avg(CASE WHEN sd > 0 THEN 1.0 ELSE 0.0 END))')} AS std,
+    {r6('min(CASE WHEN sd > 0 THEN (lo - m) / sd ELSE 0 END)')} AS min_value, {r6('max(CASE WHEN sd > 0 THEN (hi - m) / sd ELSE 0 END)')} AS max_value
+  FROM cols GROUP BY feature_group""")
+def scaled_x_stats(spark, folder) -> DataFrame:
+    """Statistics of the scaled matrix by feature group, TF-IDF among them, from moments of its columns."""
+    papers, fitted = papers_text(spark, folder), fitted_vocabulary(spark, folder)
+    sparse = X.sparse_moments(T.tfidf_weights(papers, fitted), T.vocabulary_table(papers, fitted), papers.agg(F.count("*")).scalar())
+    table = rounded(text_table(spark, folder))
+    base = X.column_moments(table, [c for c in table.columns if c != "paper_id"])
+    return rounded(X.x_stats_by_group(X.scaled_moments(base.unionByName(sparse))))
+
+
 @query("train_test_split", """SELECT doc_id AS paper_id,
   CAST(CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS BIGINT) AS bucket,
   CASE WHEN CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 = 0 THEN 'test' ELSE 'train' END AS split

@@ -1,7 +1,7 @@
 """Queries that fit models on the given texts and labels.
 
-The trained table and the lasso scoring model are kept as long as the session and the tables' files stay the same, as a
-job that trains once and scores often would.
+The trained table and the lasso scoring model are kept as long as the session and the tables' files stay the same and
+nothing is released, as a job that trains once and scores often would.
 """
 
 from __future__ import annotations
@@ -19,14 +19,15 @@ from scholarmill.operators import evaluate as E
 from scholarmill.operators import explain as W
 from scholarmill.operators import score as S
 from scholarmill.operators.cohort import cohort
-from scholarmill.operators.quantiles import percentile_of_score
+from scholarmill.operators.features import feature_columns
+from scholarmill.operators.ranks import percentile_of_score
 from scholarmill.operators.split import with_split
 from scholarmill.operators.univariate import score_mean
-from scholarmill.plans.features import KEYWORDS, STOP_WORDS
+from scholarmill.plans.features import KEYWORDS, STOP_WORDS, TERMS_SQL
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import rounded
-from scholarmill.session import fresh_path, write_once
-from scholarmill.sources.stand_ins import citations_text, papers_text
+from scholarmill.session import fresh_path, releases, write_once
+from scholarmill.sources.stand_ins import TEXT_SQL, citations_text, papers_text
 from scholarmill.sources.tables import read_upload, write_csv
 
 _KEPT: dict[str, tuple[object, object]] = {}
@@ -41,7 +42,7 @@ def _files(spark, folder) -> tuple:
         store = path.getFileSystem(conf)
         found = store.listStatus(path) if store.exists(path) else []
         listed += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found]
-    return (spark.sparkContext.applicationId, *sorted(listed))
+    return (spark.sparkContext.applicationId, releases(spark), *sorted(listed))
 
 
 def _once(spark, folder, what, make):
@@ -164,8 +165,7 @@ def model_roundtrip(spark, folder) -> DataFrame:
     return same_rows(*scores, "paper_id")
 
 
-@query("lasso_api_scores", """SELECT doc_id AS paper_id, doc_id % 9 = 0 AS is_default, true AS half_wide, true AS in_range
-  FROM documents""")
+@query("lasso_api_scores")
 def lasso_api_scores(spark, folder) -> DataFrame:
     """The reply to a scoring request per paper: log score with half a unit either way and its normal percentile.
 
@@ -174,21 +174,27 @@ def lasso_api_scores(spark, folder) -> DataFrame:
     model = scoring_model(spark, folder)
     pred = model.predict(papers_text(spark, folder), ["paper_id"])
     held = pred.select("paper_id", F.when(F.col("paper_id") % 9 != 0, F.col("pred")).alias("pred"))
-    reply = S.score_log(held, F.lit(model.y_mean), F.lit(model.y_std))
-    return reply.select("paper_id", "is_default",
-                        (F.round(F.col("ci_upper") - F.col("ci_lower"), 6) == 1.0).alias("half_wide"),
-                        (F.col("percentile").between(0, 100) & (F.col("predicted_raw") >= 0)).alias("in_range"))
+    return rounded(S.score_log(held, F.lit(model.y_mean), F.lit(model.y_std)))
 
 
-@query("comparison_table", """SELECT unnest(['baseline', 'lasso', 'ridge', 'elastic_net', 'random_forest', 'boosted_trees']) AS model,
-  true AS complete""")
+@query("comparison_table")
 def comparison_table(spark, folder) -> DataFrame:
-    """Whether each model has a full row in the comparison of ``compared_models``."""
-    rows = compared_models(spark, folder)
-    linear = F.col("model").isin("lasso", "ridge", "elastic_net")
-    fitted = (F.col("alpha") > 0) & F.col("n_nonzero").between(0, F.col("n_features"))
-    return rows.select("model", (F.col("n_features") > 0) & (F.col("sqrt_features") == F.floor(F.sqrt("n_features"))) & F.col("test_r2").isNotNull()
-                       & F.when(linear, fitted).otherwise(True)).toDF("model", "complete")
+    return rounded(compared_models(spark, folder))
+
+
+TRAIN_TERMS_SQL = TEXT_SQL + """, train_papers AS (SELECT p.* FROM papers_text p JOIN citations_text c USING (paper_id)
+    WHERE submitted <= DATE '2022-12-31' AND citations_24mo IS NOT NULL AND length(abstract) > 10 AND length(title) > 3
+      AND CAST(concat('0x', substr(md5(CAST(paper_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 <> 0)""" + TERMS_SQL.removeprefix(
+    TEXT_SQL).replace("FROM papers_text", "FROM train_papers")
+
+
+@query("coefficient_names", f"""{TRAIN_TERMS_SQL}, names AS (SELECT unnest([{", ".join(f"'{c}'" for c in feature_columns([], KEYWORDS))}]) AS feature
+    UNION ALL SELECT DISTINCT 'cat_' || category FROM train_papers WHERE category IS NOT NULL UNION ALL SELECT 'tfidf_' || term FROM vocabulary)
+  SELECT feature, CASE WHEN starts_with(feature, 'tfidf_') THEN 'tfidf' WHEN starts_with(feature, 'cat_') THEN 'cat'
+    WHEN starts_with(feature, 'has_') THEN 'has' ELSE 'other' END AS feature_group FROM names""")
+def coefficient_names(spark, folder) -> DataFrame:
+    """The features that the fitted model has coefficients for, and their groups."""
+    return coefficients(spark, folder).select("feature", "feature_group")
 
 
 def compared_models(spark, folder) -> DataFrame:
@@ -212,8 +218,7 @@ def csv_predictions(spark, folder) -> DataFrame:
     upload, out = fresh_path(spark, "upload"), fresh_path(spark, "predictions")
     write_csv(papers_text(spark, folder).select("title", "abstract"), upload)
     model = scoring_model(spark, folder)
-    # quoted line breaks keep a file in one task; scoring is spread again, whatever the number of files
-    rows = read_upload(spark, upload).hint("rebalance")
+    rows = read_upload(spark, upload)
     bounded = model.with_bounds(model.predict_upload(rows, ["title"])).drop("pred")
     observed = citations_text(spark, folder)
     ranked = percentile_of_score(bounded, "predicted_citations", observed, "citations_24mo")

@@ -71,3 +71,15 @@ query("lasso_one_feature", _fit_sql(_LASSO_PATH, _SOFT))(_run(R.fit_lasso))
 query("net_one_feature", _fit_sql(_NET_PATH, _SOFT))(_run(lambda t: R.fit_net(t, shares=R.NET_SHARES_ANALYSIS)))
 query("ridge_one_feature", _fit_sql(_RIDGE_PATH, "@c / (@v + path_.alpha / @n)"))(
     _run(lambda t: R.fit_ridge(t, path=R.RIDGE_PATH_ANALYSIS)))
+
+
+@query("ablation_one_feature", f"""SELECT 'x' AS feature, 'completed' AS status, r2 AS r2_full, r2_without,
+    CASE WHEN abs((r2 - r2_without) / abs(r2) * 100) < 5 THEN 'none' WHEN (r2 - r2_without) / abs(r2) * 100 > 15 THEN 'substantial'
+      ELSE 'moderate' END AS verdict
+  FROM ({_fit_sql(_LASSO_PATH, _SOFT)}) f, ({ROWS_SQL} SELECT {r6('1 - sum(pow(y - m, 2)) / (var_pop(y) * count(*))')} AS r2_without
+    FROM model_rows, (SELECT avg(y) AS m FROM model_rows WHERE split = 'train') t WHERE split = 'test') w WHERE f.split = 'test'""")
+def ablation_one_feature(spark, folder) -> DataFrame:
+    """What the one feature adds beside a constant: without it the mean is left."""
+    rows = VectorAssembler(inputCols=["x", "one"], outputCol="raw").transform(model_rows(spark, folder).withColumn("one", F.lit(1.0)))
+    table = write_once(rows.select("paper_id", "y", "split", "fold", "raw"), "one-feature-and-constant", by="fold")
+    return rounded(R.ablation(table, ["x", "one"], "x").select("feature", "status", "r2_full", "r2_without", "verdict"))

@@ -11,8 +11,12 @@ from scholarmill.operators import cohort as C
 from scholarmill.operators import ingest as I
 from scholarmill.operators import quality as Q
 from scholarmill.operators.features import impute_zero
+from scholarmill.operators.sketches import add_day
+from scholarmill.operators.sketches import sketched_percentiles as percentiles_of_days
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import big, r6, rounded
+from scholarmill.session import fresh_path
+from scholarmill.sources.quarantine import Quarantine
 from scholarmill.sources.stand_ins import (DATED_SQL, TEXT_SQL, citations_text, papers_dated,
                                            papers_text, stored_counts)
 from scholarmill.sources.tables import read_table
@@ -166,11 +170,14 @@ def pending_citations(spark, folder) -> DataFrame:
 
 @query("attach_12mo", f"""{TEXT_SQL} SELECT paper_id, {r6('ln(1 + quality)')} AS citations_24mo_log,
   {big('c.citations_12mo')} AS citations_12mo
-  FROM (SELECT doc_id AS paper_id, quality FROM labels) t LEFT JOIN citations_text c USING (paper_id)""")
+  FROM (SELECT doc_id AS paper_id, quality FROM documents LEFT JOIN labels USING (doc_id)) t
+  LEFT JOIN (SELECT * FROM citations_text WHERE paper_id % 3 <> 0) c USING (paper_id)""")
 def attach_12mo(spark, folder) -> DataFrame:
+    """The 12-month counts of two thirds of the labelled papers to the targets of all; the others have none."""
     citations = citations_text(spark, folder)
-    targets = citations.select("paper_id", F.log1p("citations_24mo").alias("citations_24mo_log"))
-    return rounded(targets.join(citations.select("paper_id", "citations_12mo"), "paper_id", "left"))
+    targets = papers_text(spark, folder).select("paper_id").join(citations, "paper_id", "left").select(
+        "paper_id", F.log1p("citations_24mo").alias("citations_24mo_log"))
+    return rounded(targets.join(citations.where("paper_id % 3 <> 0").select("paper_id", "citations_12mo"), "paper_id", "left"))
 
 
 def incoming_copies(spark, folder) -> DataFrame:
@@ -254,6 +261,57 @@ def papers_per_category(spark, folder) -> DataFrame:
     return Q.papers_per_category(papers_text(spark, folder))
 
 
+@query("ingest_report", f"""{TEXT_SQL}, j AS (SELECT p.*, c.citations_12mo, c.citations_24mo, c.paper_id AS held
+    FROM papers_text p LEFT JOIN citations_text c USING (paper_id))
+  SELECT 'total_papers' AS figure, {r6('count(*)')} AS value FROM j UNION ALL SELECT 'with_citations', {r6('count(held)')} FROM j
+  UNION ALL SELECT 'coverage_pct', {r6('100.0 * count(held) / count(*)')} FROM j
+  {" ".join(f"UNION ALL SELECT 'null_pct.{c}', {r6(f'100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*)')} FROM j"
+            for c in ("title", "abstract", "authors", *COUNTS))}""")
+def ingest_report(spark, folder) -> DataFrame:
+    """Coverage and null shares, observed while the joined rows are written."""
+    papers = papers_text(spark, folder).select("paper_id", "title", "abstract", "authors")
+    return rounded(Q.write_with_report(papers, citations_text(spark, folder), ["title", "abstract", "authors"], COUNTS,
+                                       fresh_path(spark, "ingested")))
+
+
+QUARANTINE_SQL = """SELECT paper_id, array_to_string(list_filter([
+    CASE WHEN NOT coalesce(length(title) BETWEEN 3 AND 500, false) THEN 'title_length' END,
+    CASE WHEN NOT coalesce(length(abstract) BETWEEN 20 AND 5000, false) THEN 'abstract_length' END,
+    CASE WHEN NOT coalesce(authors BETWEEN 1 AND 100, false) THEN 'author_range' END], lambda x: x IS NOT NULL), ',') AS violated"""
+
+
+@query("quarantine_replay", f"""{TEXT_SQL}, asked AS (SELECT paper_id, title, abstract, paper_id % 130 AS authors FROM papers_text),
+  first AS ({QUARANTINE_SQL} FROM asked),
+  mended AS (SELECT paper_id, title, left(abstract, 5000) AS abstract, greatest(1, least(100, authors)) AS authors
+    FROM asked JOIN first USING (paper_id) WHERE violated <> ''),
+  again AS ({QUARANTINE_SQL} FROM mended)
+  SELECT paper_id, CAST(0 AS BIGINT) AS round, true AS accepted, violated FROM first WHERE violated = ''
+  UNION ALL SELECT paper_id, 1, violated = '', violated FROM again""")
+def quarantine_replay(spark, folder) -> DataFrame:
+    """Requests are checked, and those that were rejected once more with long abstracts cut and author numbers bounded."""
+    asked = papers_text(spark, folder).select("paper_id", "title", "abstract", (F.col("paper_id") % 130).cast("int").alias("authors"),
+                                              F.lit("cs.LG").alias("category"))
+    kept = Quarantine(spark, fresh_path(spark, "requests"), asked.schema, Q.validate_inputs)
+    kept.admit(asked, 0)
+    kept.replay(lambda rows: rows.withColumns({"abstract": F.left("abstract", F.lit(5000)),
+                                               "authors": F.greatest(F.lit(1), F.least(F.lit(100), "authors"))}))
+    valid = kept.valid().select("paper_id", "round", F.lit(True).alias("accepted"), F.lit("").alias("violated"))
+    waiting = kept.rejected().select("paper_id", "round", F.lit(False).alias("accepted"), F.array_join("violated", ",").alias("violated"))
+    return rounded(valid.unionByName(waiting))
+
+
+@query("sketched_percentiles", f"""{DATED_SQL} SELECT category, count(*) AS n,
+  {", ".join(f"{r6(f'quantile_disc(citations_24mo::DOUBLE, {p})')} AS p{round(100 * p)}" for p in Q.REPORT_POINTS)} FROM horizon GROUP BY category""")
+def sketched_percentiles(spark, folder) -> DataFrame:
+    """From sketches per category and day that were stored one day after the other; up to their size they are exact."""
+    counted, path = stored_counts(spark, folder), fresh_path(spark, "sketches")
+    for number in range(3):
+        add_day(counted.where(F.col("paper_id") % 3 == number), f"2020-01-0{number + 1}", "citations_24mo", "category", path)
+    found = percentiles_of_days(spark, path, Q.REPORT_POINTS)
+    return rounded(found.select(F.col("group").alias("category"), "n", *(F.col("points")[i].alias(f"p{round(100 * p)}")
+                                                                         for i, p in enumerate(Q.REPORT_POINTS))))
+
+
 @query("date_coverage", f"{DATED_SQL} SELECT min(submitted) AS earliest, max(submitted) AS latest FROM papers_dated")
 def date_coverage(spark, folder) -> DataFrame:
     return Q.date_coverage(papers_dated(spark, folder))

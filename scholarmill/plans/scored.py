@@ -13,7 +13,7 @@ from scholarmill.functions.numbers import normal_percentile
 from scholarmill.operators import evaluate as E
 from scholarmill.operators import explain as W
 from scholarmill.operators import score as S
-from scholarmill.operators.quantiles import percentile_of_score
+from scholarmill.operators.ranks import percentile_of_score
 from scholarmill.operators.split import with_fold, with_split
 from scholarmill.operators.univariate import score_line, score_mean, score_out_of_fold
 from scholarmill.operators.tfidf import vocabulary_table
@@ -97,7 +97,7 @@ def metrics_by_author_count(spark, folder) -> DataFrame:
 
 @query("metrics_by_uncertainty", f"""{SCORED_SQL}, q AS (SELECT quantile_cont(abs(y - pred), 0.33) AS lo,
     quantile_cont(abs(y - pred), 0.67) AS hi FROM scored),
-  bands AS (SELECT scored.*, CASE WHEN abs(y - pred) <= lo + 1e-12 THEN 'easy' WHEN abs(y - pred) <= hi + 1e-12 THEN 'medium'
+  bands AS (SELECT scored.*, CASE WHEN abs(y - pred) <= lo THEN 'easy' WHEN abs(y - pred) <= hi THEN 'medium'
     ELSE 'hard' END AS band FROM scored, q) {_metrics_sql('band', 'n, r2, mae', 'bands')}""")
 def metrics_by_uncertainty(spark, folder) -> DataFrame:
     return rounded(E.metrics_by_uncertainty(line_scored(spark, folder)))
@@ -278,6 +278,18 @@ def percentile_of_scores(spark, folder) -> DataFrame:
     return rounded(percentile_of_score(scores, "predicted_citations", scored, "citations_24mo"))
 
 
+@query("percentile_of_measure", f"""{SCORED_SQL}, s AS (SELECT paper_id, author_count, round(abs(y - pred), 2) AS v FROM scored),
+  d AS (SELECT v, (SELECT count(*) FROM s o WHERE o.author_count > 4 AND o.v < u.v) AS l,
+      (SELECT count(*) FROM s o WHERE o.author_count > 4 AND o.v <= u.v) AS r FROM (SELECT DISTINCT v FROM s) u)
+  SELECT paper_id, {r6('v')} AS residual, {r6('(l + r + CASE WHEN l < r THEN 1 ELSE 0 END) * 50.0 / (SELECT count(*) FROM s WHERE author_count > 4)')}
+    AS percentile FROM s JOIN d USING (v)""")
+def percentile_of_measure(spark, folder) -> DataFrame:
+    """Measured values with ties: each paper's residual among those of papers with many authors."""
+    sized = line_scored(spark, folder).select("paper_id", "author_count", F.round(F.abs(F.col("y") - F.col("pred")), 2).alias("residual"))
+    many = sized.where("author_count > 4")
+    return rounded(percentile_of_score(sized.drop("author_count"), "residual", many, "residual"))
+
+
 def observed_results(spark, folder) -> DataFrame:
     scored = line_scored(spark, folder)
     return S.score_observed(scored, scored, scored)

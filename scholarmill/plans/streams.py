@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from scholarmill.plans.models import same_rows, scoring_model
 from scholarmill.plans.registry import query
 from scholarmill.plans.shape import rounded
-from scholarmill.session import fresh_path
+from scholarmill.session import fresh_path, write_once
+from scholarmill.sources.keyed_store import KeyedStore
 from scholarmill.sources.stand_ins import DATED_SQL, papers_dated, papers_text
 from scholarmill.sources.tables import read_table, stream_table
 from scholarmill.streaming.horizon import daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
+from scholarmill.streaming.keyed_horizon import paper_counts, start_paper_counts, stored_horizon
 from scholarmill.streaming.score import start_scoring
 
 # the given lines carry no id of their own; these columns tell them apart
@@ -28,19 +30,28 @@ def _stream(spark, folder, name) -> DataFrame:
     return stream_table(spark, folder, name, read_table(spark, folder, name).schema)
 
 
-def landed_events(spark, folder) -> DataFrame:
-    """The events as a stream of files that land one after the other in order of time."""
+def cut_events(spark, folder) -> DataFrame:
+    """The events with the slice of time each lies in, written once by slice, in as many files as a slice needs."""
     events = read_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("paper_id"), "l_suppkey", "l_extendedprice",
         F.col("l_shipdate").cast("timestamp").alias("cited_at"))
-    path = fresh_path(spark, "landed-events")
     span = events.agg(F.min("cited_at").alias("a"), F.max("cited_at").alias("b")).first()
-    ends = [span["a"] + (span["b"] - span["a"]) * i / SLICES for i in range(1, SLICES)] if span["a"] else []
-    for low, high in zip([None, *ends], [*ends, None]):
-        inside = (F.lit(True) if low is None else F.col("cited_at") >= F.lit(low)) & (F.lit(True) if high is None else F.col("cited_at") < F.lit(high))
-        # a slice is one file here, as one trigger of the source takes it
-        events.where(inside).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    at = F.unix_seconds("cited_at")
+    first, last = (F.unix_seconds(F.lit(span[c])) for c in "ab")
+    part = F.least(F.floor((at - first) * SLICES / F.greatest(last - first, F.lit(1))), F.lit(SLICES - 1)).cast("int")
+    return write_once(events.withColumn("slice", part), "cut-events", by="slice")
+
+
+def each_slice(spark, folder, run) -> None:
+    """Lets the slices land one after the other and calls ``run`` with the stream of all that have landed.
+
+    A run takes all files of a slice in one micro-batch, however many tasks they make.
+    """
+    cut, path = cut_events(spark, folder), fresh_path(spark, "landed-events")
+    for number in range(SLICES):
+        rows = cut.where(F.col("slice") == number).drop("slice")
+        rows.write.mode("append").parquet(path)
+        run(spark.readStream.schema(rows.schema).parquet(path))
 
 
 def landed_documents(spark, folder) -> DataFrame:
@@ -56,23 +67,32 @@ def stream_ingest(spark, folder) -> DataFrame:
     """Streams the documents into a store keyed by content, twice: the second run adds nothing."""
     rows = landed_documents(spark, folder).select(
         F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
-    store = fresh_path(spark, "store")
+    store = KeyedStore(spark, fresh_path(spark, "store"), "text_key", rows.drop("seq").schema, buckets=SLICES)
     for run in ("first", "again"):
-        start_ingest(rows, store, fresh_path(spark, f"ingest-{run}"), "text_key", "seq").awaitTermination()
-    return spark.read.parquet(store)
+        start_ingest(rows, store, fresh_path(spark, f"ingest-{run}"), "seq").awaitTermination()
+    return store.rows()
 
 
 @query("stream_horizon", f"{DATED_SQL} SELECT paper_id, category, submitted, citations_12mo, citations_24mo FROM horizon")
 def stream_horizon(spark, folder) -> DataFrame:
     """Events land in slices of time, one per micro-batch, so a lateness of days lets days that are over go."""
     papers = papers_dated(spark, folder).select("paper_id", "category", "submitted")
-    events = landed_events(spark, folder)
-    path = fresh_path(spark, "counts")
-    counts = daily_counts(events, EVENT_KEY, LATENESS)
-    start_counts(counts, path, fresh_path(spark, "counts-checkpoint")).awaitTermination()
+    path, checkpoint = fresh_path(spark, "counts"), fresh_path(spark, "counts-checkpoint")
+    each_slice(spark, folder, lambda events: start_counts(daily_counts(events, EVENT_KEY, LATENESS), path, checkpoint).awaitTermination())
     return running_horizon(papers, path)
 
 
+@query("stream_horizon_keyed", f"{DATED_SQL} SELECT paper_id, category, submitted, citations_12mo, citations_24mo FROM horizon")
+def stream_horizon_keyed(spark, folder) -> DataFrame:
+    """The same with an entry per paper that a timer ends when its two years are over."""
+    papers = papers_dated(spark, folder).select("paper_id", "category", "submitted")
+    dated = write_once(papers, "dated-papers")
+    path, checkpoint = fresh_path(spark, "paper-counts"), fresh_path(spark, "paper-counts-checkpoint")
+    each_slice(spark, folder, lambda events: start_paper_counts(
+        paper_counts(events, dated, EVENT_KEY, LATENESS), path, checkpoint).awaitTermination())
+    return stored_horizon(dated, path).drop("final")
+
+
 @query("stream_score", "SELECT doc_id AS paper_id, true AS same FROM documents")
 def stream_score(spark, folder) -> DataFrame:
     """Scores the documents as an upload stream of title and abstract; each score against that of a batch."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmill.sources.schemas import UPLOAD
+from scholarmill.sources.split_csv import read_split_csv
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,17 +35,18 @@ def stream_table(spark: SparkSession, folder: str, name: str, schema: T.StructTy
 
 
 def write_features(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """One keyed table holds id, features and targets; rows never rely on their position."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    """One keyed table holds id, features and targets; rows never rely on their position.
+
+    With ``partition_by`` rows are dealt out by it first, so a folder has as many files as its size needs, not one per
+    task; a value with very many rows is split.
+    """
+    writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
+    writer.mode("overwrite").parquet(path)
 
 
 def read_upload(spark: SparkSession, path: str) -> DataFrame:
     """A CSV batch of title and abstract; a missing cell becomes the empty string."""
-    rows = (spark.read.schema(UPLOAD)
-            .options(header=True, multiLine=True, escape='"').csv(path))
+    rows = read_split_csv(spark, path, UPLOAD)
     return rows.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in UPLOAD.fieldNames()))
 
 

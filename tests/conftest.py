@@ -1,3 +1,4 @@
+import datetime as dt
 import sys
 from pathlib import Path
 
@@ -19,18 +20,23 @@ def spark():
     s.stop()
 
 
+# id, title, abstract, authors, category, day, counts at 12 and 24 months: one each that is short, undated by counts,
+# without an abstract, without authors, and never cited
+SHELF = [
+    ("p-a", "Tides", "A novel survey of tides [1]. We propose a benchmark at $5$ a day, the state-of-the-art [22].", "Ana, Ben, Cai", "ocean",
+     dt.date(2018, 2, 1), 2, 4),
+    ("p-b", "Wind over dunes", "Sand moves where the wind is strong enough.", "Dee", "desert", dt.date(2019, 6, 15), 0, 0),
+    ("p-c", "Ice", "Short", "Eli, Fay", "polar", dt.date(2017, 11, 30), 9, 12),
+    ("p-d", "Salt marshes", "Plants that grow in salt water, and who eats them.", "", "ocean", dt.date(2021, 1, 10), 7, None),
+    ("p-e", "Coral counts", "How many corals are there? Nobody knows.", "Gus, Hal, Ivy, Jo", "ocean", dt.date(2016, 5, 5), 30, 44),
+    ("p-f", "River deltas", None, "Kim", "polar", dt.date(2015, 8, 20), 1, 3),
+]
+
+
 @pytest.fixture(scope="session")
-def ten_papers(spark):
-    """Ten papers and their counts; every odd paper lacks the 24-month one."""
-    import datetime as dt
-
-    text = ("As [3] and [17] show, $k$ moments suffice. This survey is novel; we propose a benchmark and "
-            "compare it with the state-of-the-art.")
-    rows, counts = [], []
-    for i in range(10):
-        rows.append((f"1907.1{i:04d}", f"On moments of order {i}", text, "Ada Q, Bo R, Cy S",
-                     ["cs.LG", "stat.ML", "cs.AI"][i % 3], dt.date(2019, 7, 9) + dt.timedelta(days=41 * i)))
-        counts.append((f"1907.1{i:04d}", 3 * i + 1, None if i % 2 else 8 * i))
-    papers = spark.createDataFrame(
-        rows, "paper_id string, title string, abstract string, authors string, category string, submitted date")
+def shelf(spark):
+    """Papers and their counts."""
+    papers = spark.createDataFrame([row[:6] for row in SHELF], "paper_id string, title string, abstract string, authors string, "
+                                                               "category string, submitted date")
+    counts = [(row[0], *row[6:]) for row in SHELF]
     return papers, spark.createDataFrame(counts, "paper_id string, citations_12mo int, citations_24mo int")
