@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scholarmill.llm.automata import Automaton, Layer, added, at_least, composed, grouped, ordered, ranged
-from scholarmill.llm.rows import column, prepare, settings, words_between
-from scholarmill.session import write_once
+from scholarmill.llm.rows import column, prepare, words_between
+from scholarmill.session import settings, write_once
 
 #: Fixed values of the contract: words of a phrase, least count, share of a longer phrase that drops it, phrases a language.
 LONGEST, LEAST, PER_CENT, BEST = 3, 10, 50, 2000
@@ -33,11 +33,14 @@ LONGEST, LEAST, PER_CENT, BEST = 3, 10, 50, 2000
 UNIT = 1_000_000
 
 #: Bytes of texts that are counted together; a longer text is counted in slices of this size.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 
 #: Characters of text for each prefix range, fewest ranges, documents (about) whose sequences set the bounds, sequences of each.
 RANGE_CHARS, FEWEST_RANGES, BOUND_DOCS, BOUND_SEQUENCES = 1 << 23, 16, 2000, 20
 
+#: Shares of a language's phrases that are ranked by themselves.
+SHARES = 16
+
 #: Sequences of one range that are held before they are merged.
 HELD = 1_000_000
 
@@ -285,6 +288,10 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longes
     total = counts.filter(F.size("part") == 0).select("lang", F.col("count").alias("n"))
     scored = held.join(total, "lang").select("lang", F.array_join("words", " ").alias("phrase"), "a", F.col("cut.l").alias("l"),
                                              F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return scored.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= best).select(
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # the best of shares of a language first, so that the task that ranks it gets a bounded number of rows
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    shared = Window.partitionBy("lang", "share").orderBy(*order)
+    some = scored.withColumn("share", share).withColumn("rank", F.row_number().over(shared)).filter(F.col("rank") <= best)
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= best).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")

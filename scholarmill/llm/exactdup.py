@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholarmill.llm.rows import column, settings
-from scholarmill.session import fresh_path, write_once
+from scholarmill.llm.rows import column
+from scholarmill.session import fresh_path, settings, write_once
 
 #: What does not count when texts are compared (fixed values of the contract).
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"

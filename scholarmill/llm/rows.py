@@ -6,54 +6,25 @@ its outputs, cannot clash.
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scholarmill.session import ship
+
 #: Rows of one Arrow batch at most, so that a batch of long texts stays small; the default of 10,000 suits numbers.
 BATCH_ROWS = 256
 
-_SHIPPED: set[str] = set()
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bounds Arrow batches, lets shuffle files go early, and sends this package to executors that do not have it on their path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     # operators write their steps as tables; a step's shuffle files are of no use after it
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    application = spark.sparkContext.applicationId
-    if application not in _SHIPPED:
-        package = Path(__file__).resolve().parents[1]
-        handle, target = tempfile.mkstemp(prefix="scholarmill-", suffix=".zip")
-        with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w") as archive:
-            for path in sorted(package.rglob("*.py")):
-                archive.write(path, path.relative_to(package.parent))
-        spark.sparkContext.addPyFile(target)
-        atexit.register(lambda: os.path.exists(target) and os.unlink(target))
-        _SHIPPED.add(application)
-    return spark
-
-
-@contextmanager
-def settings(spark: SparkSession, held: dict[str, str]) -> Iterator[None]:
-    """Session settings that hold for the jobs run inside, whatever comes of them."""
-    before = {key: spark.conf.get(key, None) for key in held}
-    try:
-        for key, value in held.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return ship(spark)
 
 
 def column(name: str) -> Column:

@@ -9,6 +9,7 @@ into memory and add the base.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from functools import lru_cache
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scholarmill.llm.rows import blocks, texts
+from scholarmill.llm.automata import runs
+from scholarmill.llm.rows import blocks, texts, words_between
 from scholarmill.session import fresh_path, write_once
 
 BLOCK_CHARS = 6_000_000
@@ -42,10 +44,25 @@ LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: Parts of words that are given to the tokenizer as one text.
 TOGETHER = 256
 
+#: White space that separates words for the tokenizer under any reading; words may hold other white space.
+GAPS = np.isin(np.arange(256), list(b" \n\t\r"))
 
-def split(text: str) -> list[str]:
-    """Words between white space that separates for the tokenizer under any reading; they may hold other white space."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+#: How a tokenizer's file must normalise and split for its words to be encoded one by one (fixed values).
+WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def splits_at_white_space(path: str) -> bool:
+    """Whether the tokenizer's file says that no token, added ones included, spans white space or depends on what is beyond it."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    added = [t for t in said.get("added_tokens") or [] if any(t.get(k) for k in ("lstrip", "rstrip", "single_word", "normalized"))
+             or not re.fullmatch(r"<\|\w+\|>", t["content"])]
+    return (said.get("normalizer") == WORD_NORMALIZER and said.get("pre_tokenizer") == WORD_SPLITTER and not added
+            and not said.get("post_processor") and said["model"].get("type") == "BPE" and not said["model"].get("dropout"))
 
 
 def parts(word: str) -> tuple[str, ...]:
@@ -60,9 +77,11 @@ def parts(word: str) -> tuple[str, ...]:
 class Encoder:
     """Ids of whole texts, each distinct word encoded once.
 
-    The tokenizer drops white space and splits letters from signs before any merge, and its normaliser works within
-    words and lower-cases. So a text's ids are those of its words one after the other, and a plain word with signs
-    around it has the ids of the signs, of the lower-cased word, and of the signs.
+    A tokenizer of the kind above drops white space and splits letters from signs before any merge, and its normaliser
+    works within words and lower-cases. So a text's ids are those of its words one after the other, and a plain word with
+    signs around it has the ids of the signs, of the lower-cased word, and of the signs. Words are told apart as Arrow
+    dictionaries and their ids put in place by numpy, so Python sees distinct words only. The texts of any other
+    tokenizer are encoded whole.
     """
 
     def __init__(self, path: str, width: int):
@@ -74,7 +93,9 @@ class Encoder:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.by_words = splits_at_white_space(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[bytes, bytes] = {}
 
     def encode(self, texts_: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)
@@ -100,20 +121,41 @@ class Encoder:
             some = other[at:at + 4096]
             known.update(zip(some, (np.array(found.ids, dtype=self.kind).tobytes() for found in self.encode(some))))
 
-    def block(self, held: list[str]) -> list[bytes]:
-        if len(self.known) > LEXICON_PARTS:
-            self.known = {"": b""}
-        known = self.known
-        words_of = [split(text) for text in held]
-        found = [list(map(known.get, own)) for own in words_of]
-        new = {w for own, ids in zip(words_of, found) if None in ids for w, x in zip(own, ids) if x is None}
-        cut = {w: parts(w) for w in new}
-        self.learn([p for p in set(chain.from_iterable(cut.values())) if p not in known])
-        for w, own in cut.items():
-            if len(own) > 1:
-                known[w] = known[own[0]] + known[own[1]] + known[own[2]]
-        return [b"".join([known[w] if x is None else x for w, x in zip(own, ids)] if None in ids else ids)
-                for own, ids in zip(words_of, found)]
+    def spelled(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        if len(self.words) + len(self.known) > LEXICON_PARTS:
+            self.words, self.known = {}, {"": b""}
+        known = self.words
+        out = list(map(known.get, words))
+        new = [w for w, ids in zip(words, out) if ids is None]
+        cut = [parts(w.decode("utf-8", "surrogatepass")) for w in new]
+        self.learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.known])
+        for w, own in zip(new, cut):
+            known[w] = b"".join(map(self.known.__getitem__, own))
+        return list(map(known.__getitem__, words)) if new else out
+
+    def block(self, held: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)``: the ids of all texts, each with the end id after it, and how many each has."""
+        if self.by_words:
+            raw = [text.encode("utf-8", "surrogatepass") for text in held]
+            words, start = words_between(np.frombuffer(b"\n".join(raw), dtype=np.uint8), GAPS)
+            coded = words.dictionary_encode()
+            spelled = self.spelled(coded.dictionary.to_pylist())
+            length = np.array([len(x) for x in spelled], dtype=np.int64) // self.kind.itemsize
+            begin, word = np.cumsum(length) - length, coded.indices.to_numpy()
+            found = np.frombuffer(b"".join(spelled), dtype=self.kind)[runs(begin[word], length[word])]
+            text_begin = np.append(0, np.cumsum([len(r) + 1 for r in raw]))[:-1]
+            text = np.searchsorted(text_begin, start, side="right") - 1
+            sizes = np.bincount(text, weights=length[word], minlength=len(held)).astype(np.int64) + 1
+        else:
+            whole = [np.array(x.ids, dtype=self.kind) for x in self.encode(held)]
+            found, sizes = np.concatenate(whole), np.array([len(x) + 1 for x in whole], dtype=np.int64)
+        ends = np.cumsum(sizes) - 1
+        out = np.empty(int(sizes.sum()), dtype=self.kind)
+        own = np.ones(len(out), dtype=bool)
+        own[ends] = False
+        out[own], out[ends] = found, end_id
+        return out, sizes
 
 
 @lru_cache(maxsize=2)
@@ -145,16 +187,14 @@ def write(docs: DataFrame, path: str, end_id: int, largest_id: int = 65_535, id_
         for ids, held in blocks(batches, BLOCK_CHARS):
             if store is None:
                 own = encoder(path, width)
-                end = np.array([end_id], dtype=own.kind).tobytes()
                 store, place = pafs.FileSystem.from_uri(folder)
                 store.create_dir(place, recursive=True)
                 at = f"part-{part:06d}-{uuid.uuid4().hex}"
                 out = store.open_output_stream(f"{place}/{at}.bin")
-            encoded = [x + end for x in own.block(held)]
-            out.write(b"".join(encoded))
-            lengths = np.array([len(x) // width for x in encoded], dtype="<i8")
-            offsets.append(total + np.cumsum(lengths))
-            total += int(lengths.sum())
+            encoded, sizes = own.block(held, end_id)
+            out.write(encoded.tobytes())
+            offsets.append(total + np.cumsum(sizes))
+            total += int(sizes.sum())
             keys.append(np.array([NO_ID if k is None else k for k in ids], dtype="<i8"))
         if store is not None:
             out.close()

@@ -85,7 +85,7 @@ def test_single_file_and_empty_table(spark, tmp_path):
 
 
 def test_settings_are_left_as_they_were(spark, tmp_path):
-    from scholarmill.llm.rows import settings
+    from scholarmill.session import settings
 
     with pytest.raises(ZeroDivisionError), settings(spark, {"spark.sql.shuffle.partitions": "3", "spark.some.key": "1"}):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
