@@ -14,6 +14,10 @@ windows that it serves (its context, about a third of ``length`` windows). From
    aggregates, which finds the same repeats.
 
 What is shuffled are anchors and contexts; texts are shuffled twice, to cut out the contexts and to cut the repeats.
+
+A row is known by its id and the hash of its text. Both come from the row itself, so every job, and every attempt of a
+task, finds the same row under the same name, however files are split. Wholly repeated rows share a name; the first of
+them stands for all, and the others repeat it from their first byte to their last.
 """
 
 from __future__ import annotations
@@ -82,8 +86,12 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(row, doc_id, text)`` with a number per row, for rows that repeat an id."""
-    return texts(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    """``(row, doc_id, text)``; ``row`` is the hash of the text, which tells rows of one id apart."""
+    return texts(docs, id_col, text_col).select(F.xxhash64("text").alias("row"), "doc_id", "text")
+
+
+def same_row(left: DataFrame, right: DataFrame) -> Column:
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["row"] == right["row"])
 
 
 def anchored(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -116,14 +124,14 @@ def anchored(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def owner(first: str = "first") -> Column:
-    """What orders the places of a string: smaller id (null first), then row, then place."""
+    """What orders the places of a string: smaller id (null first), then the text's hash, then place."""
     return F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "row", F.col(first).alias("first"))
 
 
 def cut_contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted(doc_id, row, first, n, anchor)`` with the bytes of each context."""
-    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("wanted"))
-    joined = rows.join(by_row.hint("shuffle_hash"), "row").select("row", "doc_id", "text", "wanted")
+    by_row = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("wanted"))
+    joined = rows.join(by_row.hint("shuffle_hash"), same_row(rows, by_row)).select(rows["row"], rows["doc_id"], "text", "wanted")
     schema = pa.schema([("anchor", pa.int64()), ("doc_id", arrow_type(rows, "doc_id")), ("row", pa.int64()), ("first", pa.int32()),
                         ("n", pa.int32()), ("bytes", pa.binary())])
 
@@ -145,39 +153,46 @@ def cut_contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 
 def sorted_repeats(contexts: DataFrame, length: int, block_bytes: int) -> DataFrame:
-    """``(row, first, last)``: runs of windows in ``contexts`` that also start earlier, by suffix sorting per anchor."""
-    schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+    """``(doc_id, row, first, last)``: runs of windows in ``contexts`` that also start earlier, by suffix sorting per anchor."""
+    schema = pa.schema([("doc_id", arrow_type(contexts, "doc_id")), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
     def found(held):
         """``held``: (doc_id, row, first, n, bytes) of whole anchors, together one text."""
-        rows_ = np.array([h[1] for h in held])
         first = np.array([h[2] for h in held])
         # the rank of each context's row among the ids; places decide within a row
         order = sorted(range(len(held)), key=lambda i: (held[i][0] is not None, held[i][0] or 0, held[i][1]))
         rank = np.empty(len(held), dtype=np.int64)
         at = 0
         for k, i in enumerate(order):
-            at += k > 0 and held[i][1] != held[order[k - 1]][1]
+            at += k > 0 and held[i][:2] != held[order[k - 1]][:2]
             rank[i] = at
         number, string, place = shared_windows([h[4] for h in held], np.array([h[3] for h in held]), length)
         place = place + first[string]
         by = np.lexsort((place, rank[string], number))
         later = np.append(False, number[by][1:] == number[by][:-1])[:len(by)]
-        row, place = rows_[string[by[later]]], place[by[later]]
-        by = np.lexsort((place, row))
-        row, place = row[by], place[by]
-        new = np.append(True, (row[1:] != row[:-1]) | (place[1:] > place[:-1] + 1))[:len(row)]
-        last = np.append(new[1:], True)[:len(row)]
-        return pa.RecordBatch.from_arrays([pa.array(row[new]), pa.array(place[new].astype(np.int32)), pa.array(place[last].astype(np.int32))], schema=schema)
+        string, place = string[by[later]], place[by[later]]
+        own = rank[string]
+        by = np.lexsort((place, own))
+        string, own, place = string[by], own[by], place[by]
+        new = np.append(True, (own[1:] != own[:-1]) | (place[1:] > place[:-1] + 1))[:len(own)]
+        last = np.append(new[1:], True)[:len(own)]
+        of = [held[i] for i in string[new].tolist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([h[0] for h in of], schema.field(0).type), pa.array([h[1] for h in of], pa.int64()),
+             pa.array(place[new].astype(np.int32)), pa.array(place[last].astype(np.int32))], schema=schema)
 
     def run(batches):
-        held, size, key = [], 0, None
+        held, size, key, seen = [], 0, None, set()
         for batch in batches:
             for anchor, *own in zip(*(c.to_pylist() for c in batch.columns)):
                 if anchor != key and size >= block_bytes:
                     yield found(held)
                     held, size = [], 0
-                key = anchor
+                if anchor != key:
+                    key, seen = anchor, set()
+                if (place := tuple(own[:3])) in seen:
+                    continue  # of a wholly repeated row
+                seen.add(place)
                 held.append(own)
                 size += len(own[-1])
         if held:
@@ -185,7 +200,7 @@ def sorted_repeats(contexts: DataFrame, length: int, block_bytes: int) -> DataFr
 
     # an anchor has CROWD contexts at most here
     return contexts.select("anchor", "doc_id", "row", "first", "n", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        run, "row bigint, first int, last int")
+        run, f"doc_id {fields(contexts, 'doc_id')}, row bigint, first int, last int")
 
 
 def crowded_repeats(contexts: DataFrame, length: int) -> DataFrame:
@@ -194,11 +209,11 @@ def crowded_repeats(contexts: DataFrame, length: int) -> DataFrame:
         F.substring("bytes", F.col("i") + 1, F.lit(length)).alias("window"), "doc_id", "row", (F.col("first") + F.col("i")).alias("first"))
     earliest = windows.groupBy("window").agg(F.min(owner()).alias("least"), F.count("*").alias("n")).filter("n > 1").select("window", "least")
     later = windows.join(earliest, "window").filter(F.col("least") < owner())
-    return later.select("row", "first", F.col("first").alias("last"))
+    return later.select("doc_id", "row", "first", F.col("first").alias("last"))
 
 
 def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(row, first, last)``: runs of starts of windows that also start earlier; runs of a row may touch or overlap."""
+    """``(doc_id, row, first, last)``: runs of starts of windows that also start earlier; runs of a row may touch or overlap."""
     every = anchored(rows, length, gram)
     # written first, here and below: a join of two plain shuffles lets the planner split an anchor that has many rows
     repeated = write_once(every.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeated-anchors")
@@ -207,7 +222,7 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int
     grouped = places.groupBy("anchor", "context").agg(F.min(F.struct(owner().alias("at"), "n")).alias("least"))
     firsts = write_once(grouped.select("anchor", "context", F.col("least.at").alias("least"), F.col("least.n").alias("n")), "contexts")
     copies = places.join(firsts.select("anchor", "context", "least"), ["anchor", "context"]).filter(F.col("least") < owner())
-    whole = write_once(copies.select("row", "first", (F.col("first") + F.col("n") - 1).alias("last")), "whole-repeats")
+    whole = write_once(copies.select("doc_id", "row", "first", (F.col("first") + F.col("n") - 1).alias("last")), "whole-repeats")
     several = write_once(firsts.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "several-contexts")
     wanted = firsts.join(several, "anchor").select("anchor", "contexts", F.col("least.doc_id").alias("doc_id"), F.col("least.row").alias("row"),
                                                    F.col("least.first").alias("first"), "n")
@@ -228,12 +243,23 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 
     Each byte goes that is covered by a string of ``length`` bytes which also starts earlier: in a smaller id, or before
     it in the same text. ``spans`` are the maximal removed runs, ``last`` exclusive; strings are judged on the input.
-    Null ids count as the smallest; rows that repeat an id follow one another in their order. Null and empty texts have
-    no bytes. ``kept`` may cut through a character.
+    Null ids count as the smallest; rows of one id follow one another by the hashes of their texts; of wholly repeated
+    rows all but one repeat that one. Null and empty texts have no bytes. ``kept`` may cut through a character.
     """
     rows = keyed(docs, id_col, text_col)
-    runs = repeats(rows, length, gram, crowd, block_bytes).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    joined = rows.join(runs.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "runs")
+    # no rows where ids are unique, so the planner sends them to the texts and not the texts to them
+    repeated = write_once(rows.groupBy("doc_id", "row").count().filter("count > 1").select("doc_id", "row"), "repeated-rows")
+    runs = repeats(rows, length, gram, crowd, block_bytes).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    joined = rows.join(runs.hint("shuffle_hash"), same_row(rows, runs), "left").select(rows["doc_id"], rows["row"], "text", "runs")
+    same = joined["doc_id"].eqNullSafe(repeated["doc_id"]) & (joined["row"] == repeated["row"])
+    everything = F.array(F.struct(F.lit(0).alias("first"), (F.octet_length("text") - length).alias("last")))
+    # written, so that each has one number whatever is computed again; the least stands for its like
+    several = write_once(joined.join(repeated, same, "left_semi").withColumn("number", F.monotonically_increasing_id()), "numbered-rows")
+    least = several.groupBy(F.col("doc_id").alias("of_id"), F.col("row").alias("of_row")).agg(F.min("number").alias("least"))
+    again = F.when((F.col("number") > F.col("least")) & (F.octet_length("text") >= length), everything).otherwise(F.col("runs"))
+    several = several.join(least, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("row") == F.col("of_row"))).select(
+        "doc_id", "text", again.alias("runs"))
+    joined = joined.join(repeated, same, "left_anti").select("doc_id", "text", "runs").union(several)
     span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     schema = pa.schema([("doc_id", arrow_type(rows, "doc_id")), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 

@@ -6,6 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scholarmill.llm import repeats
 from scholarmill.llm.suffixes import Text, shared_windows
@@ -99,9 +100,31 @@ def test_documents_and_empty_table(spark):
     assert repeats.remove(frame.filter("false")).count() == 0
 
 
+def test_changed_splits_and_order_change_nothing(spark, monkeypatch, tmp_path):
+    """Files are split anew for every step, and rows come in another order, as when executors come and go."""
+    docs = fixture_docs(100)
+    frame = spark.createDataFrame([(k, t) for k, t in docs], "doc_id long, text string")
+    frame.repartition(16).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "t"))
+    sizes, kept = iter([2048, 1 << 27, 5000, 900, 1 << 20] * 9), repeats.write_once
+
+    def elsewhere(*args, **kw):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(next(sizes)))
+        spark.conf.set("spark.sql.files.openCostInBytes", str(next(sizes)))
+        return kept(*args, **kw)
+
+    monkeypatch.setattr(repeats, "write_once", elsewhere)
+    try:
+        for rows in (spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "t")).orderBy(F.rand())):
+            found = repeats.digests(repeats.remove(rows, crowd=3)).collect()
+            assert {r.doc_id: tuple(r)[1:] for r in found} == brute(docs, 100) and len(found) == len(docs)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_repeated_ids(spark):
     draw = random.Random(3)
     text = "".join(draw.choice("abcdef ") for _ in range(250))
-    frame = spark.createDataFrame([(5, text), (5, text), (None, text[:120])], "doc_id long, text string").coalesce(1)
+    frame = spark.createDataFrame([(5, text), (5, text), (5, text), (5, "tiny"), (5, "tiny"), (None, text[:120])], "doc_id long, text string").coalesce(1)
     found = sorted(repeats.digests(repeats.remove(frame)).collect(), key=lambda r: (str(r.doc_id), r.n_removed))
-    assert [(r.doc_id, r.n_removed) for r in found] == [(5, 120), (5, 250), (None, 0)]
+    assert [(r.doc_id, r.n_removed) for r in found] == [(5, 0), (5, 0), (5, 120), (5, 250), (5, 250), (None, 0)]
