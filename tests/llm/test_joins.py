@@ -57,17 +57,20 @@ def test_licences(spark):
     assert [r.n_base for r in licences.digests(licences.scan(twice)).collect()] == [1, 1]
 
 
-def test_licence_notices_with_an_edit(spark, monkeypatch):
-    """Each notice with each word changed, removed, and one inserted; the words that name the licence must stay."""
+SHORT = [(label, text) for label, text in licences.NOTICES if (label, text) not in licences.BODIES]
+
+
+def test_licence_notices_with_an_edit(spark):
+    """Each short notice with each word changed, removed, and one inserted; the words that name the licence must stay."""
     cases = []
-    for label, notice in licences.NOTICES:
+    for label, notice in SHORT:
         own = notice.split()
         cases.append((" ".join(own), label, True))
         for i, word in enumerate(own):
-            names = word in (*licences.NAMES, *licences.VERSIONS)
+            names = word in licences.NAMES or (word in licences.VERSIONS and any(w in licences.NAMES for w in own))
             cases += [(" ".join([*own[:i], *new, *own[i + 1:]]), label, not names) for new in (["zzz"], [])]
             cases.append((" ".join([*own[:i], "zzz", *own[i:]]), label, True))
-    long = licences.NOTICES[1][1]
+    long = SHORT[1][1]
     cases += [
         ("This program is licensed under the GNU General Public License, version 3", "gpl-3", True),
         ("this work is licensed under the gnu general public license version 3", "gpl-2", False),
@@ -83,9 +86,119 @@ def test_licence_notices_with_an_edit(spark, monkeypatch):
     wrong = [case for i, case in enumerate(cases) if (case[1] in found[i].labels) != case[2]]
     assert wrong == []
     assert found[0].score == 1
-    few = spark.createDataFrame(rows[:60], "doc_id long, text string")
-    monkeypatch.setattr(licences, "SENT_CHARS", 0)  # templates that are shuffled
-    assert {r.doc_id: r for r in licences.scan(few).collect()} == {i: found[i] for i in range(60)}
+
+
+def test_whole_licences_with_edits_anywhere(spark):
+    """Bodies and headers, as often edited as they may be: words changed, removed, inserted one by one and all together."""
+    draw = random.Random(8)
+    names = {*licences.NAMES, *licences.VERSIONS}
+    rows, expected = [], []
+
+    def add(label, words, edits, n):
+        rows.append((len(rows), " ".join(["zzz"] * draw.randint(0, 300) + words + ["yyy"] * draw.randint(0, 300))))
+        expected.append((label, 1 - edits / n))
+
+    for label, text in licences.BODIES:
+        own = words_of(text)
+        n = len(own)
+        most = n // licences.WORDS_AN_EDIT
+        add(label, own, 0, n)
+        free = [i for i, w in enumerate(own) if w not in names]
+        changed = set(draw.sample(free, most))
+        add(label, [f"q{i}" if i in changed else w for i, w in enumerate(own)], most, n)
+        add(label, [w for i, w in enumerate(own) if i not in changed], most, n)
+        at = draw.randint(n // 3, n // 2)
+        add(label, own[:at] + [f"new{i}" for i in range(most)] + own[at:], most, n)
+        add(None, [f"q{i}" if i in changed or i in free[:3 * most] else w for i, w in enumerate(own)], 0, n)
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for i, (label, least) in enumerate(expected):
+        if label is not None:
+            assert label in found[i].labels and found[i].score >= least - 1e-9, (i, label, found[i])
+        else:
+            assert found[i].score < 0.99
+
+
+def brute_edits(template, words, names, others):
+    """Least edits to any stretch of words, by the textbook table."""
+    far = 10 ** 6
+    best = far
+    for begin in range(len(words) + 1):
+        row = [j if not any(w in others for w in words[begin:begin + j]) else far for j in range(len(words) - begin + 1)]
+        for w in template:
+            new = [far if w in names else row[0] + 1]
+            for j, x in enumerate(words[begin:], 1):
+                change = row[j - 1] + (0 if x == w else far if w in names else 1)
+                new.append(far if x in others else min(change, far if w in names else row[j] + 1, new[j - 1] + 1))
+            row = new
+        best = min(best, *row)
+    return best if best < far else None
+
+
+def brute_share(template, words, k, edits):
+    votes = {}
+    for i in range(len(words) - k + 1):
+        for j in range(len(template) - k + 1):
+            if words[i:i + k] == template[j:j + k]:
+                votes[i - j] = votes.get(i - j, 0) + 1
+    groups, last = [], None
+    for d in sorted(votes):
+        if last is None or edits is None or d - last > max(licences.GAP, edits):
+            groups.append(0)
+        groups[-1] += votes[d]
+        last = d
+    return min(0.99, max(groups, default=0) / (len(template) - k + 1))
+
+
+def test_votes_and_score_equal_brute_force(spark):
+    draw = random.Random(9)
+    alphabet = ["mit", "bsd", "a", "b", "c", "d", "e", "2"]
+    notices = [("x", "a b c d e a c b mit 2"), ("y", "a a b a c"), ("z", "b"), ("long", " ".join(draw.choices("abcdefghij", k=30))), ("none", "...")]
+    phrases = [("p", "a b"), ("q", "c")]
+    rows = []
+    for i in range(220):
+        words = draw.choices(alphabet, k=draw.randint(0, 14))
+        if i % 3:
+            own = draw.choice(notices)[1].split()
+            for _ in range(draw.randint(0, 3)):
+                at = draw.randrange(len(own))
+                own[at:at + draw.randint(0, 1)] = draw.choices(alphabet, k=draw.randint(0, 1))
+                own = own or ["a"]
+            at = draw.randint(0, len(words))
+            words[at:at] = own
+        rows.append((i, " ".join(words)))
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), phrases=phrases,
+                                                notices=notices).collect()}
+    for i, text in rows:
+        words = text.split()
+        labels = {label for label, phrase in phrases for at in range(len(words)) if words[at:at + len(phrase.split())] == phrase.split()}
+        best, share = (1.0 if labels else 0.0), 0.0
+        for label, notice in [*phrases, *notices[:4]]:
+            own = notice.split()
+            exact = (label, notice) in phrases
+            edits = 0 if exact else len(own) // licences.WORDS_AN_EDIT
+            k = 4 if len(own) >= licences.LONG else 2 if len(own) > 1 else 1
+            share = max(share, brute_share(own, words, k, None if exact else edits))
+            named = set(own) & set(licences.NAMES)
+            names = named | (set(own) & set(licences.VERSIONS) if named else set())
+            least = None if exact else brute_edits(own, words, names, set(licences.NAMES) - set(own))
+            if least is not None and least <= edits:
+                labels.add(label)
+                best = max(best, 1 - least / len(own))
+        assert found[i].labels == sorted(labels), text
+        assert found[i].score == pytest.approx(best or share), text
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    import time
+
+    seconds = []
+    for n in (40_000, 40_000, 160_000):
+        text = " ".join(random.Random(n).choices(["of", "the", "software", "mit", "license", "under", "is", "a", *map(str, range(50))], k=n))
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert licences.scan(frame).first().n_words == n
+        seconds.append(time.perf_counter() - start)
+    assert seconds[2] < 6 * seconds[1]
 
 
 ODD_PARTS = ["a", "aa", "The", " ", "  ", "\n", "\x1c", "\x85", "\xa0", "é", "É", "́", "Σ", "ΟΔΟΣ", "中", "😀", "'s", "don't",
@@ -122,6 +235,19 @@ def test_token_files(spark):
     assert tokenfiles.read(tokenfiles.write(frame.filter("false"), WORDS, end_id=1)).count() == 0
 
 
+def test_tokenizers_that_do_not_split_at_white_space_see_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    other = P.path("byte_bpe_50k.json")
+    assert tokenfiles.splits_at_white_space(WORDS) and not tokenfiles.splits_at_white_space(other)
+    texts = ["", "two  words\nand a line", *documents()[:20]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.ids for r in tokenfiles.read(tokenfiles.write(frame, other, end_id=50_256)).collect()}
+    library = Tokenizer.from_file(other)
+    for i, text in enumerate(texts):
+        assert found[i] == np.array([*library.encode(text, add_special_tokens=False).ids, 50_256], dtype="<u4").tobytes()
+
+
 def brute_vectors(rows, least):
     links = {r[0]: set() for r in rows}
     usable = [(k, label, np.array(v, dtype=np.float64)) for k, v, label in rows
