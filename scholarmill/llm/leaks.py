@@ -5,26 +5,32 @@ alike, so that an occurrence of the bytes is an occurrence of the words. For the
 table says, for a block of bytes, how far the search may jump since no pattern has that block nearer to its end; where
 the jump is zero, the bucket of the block's patterns is compared directly.
 
-Patterns are taken to the documents, never the other way round: no text is shuffled. They are dealt into groups of at
-most ``GROUP_BYTES``, counted before anything is sent, and the documents pass through one search per group.
+Patterns are taken to the documents, never the other way round: no text is shuffled. They are numbered and written as
+files, a folder for each group of about ``GROUP_BYTES``; a task reads the groups one after the other, each for a block
+of texts, and gives back numbers of windows. Which items hold a window is joined in Spark afterwards, once for every set
+of windows that occurs, so neither many patterns nor a window that very many items share passes through the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.llm.rows import arrow_type, column, fields, prepare, texts
-from scholarmill.session import write_once
+from scholarmill.session import fresh_path, write_once
 
 WINDOW_WORDS = 10
 
-#: Bytes of patterns that are sent to the executors at once.
-GROUP_BYTES = 8_000_000
+#: Bytes of patterns that a task searches for at once, and bytes of texts that it holds meanwhile.
+GROUP_BYTES, BLOCK_BYTES = 2_000_000, 32_000_000
 
 #: Upper ends of the pattern lengths searched together; short patterns would shorten the jumps of long ones.
 LENGTH_CLASSES = (8, 24, 48)
@@ -108,8 +114,18 @@ def search_words(words: list[bytes], own: list[Search]) -> tuple[list[tuple[int,
     return runs(marked), seen
 
 
-def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", k: int = WINDOW_WORDS) -> DataFrame:
-    """``(pattern binary, items array<string>)``: each window once, with the items that hold it."""
+@dataclass(frozen=True)
+class Patterns:
+    """Numbered windows as files, a folder per group, and ``holders(number, item)``."""
+
+    folder: str
+    groups: int
+    holders: DataFrame
+
+
+def write_patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", k: int = WINDOW_WORDS,
+                   group_bytes: int = GROUP_BYTES) -> Patterns:
+    spark = prepare(benchmark.sparkSession)
     rows = texts(benchmark, id_col, text_col).filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("string").alias("item"), "text")
     schema = pa.schema([("item", pa.string()), ("pattern", pa.binary())])
 
@@ -121,19 +137,45 @@ def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()),
                                               pa.array([x[1] for x in out], pa.binary())], schema=schema)
 
-    return rows.mapInArrow(run, "item string, pattern binary").groupBy("pattern").agg(F.collect_set("item").alias("items"))
-
-
-def grouped(benchmark: DataFrame, k: int, group_bytes: int) -> list[Broadcast]:
-    """The patterns as broadcasts of about ``group_bytes`` at most each, one at least."""
-    spark = prepare(benchmark.sparkSession)
-    known = write_once(patterns(benchmark, k=k), "patterns")
-    total = known.agg(F.sum(F.length("pattern") + F.aggregate("items", F.lit(0), lambda n, x: n + F.length(x)))).first()[0]
+    held = write_once(rows.mapInArrow(run, "item string, pattern binary").distinct(), "windows")
+    known = write_once(held.select("pattern").distinct().withColumn("number", F.monotonically_increasing_id()), "patterns")
+    total = known.agg(F.sum(F.octet_length("pattern"))).first()[0]
     groups = -(-(total or 0) // group_bytes) or 1
-    part = F.pmod(F.xxhash64("pattern"), F.lit(groups))
-    # the sum above bounds what one group collects and sends
-    return [spark.sparkContext.broadcast({bytes(r.pattern): list(r["items"]) for r in known.filter(part == g).toLocalIterator()})
-            for g in range(groups)]
+    folder = fresh_path(spark, "pattern-groups")
+    known.withColumn("group", F.pmod(F.xxhash64("pattern"), F.lit(groups)).cast("int")).hint("rebalance", "group").write.partitionBy(
+        "group").parquet(folder)
+    return Patterns(folder, groups, write_once(held.join(known, "pattern").select("number", "item"), "window-items"))
+
+
+@lru_cache(maxsize=1)
+def group_of(folder: str, group: int) -> tuple[dict[bytes, int], list[Search]]:
+    """The numbers of a group's patterns, and its searches."""
+    store, place = pafs.FileSystem.from_uri(folder)
+    own = f"{place}/group={group}"
+    if store.get_file_info(own).type == pafs.FileType.NotFound:
+        return {}, []
+    files = [f.path for f in store.get_file_info(pafs.FileSelector(own)) if f.path.endswith(".parquet")]
+    numbers: dict[bytes, int] = {}
+    for path in sorted(files):
+        with store.open_input_file(path) as file:
+            held = pq.read_table(file, columns=["pattern", "number"])
+        numbers.update(zip(held.column("pattern").to_pylist(), held.column("number").to_pylist()))
+    return numbers, searches(numbers)
+
+
+def held_blocks(batches, text_at: int) -> Iterator[list[list]]:
+    """Columns of rows whose texts are about ``BLOCK_BYTES`` together."""
+    held: list[list] = []
+    total = 0
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        held = [a + b for a, b in zip(held, columns)] if held else columns
+        total += sum(len(t or "") for t in columns[text_at])
+        if total >= BLOCK_BYTES:
+            yield held
+            held, total = [], 0
+    if held and held[0]:
+        yield held
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -145,35 +187,37 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     strings. Null and empty texts have no words; items without an id or without words are left out; an empty benchmark
     hits nothing; repeated rows stay.
     """
-    sent_groups = grouped(benchmark, k, group_bytes)
-    rows = texts(docs, id_col, text_col).withColumns({
-        "n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<first:bigint,last:bigint>>"),
-        "items": F.array().cast("array<string>")})
-    key = arrow_type(rows, "doc_id")
+    known = write_patterns(benchmark, k=k, group_bytes=group_bytes)
+    folder, groups = known.folder, known.groups
+    rows = texts(docs, id_col, text_col)
     span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-    kinds = {"doc_id": (key, fields(rows, "doc_id")), "text": (pa.string(), "string"), "n_words": (pa.int64(), "bigint"),
-             "spans": (span, "array<struct<first:bigint,last:bigint>>"), "items": (pa.list_(pa.string()), "array<string>")}
-    for group, sent in enumerate(sent_groups):
-        names = [n for n in kinds if n != "text" or group < len(sent_groups) - 1]
-        schema = pa.schema([(n, kinds[n][0]) for n in names])
-
-        def run(batches, sent=sent, names=names, schema=schema):
-            items_of = sent.value
-            own = searches(items_of)
-            for batch in batches:
-                held = batch.to_pydict()
-                for i, text in enumerate(held["text"]):
-                    words = words_of(text)
-                    marked, seen = search_words(words, own)
-                    held["n_words"][i] = len(words)
-                    if marked:
-                        before = [(s["first"], s["last"]) for s in held["spans"][i]]
-                        held["spans"][i] = [{"first": a, "last": b} for a, b in runs(before + marked)]
-                        held["items"][i] = sorted(set(held["items"][i]).union(*(items_of[p] for p in seen)))
-                yield pa.RecordBatch.from_pydict({n: held[n] for n in names}, schema=schema)
-
-        rows = rows.mapInArrow(run, ", ".join(f"{n} {kinds[n][1]}" for n in names))
-    return rows
+    schema = pa.schema([("doc_id", arrow_type(rows, "doc_id")), ("n_words", pa.int64()), ("spans", span), ("windows", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for ids, held in held_blocks(batches, 1):
+            words = [words_of(text) for text in held]
+            marked: list[list] = [[] for _ in ids]
+            seen: list[list] = [[] for _ in ids]
+            for group in range(groups):
+                numbers, own = group_of(folder, group)
+                for i, w in enumerate(words):
+                    spans, occurring = search_words(w, own)
+                    marked[i] += spans
+                    seen[i] += map(numbers.__getitem__, occurring)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, schema.field(0).type), pa.array([len(w) for w in words], pa.int64()),
+                 pa.array([[{"first": a, "last": b} for a, b in runs(m)] for m in marked], span),
+                 pa.array([sorted(x) for x in seen], pa.list_(pa.int64()))], schema=schema)
+
+    found = write_once(rows.mapInArrow(
+        run, f"doc_id {fields(rows, 'doc_id')}, n_words bigint, spans array<struct<first:bigint,last:bigint>>, windows array<bigint>"), "leaks")
+    hit = found.filter(F.size("windows") > 0)
+    # each set of windows meets its items once, however many documents have it
+    sets = hit.select("windows").distinct()
+    items = write_once(sets.select("windows", F.explode("windows").alias("number")).join(known.holders, "number").groupBy("windows").agg(
+        F.sort_array(F.collect_set("item")).alias("items")), "items-of-windows")
+    clear = found.filter(F.size("windows") == 0).select("doc_id", "n_words", "spans", F.array().cast("array<string>").alias("items"))
+    return hit.join(items, "windows").select("doc_id", "n_words", "spans", "items").union(clear)
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -187,13 +231,17 @@ def digests(found: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", k: int = WINDOW_WORDS,
           group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Rows of ``docs`` without any hit word; all columns stay, and no text is shuffled."""
-    for sent in grouped(benchmark, k, group_bytes):
-
-        @F.pandas_udf("boolean", F.PandasUDFType.SCALAR_ITER)
-        def free(batches, sent=sent):
-            own = searches(sent.value)
-            for held in batches:
-                yield held.map(lambda text: text is None or not search_words(words_of(text), own)[0]).astype(bool)
-
-        docs = docs.filter(free(column(text_col)))
-    return docs
+    known = write_patterns(benchmark, k=k, group_bytes=group_bytes)
+    folder, groups = known.folder, known.groups
+
+    @F.pandas_udf("boolean")
+    def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts_ in batches:
+            words = [words_of(text or "") for text in texts_]
+            hit = [False] * len(words)
+            for group in range(groups):
+                own = group_of(folder, group)[1]
+                hit = [h or bool(search_words(w, own)[0]) for h, w in zip(hit, words)]
+            yield pd.Series([not h for h in hit], dtype=bool)
+
+    return docs.filter(free(column(text_col)))

@@ -39,9 +39,10 @@ EXCLUDED = re.compile(
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|[0-9+/_=-]+(?:T[0-9+/_=-]+)?Z?)")
 
-#: Groups of letters joined by signs, with or without numbers, and the fewest letters that are judged.
+#: Groups of letters joined by signs, with or without numbers. With fewer letters than these, the groups of a key are
+#: judged, letters and numbers alike, if they have as many characters together.
 JOINED = re.compile(r"(?:[A-Za-z][a-z]*|[A-Z]+)(?:[_/+=-]+(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]{1,4}))+[_/+=-]*")
-LETTERS, LEAST_LETTERS = re.compile(r"[A-Za-z]+"), 12
+LETTERS, KEY_GROUPS, LEAST_LETTERS = re.compile(r"[A-Za-z]+"), re.compile(r"[A-Za-z0-9]{4,}"), 12
 
 
 def either_case(word: str) -> str:
@@ -66,6 +67,8 @@ def strange(string: str, encoding) -> bool:
     if EXCLUDED.fullmatch(string):
         return False
     parts = LETTERS.findall(string) if JOINED.fullmatch(string) else [string]
+    if sum(map(len, parts)) < LEAST_LETTERS:
+        parts = KEY_GROUPS.findall(string)
     n = sum(map(len, parts))
     if n < LEAST_LETTERS:
         return False

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import inspect
+import math
 import random
 import re
 import zlib
@@ -143,10 +144,14 @@ def test_random_letters_are_strange():
     for letters in (lower, upper):
         assert share(lambda: "-".join(key(letters, 5) for _ in range(5))) > 0.8
     assert share(lambda: key(upper, 16)) > 0.9 and share(lambda: key(lower, 16)) > 0.7 and share(lambda: key(both, 16)) > 0.95
+    # groups of letters and of digits in turn
+    digits = "0123456789"
+    assert share(lambda: "-".join(key(c, 4) for c in (upper, digits, upper, digits))) > 0.6
+    assert secrets.strange("QXZJ-9183-KWVP-2047", encoding)
     ordinary = """internationalization responsibilities counterrevolutionary incomprehensibility Wahrscheinlichkeitsrechnung
         Donaudampfschifffahrtsgesellschaft anticonstitutionnellement electroencephalogram RECHTSSCHUTZVERSICHERUNG
         getUserNameFromRequestHeader AbstractSingletonProxyFactoryBean some_long_identifier_name_here MAX_CONNECTION_RETRY_COUNT
-        state-of-the-art well-known-example-of-words is-it-on-or-by-us-at section-1-2-3-4-5-6 2024-01-15T10-20-30Z
+        state-of-the-art well-known-example-of-words is-it-on-or-by-us-at section-1-2-3-4-5-6 part-2024-0115-version table_2019_2020_v3 page-10-of-20-in-all 2024-01-15T10-20-30Z
         4720863463904856 1234-5678-9012-3456 123e4567-e89b-12d3-a456-426614174000 --------------------"""
     assert [x for x in ordinary.split() if secrets.strange(x, encoding)] == []
 
@@ -194,8 +199,22 @@ def test_leaks_equal_brute_force(spark, group_bytes):
         r = out[None if i == 5 else i]
         assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(seen), hit > 0), text
         assert r.items_sha256 == hashlib.sha256(",".join(seen).encode()).hexdigest()
+    kept = {r.doc_id for r in leaks.clean(frame(spark, docs), bench, group_bytes=group_bytes).collect()}
+    assert kept == {None if i == 5 else i for i, text in enumerate(docs) if not out[None if i == 5 else i].contaminated}
     none = by_id(leaks.find(frame(spark, docs), bench.filter("false")))
     assert all(not r.spans for r in none.values())
+    assert leaks.find(frame(spark, docs).filter("false"), bench).count() == 0 and leaks.clean(frame(spark, docs).filter("false"), bench).count() == 0
+
+
+def test_a_window_that_all_items_share(spark):
+    """Hundreds of items around one passage: documents carry the window's number, and its items meet it once."""
+    passage = "one two three four five six seven eight nine ten"
+    items = [(i, f"q{i} " * (i % 3) + passage + f" z{i}" * (i % 5)) for i in range(600)]
+    docs = [(i, f"start {i} {passage} end") for i in range(40)] + [(99, passage[:-4])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = {r.doc_id: r for r in leaks.find(spark.createDataFrame(docs, "doc_id long, text string"), bench, group_bytes=500).collect()}
+    assert [sorted(map(int, out[i]["items"])) for i in range(40)] == [list(range(600))] * 40 and not out[99]["items"]
+    assert out[0].spans == [(2, 12)] and len(out) == 41
 
 
 def test_language(spark):
@@ -213,6 +232,56 @@ def test_language(spark):
     assert odd[3].lang_pred in model.langs and 0 <= odd[3].score <= 1
 
 
+def brute_language(model, text):
+    """The nearest centroid in plain Python: grams in a dictionary, sums over its entries."""
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0, True
+    raw = bytes(c if 97 <= c <= 122 or c > 127 else c + 32 if 65 <= c <= 90 else 32 for c in f" {text.lower()} ".encode())
+    counts = {}
+    for size in (2, 3):
+        for at in range(len(raw) - size + 1):
+            number = int.from_bytes(raw[at:at + size], "big") + ((1 << 24) if size == 2 else 0)
+            bucket = (number * 2654435761 % (1 << 32)) >> (32 - lang.BITS)
+            counts[bucket] = counts.get(bucket, 0) + 1
+    weights = {b: math.log1p(n) * float(model.idf[b]) for b, n in counts.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values()))
+    cosines = [sum(w * float(centre[b]) for b, w in weights.items()) / norm for centre in model.centres]
+    best = max(range(len(cosines)), key=lambda i: (round(cosines[i], 5), -i))
+    return model.langs[best], cosines[best], cosines[best] < lang.REJECT_SHARE * model.least[best][len(counts).bit_length()]
+
+
+def test_predictions_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = lang.fit(docs.filter(~lang.held_out()), fit_rows=30)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()] + ["", "a", "É", "12 a", "zzz qqq xxx", "😀 the end", "the " * 500]
+    out = by_id(lang.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model))
+    for i, text in enumerate(texts):
+        name, score, rejected = brute_language(model, text)
+        assert out[i].lang_pred == name and out[i].rejected == rejected, text
+        assert out[i].score == pytest.approx(min(max(score, 0), 1), abs=1e-5)
+
+
+def test_long_and_missing_texts(spark):
+    """A text of two million characters, and tables without rows, in every operator that searches texts."""
+    long = ("the quick brown fox jumps over the lazy dog and runs " * 38_000)[:2_000_000]
+    tail = " password=abcdef123 one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, long + tail), (2, None)], "doc_id long, text string")
+    none = docs.filter("false")
+    bench = spark.createDataFrame([(7, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    found = by_id(secrets.scan(docs, RANKS, P.PATTERN))
+    assert [(s.kind, s.start) for s in found[1].spans] == [("assign", len(long) + 1)] and found[2].spans == []
+    leaked = by_id(leaks.find(docs, bench))
+    assert leaked[1].n_words == len(words(long + tail)) and leaked[1]["items"] == ["7"] and leaked[2].n_words == 0
+    known = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = lang.fit(known.filter(~lang.held_out()), fit_rows=30)
+    assert by_id(lang.predict(docs, model))[2].lang_pred == "und" and by_id(lang.predict(docs, model))[1].lang_pred in model.langs
+    piece = P.path("piece_bpe_32k.model")
+    whole = by_id(counts.count(docs, piece))
+    assert whole[1].n_bytes == len(long + tail) and whole[1].n_tokens > 300_000 and whole[2].n_tokens == 0
+    assert [f(none).count() for f in (lambda d: secrets.scan(d, RANKS, P.PATTERN), lambda d: leaks.find(d, bench), lambda d: lang.predict(d, model),
+                                      lambda d: counts.count(d, piece))] == [0] * 4
+
+
 FINNISH = (
     "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja "
     "heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin "
