@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 
 from scholarmill.llm.components import components
 from scholarmill.llm.rows import column, prepare
-from scholarmill.session import write_once
+from scholarmill.session import settings, write_once
 
 LEAST_COSINE = 0.98
 
 #: Documented bound of the sample that the principal axes come from; leading axes used; vectors of a block and of a leaf.
-AXIS_ROWS, AXES, BLOCK_ROWS, LEAF_ROWS = 20_000, 4, 256, 32
+#: A block goes to every block near it, so blocks are large; within a pair of them halving skips what is apart.
+AXIS_ROWS, AXES, BLOCK_ROWS, LEAF_ROWS = 20_000, 4, 2048, 32
+
+#: Rows of two blocks each that Arrow hands over at once.
+TOGETHER = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4"}
 
 
 def usable(embedding: Column) -> Column:
@@ -44,6 +48,19 @@ def units(lists: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def element(classes: DataFrame) -> np.dtype:
+    """What a component is sent as: single precision where the vectors come so, else double."""
+    kind = classes.schema["embedding"].dataType.elementType.simpleString()
+    return np.dtype("<f4" if kind == "float" else "<f8")
+
+
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    """The same for rows of one length."""
+    rows = vectors.astype(np.float64)
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+
+
 def principal_axes(classes: DataFrame, n: int) -> dict[int, np.ndarray]:
     """For each length of vectors the leading axes of a sample, as rows."""
     share = min(1.0, AXIS_ROWS / max(1, n))
@@ -66,11 +83,13 @@ def principal_axes(classes: DataFrame, n: int) -> dict[int, np.ndarray]:
 def placed(classes: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataFrame:
     """Classes with their cells and coordinates along the axes; missing axes count as zero."""
     schema = pa.schema([("rep", pa.int64()), ("copies", pa.int64()), ("label", pa.int64()), ("dim", pa.int64()),
-                        *((f"c{i}", pa.int64()) for i in range(AXES)), ("place", pa.binary()), ("unit", pa.binary())])
+                        *((f"c{i}", pa.int64()) for i in range(AXES)), ("place", pa.binary()), ("vector", pa.binary())])
+    kind = element(classes)
 
     def run(batches):
         for batch in batches:
             own = units(batch.column(3))
+            flat, cuts = batch.column(3).values.to_numpy(zero_copy_only=False).astype(kind), batch.column(3).offsets.to_numpy()
             place = np.zeros((len(own), AXES))
             for i, v in enumerate(own):
                 basis = axes.get(len(v))
@@ -80,18 +99,18 @@ def placed(classes: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array([len(v) for v in own], pa.int64()),
                  *(pa.array(cells[:, i]) for i in range(AXES)), pa.array([p.tobytes() for p in place], pa.binary()),
-                 pa.array([v.tobytes() for v in own], pa.binary())], schema=schema)
+                 pa.array([flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], schema=schema)
 
     cells = ", ".join(f"c{i} long" for i in range(AXES))
     return classes.select("rep", "copies", "label", "embedding").mapInArrow(
-        run, f"rep long, copies long, label long, dim long, {cells}, place binary, unit binary")
+        run, f"rep long, copies long, label long, dim long, {cells}, place binary, vector binary")
 
 
 def cut(sequence: DataFrame) -> DataFrame:
     """Blocks of the ordered vectors, none of which spans two labels or lengths, with the box of each."""
     schema = pa.schema([("block", pa.int64()), ("label", pa.int64()), ("dim", pa.int64()), ("low", pa.list_(pa.float64())),
                         ("high", pa.list_(pa.float64())), ("reps", pa.binary()), ("copies", pa.binary()),
-                        ("places", pa.binary()), ("units", pa.binary())])
+                        ("places", pa.binary()), ("vectors", pa.binary())])
 
     def run(batches):
         part, made, held, key = TaskContext.get().partitionId(), 0, [], None
@@ -102,23 +121,23 @@ def cut(sequence: DataFrame) -> DataFrame:
                 "block": [part << 32 | made], "label": [key[0]], "dim": [key[1]], "low": [place.min(axis=0)], "high": [place.max(axis=0)],
                 "reps": [np.array([h[0] for h in held], dtype=np.int64).tobytes()],
                 "copies": [np.array([h[1] for h in held], dtype=np.int64).tobytes()],
-                "places": [place.tobytes()], "units": [b"".join(h[3] for h in held)]}, schema=schema)
+                "places": [place.tobytes()], "vectors": [b"".join(h[3] for h in held)]}, schema=schema)
 
         for batch in batches:
-            for rep, copies, label, dim, place, unit in zip(*(c.to_pylist() for c in batch.columns)):
+            for rep, copies, label, dim, place, vector in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and ((label, dim) != key or len(held) == BLOCK_ROWS):
                     yield block()
                     made, held = made + 1, []
                 key = label, dim
-                held.append((rep, copies, place, unit))
+                held.append((rep, copies, place, vector))
         if held:
             yield block()
 
     order = ["label", "dim", *(f"c{i}" for i in range(AXES)), "rep"]
     ordered = sequence.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.select("rep", "copies", "label", "dim", "place", "unit").mapInArrow(
+    return ordered.select("rep", "copies", "label", "dim", "place", "vector").mapInArrow(
         run, "block long, label long, dim long, low array<double>, high array<double>, reps binary, copies binary, "
-             "places binary, units binary")
+             "places binary, vectors binary")
 
 
 def near_blocks(blocks: DataFrame, eps: float) -> DataFrame:
@@ -139,10 +158,10 @@ def near_blocks(blocks: DataFrame, eps: float) -> DataFrame:
 
 
 class Side:
-    def __init__(self, reps: bytes, copies: bytes, places: bytes, units: bytes):
+    def __init__(self, kind: np.dtype, reps: bytes, copies: bytes, places: bytes, vectors: bytes):
         self.reps, self.copies = np.frombuffer(reps, dtype=np.int64), np.frombuffer(copies, dtype=np.int64)
         self.place = np.frombuffer(places).reshape(-1, AXES)
-        self.unit = np.frombuffer(units).reshape(len(self.reps), -1)
+        self.unit = unit_rows(np.frombuffer(vectors, dtype=kind).reshape(len(self.reps), -1))
 
 
 def join_sequences(a: Side, b: Side, same: bool, least: float, eps: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -190,9 +209,9 @@ def forest(left: np.ndarray, right: np.ndarray) -> list[int]:
     return kept
 
 
-def compared(pairs: DataFrame, blocks: DataFrame, least: float, eps: float) -> DataFrame:
+def compared(pairs: DataFrame, blocks: DataFrame, kind: np.dtype, least: float, eps: float) -> DataFrame:
     """``(a, b, n)``: with ``b`` null the links of ``a`` in this pair of blocks, else a link of the pair's spanning forest."""
-    data = ("reps", "copies", "places", "units")
+    data = ("reps", "copies", "places", "vectors")
 
     def side(name: str) -> DataFrame:
         return blocks.select(F.col("block").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in data))
@@ -204,7 +223,7 @@ def compared(pairs: DataFrame, blocks: DataFrame, least: float, eps: float) -> D
         for batch in batches:
             for first, second, *raw in zip(*(c.to_pylist() for c in batch.columns)):
                 same = first == second
-                a, b = Side(*raw[:4]), Side(*raw[4:])
+                a, b = Side(kind, *raw[:4]), Side(kind, *raw[4:])
                 left, right = join_sequences(a, b, same, least, eps)
                 if not left:
                     continue
@@ -240,11 +259,9 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
     classes = write_once(rows.filter(linkable).groupBy("label", "embedding").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
     axes = principal_axes(classes, classes.count())
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     blocks = write_once(cut(placed(classes, axes, eps)), "vector-blocks")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # rows of two blocks each
-    found = write_once(compared(near_blocks(blocks, eps), blocks, least, eps), "vector-links")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    with settings(spark, TOGETHER):
+        found = write_once(compared(near_blocks(blocks, eps), blocks, element(classes), least, eps), "vector-links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("outer_links"))
     groups = components(found.filter("b IS NOT NULL").select("a", "b"))
     named = classes.join(counts, "rep", "left").join(groups, F.col("rep") == F.col("id"), "left").select(
