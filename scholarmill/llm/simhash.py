@@ -16,14 +16,14 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.llm import golay
 from scholarmill.llm.components import components
-from scholarmill.llm.rows import arrow_type, column, fields, texts
+from scholarmill.llm.rows import arrow_type, column, fields, prepare, texts
+from scholarmill.operators.ingest import fresh_name
 from scholarmill.session import write_once
 
 SHINGLE_WORDS, SEED, MOST_BITS = 3, 42, 2
@@ -66,15 +66,19 @@ def fingerprint(text: str) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp long)``: the 64 bits as a signed integer; a null text has no words."""
-    rows = texts(docs, id_col, text_col)
-    schema = pa.schema([("doc_id", arrow_type(rows, "doc_id")), ("fp", pa.int64())])
+    return printed(texts(docs, id_col, text_col), ["doc_id"])
+
+
+def printed(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The kept columns of ``rows`` and ``fp``, the fingerprint of ``text``."""
+    schema = pa.schema([*((name, arrow_type(rows, name)) for name in keep), ("fp", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], schema=schema)
+            found = np.array([fingerprint(t) for t in batch.column(0).to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], schema=schema)
 
-    return rows.mapInArrow(run, f"doc_id {fields(rows, 'doc_id')}, fp bigint")
+    return rows.select("text", *keep).mapInArrow(run, ", ".join([*(f"{name} {fields(rows, name)}" for name in keep), "fp bigint"]))
 
 
 def keys(distinct: DataFrame) -> DataFrame:
@@ -120,35 +124,51 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cro
     class but never names it, unless its whole class has no id.
     """
     own = write_once(fingerprints(docs, id_col, text_col), "fingerprints")
+    named = classed(own, crowd).select("fp", "component_id")
+    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def classed(own: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``(fp, root, component_id)`` of each fingerprint of ``own(doc_id, fp)``: fingerprints of a class share both."""
     distinct = write_once(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     groups = components(links(distinct, crowd))
     joined = distinct.join(groups, F.col("fp") == F.col("id"), "left").select(
         "fp", "least", F.coalesce("component_id", "fp").alias("root"))
-    root = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(root, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    return joined.join(named, "root").select("fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that have the smallest id of their class, or no id; all columns stay, repeated rows too.
+    """Exactly one row of each class, with all its columns, whatever they are named.
 
-    Of an id with several texts only those go whose class has a smaller id.
+    It is the row with the smallest id, a row without an id only where the class has none; of rows with one id that with
+    the least hash of the whole row, and of wholly repeated rows one. A row is known by its id and hash, which it has in
+    every job; columns of maps do not count for the hash.
     """
-    found = write_once(classes(docs, id_col, text_col), "near-copies")
-    goes = F.col("doc_id") != F.col("component_id")
-    gone = found.filter(goes).select(F.col("doc_id").alias("_drop"), F.col("fp").alias("_fp")).distinct()
-    # ids of which some rows go and others stay: no rows where ids are unique
-    both = write_once(found.groupBy("doc_id").agg(F.max(goes).alias("goes"), F.min(goes).alias("all")).filter(
-        F.col("goes") & ~F.col("all")).select(F.col("doc_id").alias("_drop")), "ids-with-several-classes")
-    own = column(id_col) == F.col("_drop")
-
-    @F.pandas_udf("bigint")
-    def print_of(held):
-        return pd.Series(np.array([fingerprint(text or "") for text in held], dtype=np.uint64).view(np.int64))
-
-    texts_apart = docs.join(both, own, "left_semi").withColumn("_print", print_of(column(text_col)))
-    stay = texts_apart.join(gone, own & (F.col("_print") == F.col("_fp")), "left_anti").drop("_print")
-    return docs.join(gone.select("_drop"), own, "left_anti").union(stay)
+    prepare(docs.sparkSession)
+    hashed = [column(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    mark = F.xxhash64(*hashed)
+    rows = docs.select(F.coalesce(column(text_col), F.lit("")).alias("text"), column(id_col).alias("doc_id"), mark.alias("mark"))
+    own = write_once(printed(rows, ["doc_id", "mark"]), "marked-fingerprints")
+    # a row per fingerprint first, so that a class with a third of all rows does not meet in one task
+    first = own.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("stays"))
+    stays = write_once(first.join(classed(own.select("doc_id", "fp")), "fp").groupBy("root").agg(F.min("stays").alias("stays")).select(
+        F.col("stays.doc_id").alias("doc_id"), F.col("stays.mark").alias("mark")), "rows-that-stay")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.mark") == F.col("b.mark"))
+    # copies are fewer than what stays, so they are what is sent to the documents
+    goes = write_once(own.alias("a").join(stays.alias("b"), same, "left_anti").select(
+        F.col("a.doc_id").alias("doc_id"), F.col("a.mark").alias("mark")).distinct(), "rows-that-go")
+    again = write_once(own.alias("a").join(stays.alias("b"), same, "left_semi").groupBy("doc_id", "mark").count().filter("count > 1").select(
+        "doc_id", "mark"), "rows-that-stay-once")
+    names = fresh_name(docs, "_id"), fresh_name(docs, "_mark")
+    marked = docs.withColumns({names[0]: column(id_col), names[1]: mark})
+
+    def among(keys: DataFrame):
+        return marked[names[0]].eqNullSafe(keys["doc_id"]) & (marked[names[1]] == keys["mark"])
+
+    once = marked.join(again, among(again), "left_semi").dropDuplicates(list(names))
+    kept = marked.join(goes, among(goes), "left_anti").join(again, among(again), "left_anti").union(once)
+    return kept.select(*(column(c) for c in docs.columns))
 
 
 def digests(found: DataFrame) -> DataFrame:
