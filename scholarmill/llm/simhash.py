@@ -155,7 +155,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     stays = write_once(first.join(classed(own.select("doc_id", "fp")), "fp").groupBy("root").agg(F.min("stays").alias("stays")).select(
         F.col("stays.doc_id").alias("doc_id"), F.col("stays.mark").alias("mark")), "rows-that-stay")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.mark") == F.col("b.mark"))
-    # copies are fewer than what stays, so they are what is sent to the documents
+    # copies are fewer than what stays, so they are what meets the documents, in the same way at every size
     goes = write_once(own.alias("a").join(stays.alias("b"), same, "left_anti").select(
         F.col("a.doc_id").alias("doc_id"), F.col("a.mark").alias("mark")).distinct(), "rows-that-go")
     again = write_once(own.alias("a").join(stays.alias("b"), same, "left_semi").groupBy("doc_id", "mark").count().filter("count > 1").select(
@@ -167,7 +167,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return marked[names[0]].eqNullSafe(keys["doc_id"]) & (marked[names[1]] == keys["mark"])
 
     once = marked.join(again, among(again), "left_semi").dropDuplicates(list(names))
-    kept = marked.join(goes, among(goes), "left_anti").join(again, among(again), "left_anti").union(once)
+    kept = marked.join(goes.hint("merge"), among(goes), "left_anti").join(again, among(again), "left_anti").union(once)
     return kept.select(*(column(c) for c in docs.columns))
 
 
