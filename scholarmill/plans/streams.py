@@ -54,22 +54,26 @@ def each_slice(spark, folder, run) -> None:
         run(spark.readStream.schema(rows.schema).parquet(path))
 
 
-def landed_documents(spark, folder) -> DataFrame:
-    """The documents as a stream of several files."""
+def landed_documents(spark, folder):
+    """The documents as files, and a stream of so many of them at once."""
     path = fresh_path(spark, "landed-documents")
     rows = read_table(spark, folder, "documents").select("doc_id", "text")
     rows.repartition(SLICES, "doc_id").write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return lambda files: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("stream_ingest", "SELECT DISTINCT md5(text) AS text_key, length(text) AS n_chars FROM documents")
 def stream_ingest(spark, folder) -> DataFrame:
     """Streams the documents into a store keyed by content, twice: the second run adds nothing."""
-    rows = landed_documents(spark, folder).select(
-        F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
-    store = KeyedStore(spark, fresh_path(spark, "store"), "text_key", rows.drop("seq").schema, buckets=SLICES)
-    for run in ("first", "again"):
-        start_ingest(rows, store, fresh_path(spark, f"ingest-{run}"), "seq").awaitTermination()
+    landed = landed_documents(spark, folder)
+
+    def rows(files):
+        return landed(files).select(F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
+
+    store = KeyedStore(spark, fresh_path(spark, "store"), "text_key", rows(1).drop("seq").schema, buckets=SLICES)
+    # a file at a time, then all of them in one micro-batch
+    for run, files in (("first", 1), ("again", SLICES)):
+        start_ingest(rows(files), store, fresh_path(spark, f"ingest-{run}"), "seq").awaitTermination()
     return store.rows()
 
 
@@ -89,7 +93,7 @@ def stream_horizon_keyed(spark, folder) -> DataFrame:
     dated = write_once(papers, "dated-papers")
     path, checkpoint = fresh_path(spark, "paper-counts"), fresh_path(spark, "paper-counts-checkpoint")
     each_slice(spark, folder, lambda events: start_paper_counts(
-        paper_counts(events, dated, EVENT_KEY, LATENESS), path, checkpoint).awaitTermination())
+        paper_counts(events, dated, EVENT_KEY, LATENESS, salts=SLICES), path, checkpoint).awaitTermination())
     return stored_horizon(dated, path).drop("final")
 
 

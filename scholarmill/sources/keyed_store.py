@@ -92,7 +92,9 @@ class KeyedStore:
     def insert(self, incoming: DataFrame, seq: str) -> None:
         """Adds the rows of new keys; ``seq`` says which of a key's rows is the first and is not stored."""
         fresh = self.new_rows(incoming, seq)
-        words = self._places(fresh.select(F.col(f"`{self.key}`"), "_bucket")).groupBy("_bucket", "word").agg(F.bit_or("mask").alias("bits"))
-        words.select("word", "bits", "_bucket").hint("rebalance", "_bucket").write.partitionBy("_bucket").mode("append").parquet(f"{self.path}/filters")
+        # dealt out by bucket once, for the sums and for the files
+        placed = self._places(fresh.select(F.col(f"`{self.key}`"), "_bucket")).repartition("_bucket")
+        words = placed.groupBy("_bucket", "word").agg(F.bit_or("mask").alias("bits"))
+        words.select("word", "bits", "_bucket").write.partitionBy("_bucket").mode("append").parquet(f"{self.path}/filters")
         columns = [f"`{f.name}`" for f in self.schema]
         fresh.select(*columns, "_bucket").hint("rebalance", "_bucket").write.partitionBy("_bucket").mode("append").parquet(f"{self.path}/rows")
