@@ -10,16 +10,18 @@ not one task's work; reading adds the entries up.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from scholarmill.operators.horizon import DAYS_PER_MONTH, MONTHS
-from scholarmill.session import ship
+from scholarmill.session import DEFAULTS, settings
 
 #: Entries among which the events of one paper are dealt.
 SALTS = 16
@@ -28,6 +30,12 @@ COUNTED = "paper_id bigint, salt int, near bigint, far bigint, final boolean"
 
 DAY_MS = 86_400_000
 
+#: Values and timers are column families, which the default store lacks; any session gets the one of ours.
+STATE_STORE = {key: value for key, value in DEFAULTS.items() if ".stateStore." in key}
+
+# the processor is also loaded by a Python process beside the driver, which knows no files sent to executors
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class PaperCounts(StatefulProcessor):
     """Counts of the two horizons per key; ``days`` are the horizons' lengths."""
@@ -71,7 +79,6 @@ def paper_counts(events: DataFrame, papers: DataFrame, event_key: Sequence[str],
     ``events`` has ``paper_id``, ``cited_at`` (timestamp) and its key; ``papers`` has ``paper_id`` and ``submitted``.
     Events outside the longest horizon are left out before the state.  An event later than ``delay`` is dropped.
     """
-    ship(papers.sparkSession)
     days = tuple(DAYS_PER_MONTH * m for m in months)
     fresh = events.withWatermark("cited_at", delay).dropDuplicatesWithinWatermark(list(event_key))
     age = F.date_diff(F.to_date("cited_at"), "submitted")
@@ -88,8 +95,9 @@ def start_paper_counts(counts: DataFrame, path: str, checkpoint: str) -> Streami
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return (counts.writeStream.outputMode("update").foreachBatch(store)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = counts.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+    with settings(counts.sparkSession, STATE_STORE):  # the query keeps the settings it starts with
+        return writer.trigger(availableNow=True).start()
 
 
 def stored_horizon(papers: DataFrame, path: str, months: tuple[int, int] = MONTHS) -> DataFrame:

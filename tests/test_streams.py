@@ -1,13 +1,17 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from scholarmill.operators.horizon import citation_horizon
-from scholarmill.session import fresh_path
+from scholarmill.session import fresh_path, settings
 from scholarmill.sources.keyed_store import KeyedStore
 from scholarmill.streaming.horizon import compact_counts, daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
-from scholarmill.streaming.keyed_horizon import SALTS, paper_counts, start_paper_counts, stored_horizon
+from scholarmill.streaming.keyed_horizon import SALTS, PaperCounts, paper_counts, start_paper_counts, stored_horizon
 
 
 def landed(df, path, files):
@@ -118,3 +122,21 @@ def test_events_of_a_hot_paper_are_dealt_over_entries(spark):
     start_paper_counts(paper_counts(landed(events, fresh_path(spark, "events"), 2), papers, ["id"], "5 days"), path, fresh_path(spark, "ck")).awaitTermination()
     assert spark.read.parquet(path).where("paper_id = 1").select("salt").distinct().count() == SALTS
     assert {r["paper_id"]: r["citations_24mo"] for r in stored_horizon(papers, path).collect()} == {1: 390, 2: 10}
+
+
+def test_keyed_counts_need_neither_the_package_nor_a_set_state_store(spark, tmp_path):
+    # the process beside the driver starts in another folder and without the package
+    dumped = tmp_path / "processor"
+    dumped.write_bytes(cloudpickle.dumps(PaperCounts((360, 720))))
+    load = "import sys; from pyspark import cloudpickle; print(cloudpickle.loads(open(sys.argv[1], 'rb').read()).days)"
+    known = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "-c", load, str(dumped)], cwd=tmp_path, env=known, capture_output=True, text=True, check=False)
+    assert ran.stdout.strip() == "(360, 720)", ran.stderr
+
+    papers = spark.createDataFrame([(1, dt.date(2020, 1, 1))], "paper_id long, submitted date")
+    events = spark.range(5).select("id", F.lit(1).cast("long").alias("paper_id"), F.expr("timestamp '2020-03-01 12:00:00'").alias("cited_at"))
+    path, store = fresh_path(spark, "keyed"), "spark.sql.streaming.stateStore.providerClass"
+    with settings(spark, {store: "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"}):
+        counts = paper_counts(landed(events, fresh_path(spark, "keyed-events"), 1), papers, ["id"], "30 days", salts=2)
+        start_paper_counts(counts, path, fresh_path(spark, "keyed-ck")).awaitTermination()
+    assert [r["citations_12mo"] for r in stored_horizon(papers, path).collect()] == [5]
