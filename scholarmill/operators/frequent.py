@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 
 from scholarmill.session import ship, write_once
 
-#: Words counted together, and terms of a first summary for each term that is wanted.
-BLOCK_WORDS, PER_TERM = 2_000_000, 8
+#: Words counted together, and terms of a first summary for each term that is wanted. A block's arrays take some hundred
+#: bytes a word, and every core of an executor holds one.
+BLOCK_WORDS, PER_TERM = 500_000, 8
+
+#: Documents that Arrow hands over at once: a block ends with the batch that fills it.
+FEW_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
 
 #: Candidates at most, for each term that is wanted, that the second pass sends to its tasks.
 CANDIDATES_PER_TERM = 40

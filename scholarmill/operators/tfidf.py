@@ -13,8 +13,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholarmill.operators.frequent import most_frequent
-from scholarmill.session import write_once
+from scholarmill.operators.frequent import FEW_AT_ONCE, most_frequent
+from scholarmill.session import settings, write_once
 
 MAX_TERMS = 500
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -83,8 +83,9 @@ def fit_vocabulary(papers: DataFrame, stop_words: Sequence[str] | None = None,
     # the document count comes from the written files' footers
     tokens = write_once(words, "tokens", row_group=4 << 20)
     n_documents = tokens.count()
-    top = most_frequent(tokens, max_terms, min_document_frequency(n_documents))
-    rows = sorted(top.collect(), key=lambda r: r["term"])
+    with settings(papers.sparkSession, FEW_AT_ONCE):
+        top = most_frequent(tokens, max_terms, min_document_frequency(n_documents))
+        rows = sorted(top.collect(), key=lambda r: r["term"])
     return Vocabulary(tuple(r["term"] for r in rows), tuple(r["tf"] for r in rows),
                       tuple(r["df"] for r in rows), n_documents, tuple(stop_words))
 

@@ -1,15 +1,18 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
 from scholarmill.operators import explain as W
 from scholarmill.operators import tfidf as T
-from scholarmill.operators.frequent import most_frequent, summaries
+from scholarmill.operators.frequent import BLOCK_WORDS, counted, most_frequent, summaries
 from scholarmill.operators.terms import terms_in
 
 STOP = ["the", "of"]
@@ -75,6 +78,27 @@ def test_summaries_carry_few_terms(spark):
     assert {r["n"] for r in found} == {100}
 
 
+def test_a_block_of_words_takes_little_memory(spark, shelf, monkeypatch):
+    drawn = np.random.default_rng(3).integers(0, 5000, BLOCK_WORDS)
+    words = pa.array([f"w{i}" for i in range(5000)]).take(pa.array(drawn))
+    tracemalloc.start()
+    counted(words, np.arange(BLOCK_WORDS) // 300)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+    # a block ends with the batch that fills it, so batches are small while the words are counted
+    seen = []
+
+    def found(tokens, *_):
+        seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return spark.createDataFrame([], "term string, tf long, df long")
+
+    monkeypatch.setattr(T, "most_frequent", found)
+    T.fit_vocabulary(shelf[0])
+    assert seen[0] <= 256 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+
+
 def test_term_search_equals_containment(spark):
     rnd = random.Random(5)
     terms = ["a", "ab", "b ab", "é", "aba", "", "ab", "zz z", "😀b", *("".join(rnd.choices("abé ", k=rnd.randint(1, 5))) for _ in range(80))]
