@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scholarmill.functions.labels import fit_gap
 from scholarmill.operators.quantiles import count_percentiles, measured_percentiles
+from scholarmill.session import write_once
 
 # Nominal coverage and the normal half-width that should reach it.
 NOMINAL_Z = ((0.68, 1.0), (0.90, 1.645), (0.95, 1.96), (0.99, 2.576))
@@ -37,10 +38,11 @@ def residual() -> Column:
 def _r2(squared_error: Column) -> Column:
     """One less error over spread.  A constant y gives 1 if it is met exactly, else 0; fewer than two rows, null.
 
-    The spread is the merged population variance, so one pass is enough and large means do not cancel.
+    The spread is the merged population variance, so one pass is enough and large means do not cancel.  Merged parts of
+    a constant may differ in their last bit, so the least and the greatest y say whether it is one.
     """
     n, spread = F.count("y"), F.var_pop("y") * F.count("y")
-    return F.when(n >= 2, F.when(spread == 0, F.when(squared_error == 0, 1.0).otherwise(0.0))
+    return F.when(n >= 2, F.when(F.min("y") == F.max("y"), F.when(squared_error == 0, 1.0).otherwise(0.0))
                   .otherwise(1.0 - squared_error / spread))
 
 
@@ -73,7 +75,8 @@ def metrics_by_author_count(scored: DataFrame, least: int = MIN_AUTHOR_GROUP) ->
 
 
 def metrics_by_uncertainty(scored: DataFrame) -> DataFrame:
-    sized = scored.withColumn("abs_residual", F.abs(residual()))
+    # written once: the cuts are values of rows, which must not differ in their last bit when they are compared
+    sized = write_once(scored.select("y", "pred", F.abs(residual()).alias("abs_residual")), "sized")
     cuts = measured_percentiles(sized, "abs_residual", [0.33, 0.67]).select("points").scalar()
     a, q = F.col("abs_residual"), F.col("_q")
     band = F.when(a <= q[0], "easy").when(a <= q[1], "medium").otherwise("hard")

@@ -13,8 +13,10 @@ def percentile_of_score(scores: DataFrame, score: str, observed: DataFrame, valu
 
     Values and scores are first counted by value, so one that a third of all rows share is one row. The distinct values
     are sorted into ranges, a file each; a prefix sum over the ranges' sizes and a running sum inside each range give
-    the number of observations up to every value. Scores fetch theirs by equality.
+    the number of observations up to every value. Scores fetch theirs by equality, so they are written first: computed
+    again, a score that rests on a fit may differ in its last bit and would find nothing.
     """
+    scores = write_once(scores, "scores")
     counted = observed.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
     asked = scores.where(F.col(score).isNotNull()).select(F.col(score).cast("double").alias("_v")).distinct()
     points = counted.unionByName(asked.withColumn("_n", F.lit(0).cast("long"))).groupBy("_v").agg(F.sum("_n").alias("_n"))

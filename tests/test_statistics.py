@@ -1,4 +1,5 @@
 import shutil
+import uuid
 
 import numpy as np
 import pytest
@@ -93,6 +94,17 @@ def test_sketches_are_merged_by_day(spark, tmp_path):
         "a": (1, [1.0, 1.0, 1.0]), "b": (2, [3.0, 3.0, 5.0])}
 
 
+def test_scores_that_differ_in_the_last_bits_when_computed_again_have_ranks(spark, tmp_path):
+    """As a fit over several executors does, whose parts are added up in any order."""
+    def again(v):
+        (tmp_path / uuid.uuid4().hex).touch()
+        return float(v) + 1e-9 * len(list(tmp_path.iterdir()))
+
+    s = spark.range(8).repartition(1).select("id", F.udf(again, "double").asNondeterministic()("id").alias("score"))
+    got = percentile_of_score(s, "score", spark.range(8).toDF("c"), "c")
+    assert {r["id"]: r["percentile"] for r in got.collect()} == {i: (i + 1) * 12.5 for i in range(8)}
+
+
 def test_percentile_of_score_by_brute_force(spark):
     rng = np.random.default_rng(7)
     observed = np.concatenate([rng.integers(0, 40, 300), [900, 900, 5000, 70_000, 10**12]])
@@ -127,6 +139,13 @@ def test_r2_edges(spark):
     assert got == {"same": 1.0, "off": 0.0, "single": None}
 
 
+def test_r2_of_a_constant_in_several_parts(spark):
+    """log(2) / 11 * 11 is not log(2), so means of parts differ from one another."""
+    rows = spark.range(0, 33, 1, 3).select(F.log1p(F.lit(1.0)).alias("y"), (F.col("id") % 3).cast("double").alias("pred"))
+    assert E.regression_metrics(rows).first()["r2"] == 0.0
+    assert E.regression_metrics(rows.withColumn("pred", F.col("y"))).first()["r2"] == 1.0
+
+
 def test_metrics_and_strata_cover_all_rows(sample):
     df, y, pred = sample
     m = E.regression_metrics(df).first()
