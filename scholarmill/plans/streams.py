@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholarmill.plans.models import same_rows, scoring_model
 from scholarmill.plans.registry import query
@@ -54,26 +55,32 @@ def each_slice(spark, folder, run) -> None:
         run(spark.readStream.schema(rows.schema).parquet(path))
 
 
-def landed_documents(spark, folder):
-    """The documents as files, and a stream of so many of them at once."""
+def landed_documents(spark, folder, run=lambda stream: None):
+    """Lets slices of the documents land one after the other, calls ``run`` after each, and gives the stream of them all.
+
+    A slice takes its rows from every split of the table as they lie, so no task holds more than a split of the texts.
+    A run takes all files that are new in one micro-batch.
+    """
     path = fresh_path(spark, "landed-documents")
     rows = read_table(spark, folder, "documents").select("doc_id", "text")
-    rows.repartition(SLICES, "doc_id").write.parquet(path)
-    return lambda files: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet
+    for number in range(SLICES):
+        rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)) == number).write.mode("append").parquet(path)
+        run(stream(path))
+    return stream(path)
 
 
 @query("stream_ingest", "SELECT DISTINCT md5(text) AS text_key, length(text) AS n_chars FROM documents")
 def stream_ingest(spark, folder) -> DataFrame:
     """Streams the documents into a store keyed by content, twice: the second run adds nothing."""
-    landed = landed_documents(spark, folder)
-
-    def rows(files):
-        return landed(files).select(F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
-
-    store = KeyedStore(spark, fresh_path(spark, "store"), "text_key", rows(1).drop("seq").schema, buckets=SLICES)
-    # a file at a time, then all of them in one micro-batch
-    for run, files in (("first", 1), ("again", SLICES)):
-        start_ingest(rows(files), store, fresh_path(spark, f"ingest-{run}"), "seq").awaitTermination()
+    def rows(landed):
+        return landed.select(F.md5("text").alias("text_key"), F.length("text").cast("bigint").alias("n_chars"), F.col("doc_id").alias("seq"))
+
+    store = KeyedStore(spark, fresh_path(spark, "store"), "text_key", T.StructType.fromDDL("text_key string, n_chars bigint"), buckets=SLICES)
+    first, again = fresh_path(spark, "ingest-first"), fresh_path(spark, "ingest-again")
+    # a slice at a time, then all of them in one micro-batch
+    landed = landed_documents(spark, folder, lambda stream: start_ingest(rows(stream), store, first, "seq").awaitTermination())
+    start_ingest(rows(landed), store, again, "seq").awaitTermination()
     return store.rows()
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 import subprocess
 import sys
 
@@ -7,6 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from scholarmill.operators.horizon import citation_horizon
+from scholarmill.plans.streams import SLICES, landed_documents, stream_ingest
 from scholarmill.session import fresh_path, settings
 from scholarmill.sources.keyed_store import KeyedStore
 from scholarmill.streaming.horizon import compact_counts, daily_counts, running_horizon, start_counts
@@ -30,6 +32,21 @@ def test_ingest_over_several_batches_and_a_second_source(spark):
     assert stored.count() == 20 and stored.where("cast(v as string) <> k").count() == 0
 
 
+def test_documents_land_as_they_lie(spark, tmp_path):
+    """In slices, each of rows from every split of the table: no task gathers a slice's texts."""
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 300).alias("text"))
+    rows.repartition(10).write.parquet(str(tmp_path / "documents.parquet"))
+    landed = []
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "2000"}):
+        stream = landed_documents(spark, str(tmp_path), lambda stream: landed.append(stream))
+        query = stream.writeStream.format("memory").queryName("landed_rows").trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert len(landed) == SLICES and sorted(r["doc_id"] for r in spark.table("landed_rows").collect()) == list(range(400))
+    path = spark.read.format("parquet").load(landed_path(query)).withColumn("file", F.input_file_name())
+    assert path.groupBy("file").count().agg(F.max("count")).first()[0] <= 40 < 400 // SLICES
+    assert stream_ingest(spark, str(tmp_path)).count() == 300
+
+
 def test_running_counts_equal_the_batch_counts(spark):
     start = dt.date(2020, 1, 1)
     papers = spark.createDataFrame([(i, start + dt.timedelta(days=10 * i)) for i in range(5)], "paper_id long, submitted date")
@@ -54,6 +71,10 @@ def slices_of(spark, days, papers, repeats=3):
         yield spark.readStream.schema(frame.schema).parquet(path)
 
 
+def landed_path(query):
+    return re.search(r"FileStreamSource\[(.*)\]", query.lastProgress["sources"][0]["description"]).group(1)
+
+
 def total_rows(query):
     return [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
 
