@@ -31,28 +31,23 @@ def _stream(spark, folder, name) -> DataFrame:
     return stream_table(spark, folder, name, read_table(spark, folder, name).schema)
 
 
-def cut_events(spark, folder) -> DataFrame:
-    """The events with the slice of time each lies in, written once by slice, in as many files as a slice needs."""
+def each_slice(spark, folder, run) -> None:
+    """Lets slices of time land one after the other and calls ``run`` with the stream of all that have landed.
+
+    A slice takes its events from every split of the table as they lie. A run takes all files of a slice in one
+    micro-batch, however many tasks they make.
+    """
     events = read_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("paper_id"), "l_suppkey", "l_extendedprice",
         F.col("l_shipdate").cast("timestamp").alias("cited_at"))
     span = events.agg(F.min("cited_at").alias("a"), F.max("cited_at").alias("b")).first()
     at = F.unix_seconds("cited_at")
     first, last = (F.unix_seconds(F.lit(span[c])) for c in "ab")
-    part = F.least(F.floor((at - first) * SLICES / F.greatest(last - first, F.lit(1))), F.lit(SLICES - 1)).cast("int")
-    return write_once(events.withColumn("slice", part), "cut-events", by="slice")
-
-
-def each_slice(spark, folder, run) -> None:
-    """Lets the slices land one after the other and calls ``run`` with the stream of all that have landed.
-
-    A run takes all files of a slice in one micro-batch, however many tasks they make.
-    """
-    cut, path = cut_events(spark, folder), fresh_path(spark, "landed-events")
+    part = F.least(F.floor((at - first) * SLICES / F.greatest(last - first, F.lit(1))), F.lit(SLICES - 1))
+    path = fresh_path(spark, "landed-events")
     for number in range(SLICES):
-        rows = cut.where(F.col("slice") == number).drop("slice")
-        rows.write.mode("append").parquet(path)
-        run(spark.readStream.schema(rows.schema).parquet(path))
+        events.where(part == number).write.mode("append").parquet(path)
+        run(spark.readStream.schema(events.schema).parquet(path))
 
 
 def landed_documents(spark, folder, run=lambda stream: None):

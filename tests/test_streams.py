@@ -94,6 +94,24 @@ def test_days_that_are_over_leave_the_state(spark):
     assert counted == {**dict.fromkeys(range(5), 4), 5: 0, 6: 0}
 
 
+def test_repeats_on_a_day_need_no_entry_per_event(spark):
+    """A key with paper and time: one state operator, an entry per paper and day, and repeats of later batches count once."""
+    start, path, checkpoint = dt.date(2020, 1, 1), fresh_path(spark, "counts"), fresh_path(spark, "ck")
+    incoming = fresh_path(spark, "repeated")
+    for i in range(3):
+        # two events each at noon and one at six; one of the first batch comes again in every batch, null line and all
+        rows = [(n, None if n == 0 else n, p, dt.datetime.combine(start + dt.timedelta(days=d), dt.time(hour)))
+                for p in range(4) for d in {0, i} for n, hour in ((0, 12), (1, 12), (1, 18))]
+        frame = spark.createDataFrame(rows * 2, "id long, line long, paper_id long, cited_at timestamp")
+        frame.repartition(3).write.mode("append").parquet(incoming)
+        run = start_counts(daily_counts(spark.readStream.schema(frame.schema).parquet(incoming), ["id", "line", "paper_id", "cited_at"], "30 days"), path, checkpoint)
+        run.awaitTermination()
+        assert [len(p["stateOperators"]) for p in run.recentProgress if p["stateOperators"]] == [1] * len(run.recentProgress)
+        assert total_rows(run)[-1] == 4 * (i + 1)
+    assert {(r["paper_id"], r["cited_on"]): r["n_events"] for r in compact_counts(spark, path).collect()} == {
+        (p, start + dt.timedelta(days=d)): 3 for p in range(4) for d in range(3)}
+
+
 def test_compaction_is_kept(spark, tmp_path):
     rows = "paper_id long, started timestamp, cited_on date, n_events long"
     noon, path = dt.datetime(2020, 1, 1), str(tmp_path / "counts")
