@@ -19,6 +19,9 @@ from scholarmill.operators.split import with_fold, with_split
 from scholarmill.operators.tfidf import Vocabulary, combined_text, fit_vocabulary
 from scholarmill.session import write_once
 
+#: Bytes of training rows that one scan task takes at the least.
+ROW_GROUP = 1 << 20
+
 
 @dataclass(frozen=True)
 class FittedFeatures:
@@ -84,12 +87,13 @@ def fit_features(papers: DataFrame, categories: Sequence[str], keywords: Sequenc
 def training_table(papers: DataFrame, fitted: FittedFeatures, keep: Sequence[str] = ("paper_id",)) -> DataFrame:
     """Key, label, split, fold and feature vector, written once by fold.
 
-    Every fit and evaluation starts from these files; one that needs a single fold reads only it.
+    Every fit and evaluation starts from these files; one that needs a single fold reads only it. Rows are few bytes
+    and much work, so their scans are split finely: a fold's one file would be one task of every round of a fit.
     """
     rows = with_fold(with_split(papers)).withColumn("y", F.log1p("citations_24mo"))
     kept = [*dict.fromkeys([*keep, "citations_24mo", "y", "split", "fold"])]
     vectors = PipelineModel(fitted.stages()).transform(fitted.prepare(rows, kept))
-    return write_once(vectors.select(*kept, "raw"), "training", by="fold")
+    return write_once(vectors.select(*kept, "raw"), "training", by="fold", row_group=ROW_GROUP)
 
 
 def population_scaler(rows: DataFrame, source: str = "raw", output: str = "scaled") -> ElementwiseProduct:

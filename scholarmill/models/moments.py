@@ -28,8 +28,8 @@ MAX_FEATURES = 4096
 #: Numbers in a block of rows.
 BLOCK_NUMBERS = 2_000_000
 
-#: Matrices that Arrow hands over at once.
-FEW_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2"}
+#: What Arrow hands over at once, by size: one row of sums is a matrix, and thousands of vectors are no more than that.
+FEW_AT_ONCE = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 @dataclass(frozen=True)

@@ -15,6 +15,7 @@ from scholarmill.functions.labels import feature_group
 from scholarmill.models import regress as R
 from scholarmill.models.assemble import FittedFeatures, fit_categories, fit_features, training_table
 from scholarmill.models.bundle import ScoringModel, bundle
+from scholarmill.models.moments import Moments
 from scholarmill.operators import evaluate as E
 from scholarmill.operators import explain as W
 from scholarmill.operators import score as S
@@ -67,8 +68,13 @@ def trained(spark, folder) -> tuple[FittedFeatures, DataFrame]:
     return _once(spark, folder, "table", make)
 
 
+def fold_parts(spark, folder) -> list[Moments]:
+    """The moments of the training rows per fold, which every linear model is fitted on."""
+    return _once(spark, folder, "moments", lambda: R.fold_moments(R.train_rows(trained(spark, folder)[1])))
+
+
 def lasso(spark, folder) -> R.Fitted:
-    return _once(spark, folder, "lasso", lambda: R.fit_lasso(trained(spark, folder)[1]))
+    return _once(spark, folder, "lasso", lambda: R.fit_lasso(trained(spark, folder)[1], fold_parts(spark, folder)))
 
 
 def scoring_model(spark, folder) -> ScoringModel:
@@ -85,8 +91,8 @@ def _metrics_of(fit):
     return run
 
 
-for _name, _fit in (("model_lasso", lambda s, f, t: lasso(s, f)), ("model_ridge", lambda s, f, t: R.fit_ridge(t)),
-                    ("model_elasticnet", lambda s, f, t: R.fit_net(t)),
+for _name, _fit in (("model_lasso", lambda s, f, t: lasso(s, f)), ("model_ridge", lambda s, f, t: R.fit_ridge(t, fold_parts(s, f))),
+                    ("model_elasticnet", lambda s, f, t: R.fit_net(t, fold_parts(s, f))),
                     ("model_rf", lambda s, f, t: R.fit_forest(t)), ("model_gbt", lambda s, f, t: R.fit_boosted(t))):
     query(_name)(_metrics_of(_fit))
 
@@ -94,8 +100,7 @@ for _name, _fit in (("model_lasso", lambda s, f, t: lasso(s, f)), ("model_ridge"
 @query("linear_model_comparison")
 def linear_model_comparison(spark, folder) -> DataFrame:
     """The linear models on one set of fold moments, next to each other."""
-    table = trained(spark, folder)[1]
-    parts = R.fold_moments(R.train_rows(table))
+    table, parts = trained(spark, folder)[1], fold_parts(spark, folder)
     models = [lasso(spark, folder), R.fit_ridge(table, parts), R.fit_net(table, parts)]
     return rounded(E.model_comparison(R.scored_by(models, table)))
 
@@ -200,7 +205,7 @@ def coefficient_names(spark, folder) -> DataFrame:
 def compared_models(spark, folder) -> DataFrame:
     """Baseline, linear models and trees with their metrics, penalties, features in use and the root of all features."""
     features, table = trained(spark, folder)
-    parts = R.fold_moments(R.train_rows(table))
+    parts = fold_parts(spark, folder)
     models = [lasso(spark, folder), R.fit_ridge(table, parts), R.fit_net(table, parts), R.fit_forest(table), R.fit_boosted(table)]
     baseline = score_mean(table).drop("raw").withColumn("model", F.lit("baseline"))
     metrics = E.model_comparison(baseline.unionByName(R.scored_by(models, table)))

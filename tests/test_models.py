@@ -4,12 +4,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from scholarmill.models import assemble
 from scholarmill.models import moments as M
 from scholarmill.models import regress as R
 from scholarmill.models.assemble import fit_features, population_scaler, training_table
 from scholarmill.models.bundle import ScoringModel, bundle
 from scholarmill.operators.split import with_fold, with_split
-from scholarmill.session import fresh_path, write_once
+from scholarmill.session import fresh_path, settings, write_once
 
 P = 6
 
@@ -53,6 +54,33 @@ def test_moments_of_folds_merge_to_the_whole(data):
     np.testing.assert_allclose(whole.cov, np.cov(joint.T, bias=True), atol=1e-9)
 
 
+def test_vectors_reach_the_sums_in_blocks(spark, monkeypatch):
+    """What keeps matrices apart between the steps must not cut the rows of the first one into pairs."""
+    whole = M.dense_blocks
+
+    def large(batches, width):
+        for fold, block in whole(batches, width):
+            if len(block) < 500:
+                raise ValueError(f"a block of {len(block)} rows")
+            yield fold, block
+
+    monkeypatch.setattr(M, "dense_blocks", large)
+    rows = VectorAssembler(inputCols=["y", "z"], outputCol="raw").transform(
+        spark.range(0, 3000, 1, 2).select((F.col("id") % 3).alias("fold"), F.col("id").cast("double").alias("y"), F.sin("id").alias("z")))
+    assert [m.n for m in M.fold_moments(rows)] == [1000, 1000, 1000, 0, 0]
+
+
+def test_training_rows_of_a_fold_are_read_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(assemble, "ROW_GROUP", 20_000)
+    papers = spark.range(4000).select(
+        F.col("id").alias("paper_id"), F.lit("Some title").alias("title"), F.concat_ws(" ", *(F.sha2(F.concat("id", F.lit(str(i))), 256) for i in range(9)), F.lit("same words")).alias("abstract"),
+        F.lit("A, B").alias("authors"), F.lit("x").alias("category"), F.lit("2020-01-01").cast("date").alias("submitted"), (F.col("id") % 7).alias("citations_24mo"))
+    table = training_table(papers, fit_features(papers, ["x"]))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "10000", "spark.sql.files.openCostInBytes": "0"}):
+        held = [r["rows"] for r in table.where("fold = 0").groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows")).collect()]
+    assert sum(held) > 600 and len(held) > 1
+
+
 def test_moments_of_sparse_and_dense_rows_in_one_pass(spark):
     """Large means, sparse and dense vectors side by side, small blocks, a fold without rows."""
     rng = np.random.default_rng(3)
