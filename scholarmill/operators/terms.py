@@ -63,8 +63,9 @@ def terms_in(texts: DataFrame, terms: Sequence[str], first: int | None = None) -
         search = search_of(terms)
         for batch in batches:
             rows, ranks, places = [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                own = [] if text is None else search.found(text)[:first]
+            # a text at a time: all of a batch as Python strings would be held beside the batch
+            for row, text in enumerate(batch.column(1)):
+                own = search.found(text.as_py())[:first] if text.is_valid else []
                 places += own
                 ranks += range(1, len(own) + 1)
                 rows += [row] * len(own)
