@@ -23,8 +23,9 @@ from scholarmill.session import ship, write_once
 #: bytes a word, and every core of an executor holds one.
 BLOCK_WORDS, PER_TERM = 500_000, 8
 
-#: Documents that Arrow hands over at once: a block ends with the batch that fills it.
-FEW_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
+#: What Arrow hands over at once, documents at most and by size: a block ends with the batch that fills it, and a few
+#: hundred long documents have many times its words.
+FEW_AT_ONCE = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "1m"}
 
 #: Candidates at most, for each term that is wanted, that the second pass sends to its tasks.
 CANDIDATES_PER_TERM = 40

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from scholarmill.operators import explain as W
 from scholarmill.operators import tfidf as T
-from scholarmill.operators.frequent import BLOCK_WORDS, counted, most_frequent, summaries
+from scholarmill.operators.frequent import BLOCK_WORDS, FEW_AT_ONCE, counted, most_frequent, summaries
 from scholarmill.operators.terms import terms_in
+from scholarmill.session import settings
 
 STOP = ["the", "of"]
 
@@ -99,6 +100,19 @@ def test_a_block_of_words_takes_little_memory(spark, shelf, monkeypatch):
     assert seen[0] <= 256 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
 
 
+def test_long_texts_are_not_handed_over_together(spark):
+    """A batch is bounded by size too: 256 documents of 20,000 words would make a block ten times as large."""
+    rows = spark.range(300).coalesce(1).selectExpr("transform(sequence(1, 20000), i -> concat('word', cast(i as string))) AS words")
+
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(batch.column(0).flatten())]})
+
+    with settings(spark, FEW_AT_ONCE):
+        found = rows.mapInArrow(lengths, "n long").agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    assert found["n"] == 300 * 20000 and found["most"] <= BLOCK_WORDS
+
+
 def test_term_search_equals_containment(spark):
     rnd = random.Random(5)
     terms = ["a", "ab", "b ab", "é", "aba", "", "ab", "zz z", "😀b", *("".join(rnd.choices("abé ", k=rnd.randint(1, 5))) for _ in range(80))]
