@@ -24,6 +24,10 @@ from scholarmill.session import settings, ship, write_once
 #: Bytes of a split.
 SPLIT_BYTES = 64 << 20
 
+#: Records, and characters of them, that leave a task together, and what Arrow hands over at once: long lines are fewer.
+RECORDS_TOGETHER, CHARACTERS_TOGETHER = 4096, 1 << 20
+FEW_AT_ONCE = {"spark.sql.execution.arrow.maxBytesPerBatch": "1m"}
+
 #: What a task finds: a whole record, or the end, the beginning, or the middle of one that crosses splits.
 WHOLE, END, BEGIN, MIDDLE = 0, 1, 2, 3
 
@@ -42,7 +46,7 @@ def records(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> D
     ship(spark)
     # splits depend on these alone, so both scans cut the files alike, whatever executors there are
     fixed = {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.openCostInBytes": str(split_bytes),
-             "spark.sql.files.minPartitionNum": "1"}
+             "spark.sql.files.minPartitionNum": "1", **FEW_AT_ONCE}
     with settings(spark, fixed):
         lines = lines_of(spark, path)
         quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
@@ -75,6 +79,10 @@ def cutter(inside: frozenset[int], starts: frozenset[int]):
     def run(batches):
         split, held, open_, crossed, n = None, [], False, False, 0
         out: list[tuple] = []
+        size = 0
+
+        def sent():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
         def end_of_split():
             # what is open goes on in the next split
@@ -93,13 +101,15 @@ def cutter(inside: frozenset[int], starts: frozenset[int]):
                 if not open_:
                     first = own in starts and n == 0 and not crossed
                     out.append((own, END if crossed else WHOLE, first, "\n".join(held)))
+                    size += len(out[-1][-1])
                     held, crossed, n = [], False, n + 1
-            if len(out) >= 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
-                out.clear()
+                    if len(out) >= RECORDS_TOGETHER or size >= CHARACTERS_TOGETHER:
+                        yield sent()
+                        out.clear()
+                        size = 0
         end_of_split()
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+            yield sent()
 
     return run
 

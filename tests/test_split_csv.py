@@ -3,11 +3,12 @@
 import csv
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from scholarmill.sources.schemas import UPLOAD
-from scholarmill.sources.split_csv import read_split_csv, records
+from scholarmill.sources.split_csv import BEGIN, CHARACTERS_TOGETHER, WHOLE, cutter, read_split_csv, records
 from scholarmill.sources.tables import read_upload, write_csv
 
 
@@ -65,3 +66,13 @@ def test_uploads_that_spark_wrote(spark, tmp_path):
     plain = spark.read.schema(UPLOAD).options(header=True, multiLine=True, escape='"').csv(str(tmp_path / "out"))
     expected = plain.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in UPLOAD.fieldNames()))
     assert sorted(map(tuple, read_upload(spark, str(tmp_path / "out")).collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_long_records_leave_a_task_a_few_at_a_time():
+    """What is held follows the characters and not the number of records; all of them come out, the open one too."""
+    lines = [f"{i}," + "x" * 50_000 for i in range(300)] + ['open,"goes on']
+    batch = pa.RecordBatch.from_pydict({"split": [7] * len(lines), "line": lines})
+    found = list(cutter(frozenset(), frozenset([7]))([batch]))
+    assert max(sum(map(len, b.column(3).to_pylist())) for b in found) <= CHARACTERS_TOGETHER + 60_000
+    rows = [tuple(r.values()) for b in found for r in b.to_pylist()]
+    assert rows == [(7, WHOLE, i == 0, line) for i, line in enumerate(lines[:-1])] + [(7, BEGIN, False, lines[-1])]
