@@ -13,7 +13,7 @@ from scholarmill.session import fresh_path, settings
 from scholarmill.sources.keyed_store import KeyedStore
 from scholarmill.streaming.horizon import compact_counts, daily_counts, running_horizon, start_counts
 from scholarmill.streaming.ingest import start_ingest
-from scholarmill.streaming.keyed_horizon import SALTS, PaperCounts, paper_counts, start_paper_counts, stored_horizon
+from scholarmill.streaming.keyed_horizon import GROUPS, SALTS, PaperCounts, paper_counts, start_paper_counts, stored_horizon
 
 
 def landed(df, path, files):
@@ -163,6 +163,45 @@ def test_events_of_a_hot_paper_are_dealt_over_entries(spark):
     assert {r["paper_id"]: r["citations_24mo"] for r in stored_horizon(papers, path).collect()} == {1: 390, 2: 10}
 
 
+def rows_of(query, operator):
+    return [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"] if op["operatorName"] == operator]
+
+
+def test_entries_of_many_papers_share_calls_of_the_state(spark):
+    """Entries lie in groups, so the state's rows, and with them its calls, are not as many as the papers."""
+    start, path, many = dt.date(2020, 1, 1), fresh_path(spark, "many"), 6000
+    papers = spark.range(many).select(F.col("id").alias("paper_id"), F.date_add(F.lit(start), (F.col("id") % 3).cast("int")).alias("submitted"))
+    events = spark.range(2 * many).select("id", (F.col("id") % many).alias("paper_id"), F.lit(dt.datetime(2020, 3, 1, 12)).alias("cited_at"))
+    run = start_paper_counts(paper_counts(landed(events, fresh_path(spark, "events"), 2), papers, ["id"], "5 days", salts=1), path, fresh_path(spark, "ck"))
+    run.awaitTermination()
+    # a value and a timer, which has two rows, for each group
+    assert 0 < max(rows_of(run, "transformWithStateInPandasExec")) <= 3 * GROUPS < many
+    assert stored_horizon(papers, path).where("citations_12mo = 2 and citations_24mo = 2 and not final").count() == many
+
+
+def test_repeats_and_papers_listed_twice_in_keyed_counts(spark):
+    """Events outside the horizon stay out of all state, repeats count once, and an event once for each row of its paper."""
+    start, path, checkpoint, incoming = dt.date(2020, 1, 1), fresh_path(spark, "paper-counts"), fresh_path(spark, "ck"), fresh_path(spark, "repeated")
+    papers = spark.createDataFrame([(1, start), (2, start), (2, start), (3, start + dt.timedelta(days=355))], "paper_id long, submitted date")
+    seen, ended = [], []
+    for day in (0, 360, 361, 1106):
+        # two lines a paper, one without a number, both twice; those of day 360 come again with day 361's
+        again = {361: (361, 360)}.get(day, (day,))
+        rows = [(line, p, dt.datetime.combine(start + dt.timedelta(days=d), dt.time())) for p in (1, 2, 3, 4) for d in again for line in (None, 1)]
+        frame = spark.createDataFrame(rows * 2, "line long, paper_id long, cited_at timestamp")
+        frame.repartition(3).write.mode("append").parquet(incoming)
+        run = start_paper_counts(paper_counts(spark.readStream.schema(frame.schema).parquet(incoming), papers, ["line", "paper_id", "cited_at"], "30 days"), path, checkpoint)
+        run.awaitTermination()
+        seen.append(max(rows_of(run, "dedupeWithinWatermark")))
+        ended.append({r["paper_id"] for r in stored_horizon(papers, path).where("final").collect()})
+    got = sorted((r["paper_id"], r["citations_12mo"], r["citations_24mo"]) for r in stored_horizon(papers, path).collect())
+    assert got == [(1, 4, 6), (2, 8, 12), (2, 8, 12), (3, 4, 4)]
+    # paper 4 is unknown and day 1106 outside, so at most days 360 and 361 of three papers are there at once
+    assert seen[0] == 4 and max(seen) <= 12
+    # paper 3's time is over on day 1076, which the watermark has just reached
+    assert ended == [set(), set(), set(), {1, 2, 3}]
+
+
 def test_keyed_counts_need_neither_the_package_nor_a_set_state_store(spark, tmp_path):
     # the process beside the driver starts in another folder and without the package
     dumped = tmp_path / "processor"
