@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
-from scholarmill.session import build_session  # noqa: E402
+from scholarmill.session import build_session, settings  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,6 +20,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def own_settings(spark):
+    """The operators on texts set these for the whole session; other modules start without that."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with settings(spark, {key: spark.conf.get(key) for key in keys}):
+        yield
+
+
 # id, title, abstract, authors, category, day, counts at 12 and 24 months: one each that is short, undated by counts,
 # without an abstract, without authors, and never cited
 SHELF = [
