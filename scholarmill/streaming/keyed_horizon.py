@@ -41,8 +41,12 @@ COUNTED = "paper_id bigint, salt int, near bigint, far bigint, final boolean"
 
 DAY_MS = 86_400_000
 
-#: Values and timers are column families, which the default store lacks; any session gets the one of ours.
-STATE_STORE = {key: value for key, value in DEFAULTS.items() if ".stateStore." in key}
+#: Values and timers are column families, which the default store lacks; any session gets the one of ours.  Many small
+#: stores do not reserve room on disk beforehand.
+STATE_STORE = {
+    **{key: value for key, value in DEFAULTS.items() if ".stateStore." in key},
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 # the processor is also loaded by a Python process beside the driver, which knows no files sent to executors
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
